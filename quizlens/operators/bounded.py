@@ -1,0 +1,23 @@
+"""Broadcast only after looking at the size."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 1_000_000
+BROADCAST_TEXT = 64 * 1024 * 1024
+
+
+def broadcast_if_small(df: DataFrame, text: Sequence[str] = ()) -> DataFrame:
+    """Hint a broadcast when ``df``, which must be cheap to read, is small in rows and in ``text`` bytes.
+
+    Beyond that the join stays a shuffle join and adaptive execution splits skewed partitions.
+    """
+    size = F.lit(0)
+    for column in text:
+        size = size + F.coalesce(F.octet_length(column), F.lit(0))
+    row_num, text_size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(df) if row_num <= BROADCAST_ROWS and text_size <= BROADCAST_TEXT else df
