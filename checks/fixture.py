@@ -11,6 +11,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quizlens.operators.materialize import materialize
 from quizlens.settings import Settings
 from quizlens.sources.cards import normalise_cards
 
@@ -96,32 +97,25 @@ def cards(spark: SparkSession, sf_dir: str, day_from: date | None = None, day_to
     return normalise_cards(raw_cards(spark, sf_dir, day_from, day_to), card_id="cardId")
 
 
-def _asked_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct (subject, point) pairs the cards ask about, with the number of times asked."""
-    return (
-        cards(spark, sf_dir).select("subject", F.explode("point").alias("point"))
-        .where(F.col("point") != 0)
-        .groupBy("subject", "point").agg(F.count(F.lit(1)).alias("asked_num"))
+def knowledge_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Knowledge dimension and its links to subjects: the points found in the cards, with the number of times
+    they are asked about in the name. Some are of level 2, some inactive."""
+    asked = materialize(
+        cards(spark, sf_dir).selectExpr("subject", "explode(point) AS point").where("point <> 0")
+        .groupBy("subject", "point").agg(F.count(F.lit(1)).alias("asked_num")),
+        "asked",
     )
-
-
-def knowledge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Knowledge dimension: the points found in the cards, some of level 2, some inactive."""
-    return _asked_points(spark, sf_dir).groupBy("point").agg(F.sum("asked_num").alias("asked_num")).select(
-        F.col("point").cast("bigint").alias("id"),
-        F.concat(F.lit("KP_"), F.col("point").cast("string"), F.lit("_"), (F.col("asked_num") % 10).cast("string"))
-        .alias("name"),
-        F.when(F.col("point") % 4 == 0, 2).otherwise(1).alias("level"),
-        F.when(F.col("point") % 5 == 0, 0).otherwise(1).alias("status"),
+    knowledge = asked.groupBy("point").agg(F.sum("asked_num").alias("asked_num")).selectExpr(
+        "CAST(point AS BIGINT) AS id",
+        "concat('KP_', point, '_', asked_num % 10) AS name",
+        "IF(point % 4 = 0, 2, 1) AS level",
+        "IF(point % 5 = 0, 0, 1) AS status",
     )
-
-
-def knowledge_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _asked_points(spark, sf_dir).select(
-        F.col("point").cast("bigint").alias("knowledge_id"),
-        F.col("subject").alias("subject_id"),
-        F.when((F.col("point") + F.col("subject")) % 7 == 0, 0).otherwise(1).alias("status"),
+    links = asked.selectExpr(
+        "CAST(point AS BIGINT) AS knowledge_id", "subject AS subject_id",
+        "IF((point + subject) % 7 = 0, 0, 1) AS status",
     )
+    return knowledge, links
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:

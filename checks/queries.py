@@ -46,13 +46,13 @@ def _week(spark: SparkSession, sf: str, settings=S) -> DataFrame:
 
 
 def _lists(spark: SparkSession, sf: str) -> DataFrame:
-    return kn.subject_points(kn.knowledge_subject(fx.knowledge(spark, sf), fx.knowledge_links(spark, sf)))
+    return kn.subject_points(kn.knowledge_subject(*fx.knowledge_tables(spark, sf)))
 
 
 def _snapshot(spark: SparkSession, sf: str, settings=S) -> nightly.Snapshot:
     points = None
     if settings.with_extra_ranks:
-        points = kn.knowledge_subject(fx.knowledge(spark, sf), fx.knowledge_links(spark, sf))
+        points = kn.knowledge_subject(*fx.knowledge_tables(spark, sf))
     return nightly.snapshot(fx.cards(spark, sf), settings, points)
 
 
@@ -182,7 +182,7 @@ def week_top(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def knowledge_subject(spark: SparkSession, sf: str) -> DataFrame:
-    return kn.knowledge_subject(fx.knowledge(spark, sf), fx.knowledge_links(spark, sf))
+    return kn.knowledge_subject(*fx.knowledge_tables(spark, sf))
 
 
 def subject_points(spark: SparkSession, sf: str) -> DataFrame:

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # Fixed values. Subject 1 is scored by weighted accuracy per point.
 WEIGHTED_POINTS = {
@@ -54,12 +53,10 @@ def rule_table(spark: SparkSession, fix_denominators: bool = False) -> DataFrame
     )
 
 
-def full_denominator(subject: Column, fix_denominators: bool = False) -> Column:
-    """Sum of the denominator weights of all points of a subject; null when it has no rules."""
+def full_denominator(subject: str, fix_denominators: bool = False) -> str:
+    """SQL for the sum of the denominator weights of all points of a subject; null when it has no rules."""
     sums: dict[int, int] = {}
     for code, _, _, _, w_total in rule_rows(fix_denominators):
         sums[code] = sums.get(code, 0) + w_total
-    expr = F.lit(None).cast("int")
-    for code, total in sums.items():
-        expr = F.when(subject == code, F.lit(total)).otherwise(expr)
-    return expr
+    cases = " ".join(f"WHEN {code} THEN {total}" for code, total in sums.items())
+    return f"CASE {subject} {cases} END"

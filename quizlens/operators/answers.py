@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ANSWERED = (1, 2)  # 1 right, 2 wrong, anything else not answered
@@ -21,28 +21,26 @@ def explode_answers(cards: DataFrame) -> DataFrame:
     days without a distinct aggregate.
     """
     keep = [c for c in ("card_id", "user_id", "subject", "day") if c in cards.columns]
-    positions = F.arrays_zip("point", "correct", "answer_time", "question")
-    rows = cards.select(*keep, F.explode(F.array_append(positions, F.lit(None))).alias("a"))
-
-    answered = F.coalesce(F.col("a.correct").isin(*ANSWERED), F.lit(False))
-    timed = F.col("a.answer_time").isNotNull()
-    on_point = answered & timed & F.coalesce(F.col("a.point") != 0, F.lit(False))
-    seconds = F.coalesce(F.col("a.answer_time"), F.lit(0)).cast("bigint")
-
-    def count(condition: Column) -> Column:
-        return F.when(condition, 1).otherwise(0).cast("bigint")
-
-    return rows.select(
-        *keep,
-        F.when(on_point, F.col("a.point")).alias("point"),
-        count(on_point & (F.col("a.correct") == 1)).alias("right_num"),
-        count(on_point).alias("total_num"),
-        F.when(on_point, seconds).otherwise(0).alias("time_sum"),
-        count(answered & F.col("a.question").isNotNull()).alias("answered_num"),
-        F.when(answered, seconds).otherwise(0).alias("answered_time"),
-        seconds.alias("all_time"),
-        count(F.col("a.correct").isNotNull() & ~answered).alias("undone_num"),
-        count(F.col("a").isNull()).alias("card_num"),
+    return (
+        cards.selectExpr(
+            *keep, "explode(array_append(arrays_zip(point, correct, answer_time, question), NULL)) AS a")
+        .selectExpr(
+            *keep, "a IS NULL AS is_card", "a.point", "a.question", "a.correct", "a.answer_time",
+            f"coalesce(a.correct IN {ANSWERED}, false) AS answered",
+            "coalesce(CAST(a.answer_time AS BIGINT), 0L) AS seconds")
+        .selectExpr(
+            "*", "answered AND answer_time IS NOT NULL AND coalesce(point <> 0, false) AS on_point")
+        .selectExpr(
+            *keep,
+            "IF(on_point, point, NULL) AS point",
+            "CAST(on_point AND correct = 1 AS BIGINT) AS right_num",
+            "CAST(on_point AS BIGINT) AS total_num",
+            "IF(on_point, seconds, 0L) AS time_sum",
+            "CAST(answered AND question IS NOT NULL AS BIGINT) AS answered_num",
+            "IF(answered, seconds, 0L) AS answered_time",
+            "seconds AS all_time",
+            "CAST(correct IS NOT NULL AND NOT answered AS BIGINT) AS undone_num",
+            "CAST(is_card AS BIGINT) AS card_num")
     )
 
 

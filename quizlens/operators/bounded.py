@@ -11,13 +11,16 @@ BROADCAST_ROWS = 1_000_000
 BROADCAST_TEXT = 64 * 1024 * 1024
 
 
-def broadcast_if_small(df: DataFrame, text: Sequence[str] = ()) -> DataFrame:
-    """Hint a broadcast when ``df``, which must be cheap to read, is small in rows and in ``text`` bytes.
-
-    Beyond that the join stays a shuffle join and adaptive execution splits skewed partitions.
-    """
+def is_small(df: DataFrame, text: Sequence[str] = ()) -> bool:
+    """Whether ``df``, which must be cheap to read, is small in rows and in ``text`` bytes."""
     size = F.lit(0)
     for column in text:
         size = size + F.coalesce(F.octet_length(column), F.lit(0))
     row_num, text_size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
-    return F.broadcast(df) if row_num <= BROADCAST_ROWS and text_size <= BROADCAST_TEXT else df
+    return row_num <= BROADCAST_ROWS and text_size <= BROADCAST_TEXT
+
+
+def broadcast_if_small(df: DataFrame, text: Sequence[str] = ()) -> DataFrame:
+    """Hint a broadcast of a small ``df``. A larger one gets a shuffle join, where adaptive execution splits
+    skewed partitions."""
+    return F.broadcast(df) if is_small(df, text) else df

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quizlens.operators.bounded import broadcast_if_small, is_small
+
 CELL = ("row_key", "family", "column")
 WRITTEN = ("version", "seq")
 
@@ -40,8 +42,8 @@ def upsert_cells(stored: DataFrame, written: DataFrame) -> DataFrame:
 
 
 def delete_rows(cells: DataFrame, keys: DataFrame) -> DataFrame:
-    """Cells whose row key is not among ``keys``."""
-    return cells.join(keys.select("row_key"), "row_key", "left_anti")
+    """Cells whose row key is not among ``keys``; a small key set is broadcast and shuffles no cells."""
+    return cells.join(broadcast_if_small(keys.select("row_key"), text=["row_key"]), "row_key", "left_anti")
 
 
 def keep_versions(cells: DataFrame, versions: int = 24) -> DataFrame:
@@ -58,12 +60,18 @@ def scan_rows(table: DataFrame, low: str, high: str, columns: Sequence[str]) ->
 def typed_lookup(cells: DataFrame, keys: DataFrame, family: str, fields: Mapping[str, str]) -> DataFrame:
     """Newest values of the asked rows as typed columns; keys without cells give no row.
 
-    ``fields`` maps column to type. Rows are put together before the semi join: partial sums shrink hot rows,
-    and the join reuses the aggregate's partitioning.
+    ``fields`` maps column to type. A small key set is broadcast and thins out the cells before the shuffle.
+    With a large one rows are put together first: partial aggregates shrink hot rows, and the join reuses
+    the aggregate's partitioning.
     """
+    asked = keys.select("row_key")
+    few = is_small(asked, text=["row_key"])
+    found = cells.where(F.col("family") == family)
+    if few:
+        found = found.join(F.broadcast(asked), "row_key", "left_semi")
     written = F.struct(*WRITTEN, "value")
-    rows = cells.where(F.col("family") == family).groupBy("row_key").agg(*[
+    rows = found.groupBy("row_key").agg(*[
         F.max(F.when(F.col("column") == name, written)).getField("value").cast(kind).alias(name)
         for name, kind in fields.items()
     ])
-    return rows.join(keys.select("row_key"), "row_key", "left_semi")
+    return rows if few else rows.join(asked, "row_key", "left_semi")

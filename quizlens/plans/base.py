@@ -20,45 +20,43 @@ def collapse(rows: DataFrame, settings: Settings) -> DataFrame:
     Point rows give up their day, with the week kept as separate sums; only the null-point rows keep it, so
     that counting them counts days. What is left per user is bounded by points plus days.
     """
-    in_week = F.col("day").between(*map(F.lit, settings.week))
+    monday, sunday = settings.week
+    in_week = f"day BETWEEN DATE '{monday}' AND DATE '{sunday}'"
     week_time = "answered_time" if settings.week_time_answered_only else "all_time"
     lifetime = ["right_num", "total_num", "time_sum", "answered_num", "answered_time", "undone_num"]
     week = {"week_right_num": "right_num", "week_total_num": "total_num", "week_time_sum": "time_sum",
             "week_answered_num": "answered_num", "week_time": week_time, "week_undone_num": "undone_num"}
-    practice_day = F.when(F.col("point").isNull(), F.col("day"))
-    return rows.groupBy("user_id", "subject", "point", practice_day.alias("practice_day")).agg(
-        *[F.sum(m).alias(m) for m in lifetime],
-        *[F.sum(F.when(in_week, F.col(m)).otherwise(0)).alias(name) for name, m in week.items()],
-        F.max("day").alias("last_day"),
+    practice_day = F.expr("IF(point IS NULL, day, NULL) AS practice_day")
+    return rows.groupBy("user_id", "subject", "point", practice_day).agg(
+        *[F.expr(f"sum({m}) AS {m}") for m in lifetime],
+        *[F.expr(f"sum(IF({in_week}, {m}, 0L)) AS {name}") for name, m in week.items()],
+        F.expr("max(day) AS last_day"),
     )
 
 
 def score_sums(prefix: str) -> list[Column]:
     """What a score needs, per (user, subject), from point rows joined with the rules."""
-    right, total = F.col(f"{prefix}right_num"), F.col(f"{prefix}total_num")
-    seen = total > 0
+    right, total = f"{prefix}right_num", f"{prefix}total_num"
     return [
-        F.coalesce(F.sum(right * F.col("w_right")), F.lit(0)).alias(f"{prefix}_hits"),
-        F.coalesce(F.sum(total * F.col("w_total")), F.lit(0)).alias(f"{prefix}_tries"),
-        F.coalesce(F.sum(F.when(seen, F.col("w_total"))), F.lit(0)).alias(f"{prefix}_seen"),
-        F.sum(F.when(seen, F.col("share") * F.try_divide(right, total))).alias(f"{prefix}_shares"),
+        F.expr(f"coalesce(sum({right} * w_right), 0L) AS {prefix}hits"),
+        F.expr(f"coalesce(sum({total} * w_total), 0L) AS {prefix}tries"),
+        F.expr(f"coalesce(sum(IF({total} > 0, w_total, NULL)), 0L) AS {prefix}seen"),
+        F.expr(f"coalesce(sum(share * try_divide({right}, {total})), 0D) AS {prefix}shares"),
     ]
 
 
-def score(prefix: str, gate: int | None, fix_denominators: bool = False) -> Column:
-    """Score of a (user, subject) in percent.
+def score(prefix: str, gate: int | None, fix_denominators: bool = False) -> str:
+    """SQL for the score of a (user, subject) in percent.
 
     A scored point never answered counts as one try, in the denominator and in the gate. So the denominator
     is the tries made plus the weights of the points not seen, and needs no row per missing point.
     """
-    whole = full_denominator(F.col("subject"), fix_denominators)
-    tries = F.col(f"{prefix}_tries") + whole - F.col(f"{prefix}_seen")
-    weighted = F.coalesce(F.col(f"{prefix}_shares"), F.lit(0.0))
-    pooled = F.try_divide(F.col(f"{prefix}_hits"), tries)
-    value = F.round(100 * F.when(F.col("subject").isin(*WEIGHTED_POINTS), weighted).otherwise(pooled),
-                    SCORE_DECIMALS)
-    passed = whole.isNotNull() if gate is None else tries >= gate
-    return F.when(passed, value).otherwise(F.lit(0.0))
+    whole = full_denominator("subject", fix_denominators)
+    tries = f"({prefix}tries + {whole} - {prefix}seen)"
+    weighted = ", ".join(map(str, WEIGHTED_POINTS))
+    passed = f"{whole} IS NOT NULL" if gate is None else f"{tries} >= {gate}"
+    return f"""IF({passed}, round(
+        100 * IF(subject IN ({weighted}), {prefix}shares, try_divide({prefix}hits, {tries})), {SCORE_DECIMALS}), 0D)"""
 
 
 def user_subject_base(
@@ -82,12 +80,12 @@ def user_subject_base(
     base = (
         collapse(rows, settings).repartition("user_id").join(rules, ["subject", "point"], "left")
         .groupBy("user_id", "subject")
-        .agg(*[F.sum(c).alias(c) for c in sums], F.count("practice_day").alias("practice_days"),
-             F.max("last_day").alias("last_day"), *score_sums(""), *score_sums("week_"), *texts)
-        .select("user_id", "subject", *sums, "practice_days", "last_day",
-                score("", settings.score_gate, fix_denominators).alias("score"),
-                score("week_", None, fix_denominators).alias("week_score"),
-                *(["point_stats", "week_point_stats"] if with_text else []))
+        .agg(*[F.expr(f"sum({c}) AS {c}") for c in sums], F.expr("count(practice_day) AS practice_days"),
+             F.expr("max(last_day) AS last_day"), *score_sums(""), *score_sums("week_"), *texts)
+        .selectExpr("user_id", "subject", *sums, "practice_days", "last_day",
+                    f"{score('', settings.score_gate, fix_denominators)} AS score",
+                    f"{score('week_', None, fix_denominators)} AS week_score",
+                    *(["point_stats", "week_point_stats"] if with_text else []))
     )
     base = base.withColumn(
         "sort_score",
