@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+_run: ContextVar[str] = ContextVar("run", default="adhoc")
+
 
 @cache
 def _local_root() -> str:
@@ -15,13 +20,13 @@ def _local_root() -> str:
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """``<spark.checkpoint.dir>/quizlens-<application>``; only local sessions may go without the setting."""
+    """``<spark.checkpoint.dir>/quizlens-<application>/<run>``; only local sessions may go without the setting."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         root = _local_root()
-    return f"{root.rstrip('/')}/quizlens-{spark.sparkContext.applicationId}"
+    return f"{root.rstrip('/')}/quizlens-{spark.sparkContext.applicationId}/{_run.get()}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -32,8 +37,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_scratch(spark: SparkSession) -> None:
-    """Remove what this application materialized, once its outputs are written."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[str]:
+    """A folder of its own for what is materialized inside, removed at the end."""
+    token = _run.set(uuid.uuid4().hex)
+    try:
+        yield scratch_folder(spark)
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    finally:
+        _run.reset(token)

@@ -14,7 +14,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from quizlens.operators.knowledge import knowledge_subject, subject_points
-from quizlens.operators.materialize import drop_scratch, materialize
+from quizlens.operators.materialize import materialize, scratch_run
 from quizlens.plans.base import base_from_cards
 from quizlens.plans.week import week_rows
 from quizlens.plans.wide import contact_wide, total_wide, week_top_wide, week_wide, write_wide
@@ -51,15 +51,13 @@ def run(
     contacts: DataFrame | None = None, **writer,
 ) -> None:
     """Write the tables named in ``targets`` (total, week, week_top, contact)."""
-    snap = snapshot(cards, settings, points)
-    try:
+    with scratch_run(cards.sparkSession):
+        snap = snapshot(cards, settings, points)
         tables = output_tables(snap, settings)
         if contacts is not None:
             tables["contact"] = contact_wide(snap.base, contacts, settings)
         for name, target in targets.items():
             write_wide(tables[name], target, **writer)
-    finally:
-        drop_scratch(cards.sparkSession)
 
 
 def main(argv: Sequence[str] | None = None) -> None:

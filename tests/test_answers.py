@@ -1,0 +1,141 @@
+import random
+from datetime import date, timedelta
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from checks.fixture import SETTINGS
+from quizlens.operators.answers import daily_rollup, explode_answers, merge_rollups, point_stats
+from quizlens.operators.running import running_right
+from quizlens.plans.base import base_from_cards, user_subject_base
+from quizlens.sources.cards import between_days, cards_on_day, normalise_cards, read_cards
+from tests import model
+
+EVERYONE = SETTINGS.with_(active_days=None)
+POINTS = [0, 392, 435, 482, 642, 754, 999]
+
+
+def random_cards(seed: int, n: int = 300) -> list[tuple]:
+    rnd = random.Random(seed)
+    cards = []
+    for card_id in range(n):
+        size = rnd.choice([0, 1, 2, 5, 9])
+
+        def array(values, size=size):
+            cut = rnd.choice([0, 0, 0, 1, 2])
+            return [rnd.choice(values) for _ in range(max(0, size - cut))]
+
+        day = date(2001, 7, 10) + timedelta(days=rnd.randrange(20))
+        cards.append((card_id, rnd.choice([7, 7, 7, 8, 9]), rnd.choice([1, 1, 2, 42]), day.strftime("%Y%m%d"),
+                      array([11, 12, 13]), array([0, 1, 1, 2, 3]), array([0, 5, 30]), array(POINTS)))
+    return cards
+
+
+EDGES = [
+    (1, 1, 1, "20010723", [5, 5], [1, 1], [10, 20], [392, 392]),            # same question twice, Monday
+    (2, 1, 1, "20010729", [], [], [], []),                                  # empty card on the week's Sunday
+    (3, 1, 1, "20010730", [5], [0], [9], [392]),                            # nothing answered, next Monday
+    (4, 1, 1, "20001231", [5, 6, 7], [1, 2], [4], [0, 392, 435]),           # unequal lengths, point 0
+    (5, 2, 1, "20010725", None, [1, 2], None, [392, 435]),                  # null arrays
+]
+
+
+def frame(spark, cards):
+    return normalise_cards(spark.createDataFrame(cards, model.CARD_FIELDS), card_id="cardId")
+
+
+@pytest.mark.parametrize("cards", [EDGES, random_cards(1), random_cards(2)], ids=["edges", "random1", "random2"])
+def test_against_model(spark, cards, many_partitions):
+    expected = model.run(cards, SETTINGS.week)
+    df = frame(spark, cards)
+    rows = {(r.user_id, r.subject): r for r in base_from_cards(df, EVERYONE, with_text=True).collect()}
+    running = {(r.user_id, r.subject): r for r in running_right(explode_answers(df), SETTINGS.week).collect()}
+    assert rows.keys() == expected.keys()
+    for key, want in expected.items():
+        got = rows[key]
+        assert got.answered_num == want["answered"]
+        assert got.answered_time == want["time"]
+        assert got.practice_days == len(want["days"])
+        assert got.undone_num == want["undone"]
+        assert got.week_answered_num == want["week_answered"]
+        assert got.week_time == want["week_time"]
+        assert got.right_num == sum(p[0] for p in want["points"].values())
+        assert got.point_stats == model.text(want["points"])
+        assert got.week_point_stats == model.text(want["week_points"])
+        assert got.score == pytest.approx(model.score(want["points"], key[1], 120), abs=1e-6)
+        assert got.week_score == pytest.approx(model.score(want["week_points"], key[1], None), abs=1e-6)
+        if want["points"]:
+            assert running[key].running_right_num == want["running"]
+            assert running[key].week_running_right_num == want["week_running"]
+        else:
+            assert key not in running
+
+
+def test_rollup_gives_the_same_base(spark):
+    df = frame(spark, random_cards(3))
+    answers = explode_answers(df)
+    early, late = (daily_rollup(answers.where(c)) for c in ("day < '2001-07-20'", "day >= '2001-07-20'"))
+    merged = merge_rollups(early, late)
+    assert sorted(user_subject_base(merged, EVERYONE).collect()) == sorted(base_from_cards(df, EVERYONE).collect())
+    assert sorted(point_stats(merged).collect()) == sorted(point_stats(answers).collect())
+
+
+def test_active_users_only(spark):
+    last = SETTINGS.active_since
+    before = model.days_before(last, 1)
+    cards = [(1, 1, 1, before.strftime("%Y%m%d"), [1], [1], [1], [392]),
+             (2, 2, 1, last.strftime("%Y%m%d"), [1], [1], [1], [392]),
+             (3, 2, 2, "20000101", [1], [1], [1], [3125])]
+    kept = base_from_cards(frame(spark, cards), SETTINGS).select("user_id", "subject").collect()
+    assert sorted(map(tuple, kept)) == [(2, 1), (2, 2)]  # activity in one subject keeps the other
+
+
+def test_minimum_answered(spark):
+    cards = [(1, 1, 1, "20010728", [1], [0], [1], [392]), (2, 2, 1, "20010728", [1], [1], [1], [392])]
+    kept = base_from_cards(frame(spark, cards), SETTINGS.with_(min_answered=1)).collect()
+    assert [r.user_id for r in kept] == [2]
+
+
+def test_week_time_of_answered_only(spark):
+    cards = [(1, 1, 1, "20010728", [1, 2], [0, 1], [7, 5], [392, 392])]
+    settings = SETTINGS.with_(week_time_answered_only=True)
+    assert base_from_cards(frame(spark, cards), settings).first().week_time == 5
+    assert base_from_cards(frame(spark, cards), SETTINGS).first().week_time == 12
+
+
+def test_null_modes(spark):
+    raw = spark.createDataFrame([(1, None, None, "what", [1], [1], [1], [392])], model.CARD_FIELDS)
+    row = normalise_cards(raw, card_id="cardId").first()
+    assert (row.user_id, row.subject, row.day) == (-1, 0, None)
+    base = base_from_cards(normalise_cards(raw, card_id="cardId"), EVERYONE).first()
+    assert (base.practice_days, base.answered_num) == (0, 1)
+    for field in ("question", "createTime", "userId"):
+        good = spark.createDataFrame([(1, 1, 1, "20010101", [1], [1], [1], [392])], model.CARD_FIELDS)
+        broken = good.withColumn(field, F.lit(None).cast(good.schema[field].dataType))
+        with pytest.raises(PySparkException):
+            normalise_cards(broken, null_mode="fail").collect()
+
+
+def test_stored_date_forms(spark):
+    millis = 996_148_800_000  # 2001-07-26 12:00 UTC
+    for value, kind in [("20010726", "string"), (millis, "bigint"), (date(2001, 7, 26), "date")]:
+        raw = spark.createDataFrame([(1, 1, 1, value, [1], [1], [1], [392])],
+                                    model.CARD_FIELDS.replace("createTime string", f"createTime {kind}"))
+        inside = between_days(raw, date(2001, 7, 26), date(2001, 7, 26))
+        assert normalise_cards(inside).first().day == date(2001, 7, 26)
+        assert between_days(raw, date(2001, 7, 27), None).count() == 0
+
+
+def test_read_cards_pushes_days_and_prunes(spark, tmp_path):
+    path = f"{tmp_path}/cards"
+    spark.createDataFrame(random_cards(4), model.CARD_FIELDS).write.parquet(path)
+    day = date(2001, 7, 15)
+    df = read_cards(spark, path, day_from=day, day_to=day, card_id="cardId")
+    assert df.count() == sum(c[3] == "20010715" for c in random_cards(4))
+    plan = df.select("user_id")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(createTime,20010715)" in plan
+    assert "answerTime" not in plan.split("ReadSchema")[1]
+    spark.read.parquet(path).createOrReplaceTempView("stored_cards")
+    assert read_cards(spark, "stored_cards").count() == 300
+    assert cards_on_day(df, day, user_id=8, subject=1).where("user_id <> 8 OR subject <> 1").count() == 0
