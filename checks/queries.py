@@ -37,8 +37,8 @@ def _base(spark: SparkSession, sf: str, settings=S, **options) -> DataFrame:
     return bs.base_from_cards(fx.cards(spark, sf), settings, **options)
 
 
-def _kept_base(spark: SparkSession, sf: str, settings=S, **options) -> DataFrame:
-    return materialize(_base(spark, sf, settings, **options), "base")
+def _kept_base(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    return materialize(_base(spark, sf).select("user_id", "subject", *columns), "base")
 
 
 def _week(spark: SparkSession, sf: str, settings=S) -> DataFrame:
@@ -152,21 +152,19 @@ def days_histogram(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def days_pass_count(spark: SparkSession, sf: str) -> DataFrame:
-    base = _kept_base(spark, sf)
-    return totals.days_pass_count(base).select("user_id", "subject", "practice_days", "days_pass_count")
+    return totals.days_pass_count(_kept_base(spark, sf, "practice_days"))
 
 
 def total_ranks(spark: SparkSession, sf: str) -> DataFrame:
     """On the range path, which does not need a group to fit a task."""
-    base = _kept_base(spark, sf).select("user_id", "subject", "score", "sort_score", "practice_days",
-                                        "answered_time", "answered_num")
+    base = _kept_base(spark, sf, "score", "sort_score", "practice_days", "answered_time", "answered_num")
     return group_ranks(base, totals.total_rank_keys(S), window_rows=0)
 
 
 def week_ranks(spark: SparkSession, sf: str) -> DataFrame:
-    rows = materialize(_week(spark, sf), "week").select(
+    rows = _week(spark, sf).select(
         "user_id", "subject", "week_score", "week_sort_score", "week_answered_num", "week_speed", "week_accuracy")
-    return group_ranks(rows, week.week_rank_keys(S), window_rows=0)
+    return group_ranks(materialize(rows, "week"), week.week_rank_keys(S), window_rows=0)
 
 
 def total_top(spark: SparkSession, sf: str) -> DataFrame:
@@ -200,7 +198,7 @@ def user_contact_enrich(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def total_with_subject_totals(spark: SparkSession, sf: str) -> DataFrame:
-    base = _kept_base(spark, sf)
+    base = _kept_base(spark, sf, "score", "answered_num", "answered_time", "right_num", "undone_num")
     columns = ["user_count", "qualified_user_count", "question_count", "time_total", "right_total", "undo_total"]
     return totals.attach_totals(base.select("user_id", "subject", "score"), totals.subject_totals(base, S), columns)
 

@@ -41,9 +41,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 def scratch_run(spark: SparkSession) -> Iterator[str]:
     """A folder of its own for what is materialized inside, removed at the end."""
     token = _run.set(uuid.uuid4().hex)
+    folder = scratch_folder(spark)
     try:
-        yield scratch_folder(spark)
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        yield folder
     finally:
         _run.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

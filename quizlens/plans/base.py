@@ -13,6 +13,10 @@ from quizlens.settings import Settings
 
 SCORE_DECIMALS = 6  # sums of doubles depend on order; ranks need a value that does not
 
+LIFETIME = ("right_num", "total_num", "time_sum", "answered_num", "answered_time", "undone_num")
+WEEK = {"week_right_num": "right_num", "week_total_num": "total_num", "week_time_sum": "time_sum",
+        "week_answered_num": "answered_num", "week_time": "all_time", "week_undone_num": "undone_num"}
+
 
 def collapse(rows: DataFrame, settings: Settings) -> DataFrame:
     """Answers or a stored roll-up, brought to one row per (user, subject, point) and one per practice day.
@@ -22,13 +26,10 @@ def collapse(rows: DataFrame, settings: Settings) -> DataFrame:
     """
     monday, sunday = settings.week
     in_week = f"day BETWEEN DATE '{monday}' AND DATE '{sunday}'"
-    week_time = "answered_time" if settings.week_time_answered_only else "all_time"
-    lifetime = ["right_num", "total_num", "time_sum", "answered_num", "answered_time", "undone_num"]
-    week = {"week_right_num": "right_num", "week_total_num": "total_num", "week_time_sum": "time_sum",
-            "week_answered_num": "answered_num", "week_time": week_time, "week_undone_num": "undone_num"}
+    week = WEEK | ({"week_time": "answered_time"} if settings.week_time_answered_only else {})
     practice_day = F.expr("IF(point IS NULL, day, NULL) AS practice_day")
     return rows.groupBy("user_id", "subject", "point", practice_day).agg(
-        *[F.expr(f"sum({m}) AS {m}") for m in lifetime],
+        *[F.expr(f"sum({m}) AS {m}") for m in LIFETIME],
         *[F.expr(f"sum(IF({in_week}, {m}, 0L)) AS {name}") for name, m in week.items()],
         F.expr("max(day) AS last_day"),
     )
@@ -66,9 +67,10 @@ def user_subject_base(
 
     ``rows`` are answers or a roll-up. The first aggregate absorbs hot users by partial sums; its small
     result is placed by user once, and all later steps, the activity test included, keep that partitioning.
+    Days are folded into their null-point row before scores and texts are put together from few rows.
     """
     rules = F.broadcast(rule_table(rows.sparkSession, fix_denominators))
-    sums = ["right_num", "answered_num", "answered_time", "undone_num",
+    sums = ["right_num", "answered_num", "answered_time", "undone_num", "practice_days",
             "week_right_num", "week_answered_num", "week_time", "week_undone_num"]
     texts = []
     if with_text:
@@ -78,11 +80,15 @@ def user_subject_base(
             .alias("week_point_stats"),
         ]
     base = (
-        collapse(rows, settings).repartition("user_id").join(rules, ["subject", "point"], "left")
+        collapse(rows, settings).repartition("user_id")
+        .groupBy("user_id", "subject", "point")
+        .agg(*[F.expr(f"sum({m}) AS {m}") for m in (*LIFETIME, *WEEK)],
+             F.expr("count(practice_day) AS practice_days"), F.expr("max(last_day) AS last_day"))
+        .join(rules, ["subject", "point"], "left")
         .groupBy("user_id", "subject")
-        .agg(*[F.expr(f"sum({c}) AS {c}") for c in sums], F.expr("count(practice_day) AS practice_days"),
-             F.expr("max(last_day) AS last_day"), *score_sums(""), *score_sums("week_"), *texts)
-        .selectExpr("user_id", "subject", *sums, "practice_days", "last_day",
+        .agg(*[F.expr(f"sum({c}) AS {c}") for c in sums], F.expr("max(last_day) AS last_day"),
+             *score_sums(""), *score_sums("week_"), *texts)
+        .selectExpr("user_id", "subject", *sums, "last_day",
                     f"{score('', settings.score_gate, fix_denominators)} AS score",
                     f"{score('week_', None, fix_denominators)} AS week_score",
                     *(["point_stats", "week_point_stats"] if with_text else []))

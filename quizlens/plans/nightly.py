@@ -9,15 +9,17 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quizlens.operators.cells import to_cells
 from quizlens.operators.knowledge import knowledge_subject, subject_points
 from quizlens.operators.materialize import materialize, scratch_run
 from quizlens.plans.base import base_from_cards
 from quizlens.plans.week import week_rows
-from quizlens.plans.wide import contact_wide, total_wide, week_top_wide, week_wide, write_wide
+from quizlens.plans.wide import contact_wide, merge_wide, total_wide, week_top_wide, week_wide, write_wide
 from quizlens.settings import Settings, older_job
 from quizlens.sources.cards import read_cards
 
@@ -38,6 +40,14 @@ def snapshot(cards: DataFrame, settings: Settings, points: DataFrame | None = No
     return Snapshot(base, week, lists)
 
 
+def register_views(snap: Snapshot) -> None:
+    """Name the shared inputs for SQL."""
+    snap.base.createOrReplaceTempView("user_subject_base")
+    snap.week.createOrReplaceTempView("user_subject_week")
+    if snap.subject_lists is not None:
+        snap.subject_lists.createOrReplaceTempView("subject_points")
+
+
 def output_tables(snap: Snapshot, settings: Settings) -> dict[str, DataFrame]:
     return {
         "total": total_wide(snap.base, snap.subject_lists, settings),
@@ -48,16 +58,29 @@ def output_tables(snap: Snapshot, settings: Settings) -> dict[str, DataFrame]:
 
 def run(
     cards: DataFrame, settings: Settings, targets: dict[str, str], points: DataFrame | None = None,
-    contacts: DataFrame | None = None, **writer,
+    contacts: DataFrame | None = None, stored_total: DataFrame | None = None, family: str | None = None, **writer,
 ) -> None:
-    """Write the tables named in ``targets`` (total, week, week_top, contact)."""
+    """Write the tables named in ``targets`` (total, week, week_top, contact).
+
+    Week tables are partitioned by week and replace their own week only. ``stored_total`` is the previous
+    total table, read from another place than its target: its rows of users no longer active are carried over.
+    With ``family`` the tables are written as cells of that family, the form key-value stores load.
+    """
     with scratch_run(cards.sparkSession):
         snap = snapshot(cards, settings, points)
         tables = output_tables(snap, settings)
         if contacts is not None:
             tables["contact"] = contact_wide(snap.base, contacts, settings)
+        if stored_total is not None:
+            tables["total"] = merge_wide(stored_total, tables["total"])
         for name, target in targets.items():
-            write_wide(tables[name], target, **writer)
+            table = tables[name]
+            if family is not None:
+                table = to_cells(table, family, version=int(settings.as_of.timestamp() * 1000))
+            by_week = name in ("week", "week_top")
+            if by_week:
+                table = table.withColumn("week", F.lit(settings.week_label))
+            write_wide(table, target, partition_by=["week"] if by_week else [], **writer)
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -70,6 +93,10 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--knowledge", help="knowledge dimension, path or table")
     parser.add_argument("--bridge", help="knowledge-subject links, path or table")
     parser.add_argument("--older-job", action="store_true", help="totals and ranks of the earlier program")
+    parser.add_argument("--day-from", type=date.fromisoformat, help="first card day to read")
+    parser.add_argument("--day-to", type=date.fromisoformat, help="last card day to read")
+    parser.add_argument("--stored-total", help="previous total table, merged into the new one")
+    parser.add_argument("--family", help="write cells of this column family instead of wide rows")
     parser.add_argument("--legacy-names", action="store_true")
     parser.add_argument("--format", default="parquet")
     args = parser.parse_args(argv)
@@ -87,7 +114,9 @@ def main(argv: Sequence[str] | None = None) -> None:
             parser.error("--knowledge and --bridge are needed for the subject points")
         points = knowledge_subject(read(args.knowledge), read(args.bridge))
     targets = {"total": args.total, "week": args.week, "week_top": args.week_top}
-    run(read_cards(spark, args.cards), settings, targets, points, format=args.format)
+    cards = read_cards(spark, args.cards, day_from=args.day_from, day_to=args.day_to)
+    stored = read(args.stored_total) if args.stored_total else None
+    run(cards, settings, targets, points, stored_total=stored, family=args.family, format=args.format)
 
 
 if __name__ == "__main__":

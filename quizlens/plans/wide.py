@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,15 +94,29 @@ def contact_wide(base: DataFrame, contacts: DataFrame, settings: Settings) -> Da
     return _cells(attach_contacts(base, contacts), key, columns + contact, settings, labels)
 
 
+def merge_wide(stored: DataFrame, new: DataFrame) -> DataFrame:
+    """Stored rows with new ones written over them cell by cell; rows and cells not written stay as they are."""
+    columns = [c for c in new.columns if c != "row_key"]
+    columns += [c for c in stored.columns if c not in new.columns]
+    both = new.alias("n").join(stored.alias("s"), "row_key", "full")
+
+    def cell(name: str) -> Column:
+        sides = [F.col(f"{side}.{name}") for side, df in (("n", new), ("s", stored)) if name in df.columns]
+        return F.coalesce(*sides).alias(name)
+
+    return both.select("row_key", *map(cell, columns))
+
+
 def write_wide(wide: DataFrame, target: str, *, format: str = "parquet", mode: str = "overwrite",
-               partition_by: list[str] | None = None, sort_keys: bool = True, **options: str) -> None:
+               partition_by: Sequence[str] = (), sort_keys: bool = True, **options: str) -> None:
     """Save a wide table by path, or by table name when ``target`` has no slash.
 
-    Sorted keys give each file a narrow key range, which is what a later key-range scan prunes on.
+    Sorted keys give each file a narrow key range, which is what a later key-range scan prunes on. With
+    ``partition_by`` only the partitions present in ``wide`` are replaced.
     """
     if sort_keys:
         wide = wide.repartitionByRange("row_key").sortWithinPartitions("row_key")
     writer = wide.write.format(format).mode(mode).options(**options)
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.save(target) if "/" in target else writer.saveAsTable(target)

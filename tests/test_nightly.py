@@ -1,4 +1,5 @@
 import os
+from datetime import datetime
 
 import pytest
 
@@ -33,8 +34,46 @@ def test_writes_all_tables_and_cleans_up(spark, points, tmp_path):
         assert table.select("row_key").distinct().count() == table.count()
     assert all(r.row_key.endswith("-2001-30") for r in tables["week"].select("row_key").collect())
     assert len(tables["total"].columns) == 1 + 15 + 6
-    assert len(tables["week"].columns) == 1 + 15 + 5
-    assert len(tables["week_top"].columns) == 1 + 8
+    assert len(tables["week"].columns) == 1 + 15 + 5 + 1
+    assert len(tables["week_top"].columns) == 1 + 8 + 1
+
+
+def test_only_its_own_week_is_replaced(spark, points, tmp_path):
+    targets = {"week": f"{tmp_path}/week"}
+    earlier = fx.SETTINGS.with_(as_of=datetime(2001, 7, 20, 12))
+    for settings in (earlier, fx.SETTINGS, fx.SETTINGS):
+        nightly.run(fx.cards(spark, SF_DIR), settings, targets, points)
+    got = spark.read.parquet(targets["week"])
+    assert {r.week for r in got.select("week").distinct().collect()} == {"2001-29", "2001-30"}
+    assert got.count() == got.select("row_key").distinct().count()
+
+
+def test_stored_total_rows_are_carried_over(spark, points, tmp_path):
+    first, second = f"{tmp_path}/first", f"{tmp_path}/second"
+    nightly.run(fx.cards(spark, SF_DIR), fx.SETTINGS.with_(active_days=None), {"total": first}, points)
+    nightly.run(fx.cards(spark, SF_DIR), fx.SETTINGS.with_(active_days=3), {"total": second}, points,
+                stored_total=spark.read.parquet(first))
+    old, new = spark.read.parquet(first), spark.read.parquet(second)
+    assert new.count() == old.count()
+    few = base_from_cards(fx.cards(spark, SF_DIR), fx.SETTINGS.with_(active_days=3)).count()
+    assert 0 < old.join(new, ["row_key", "user_count", "rank5"], "left_anti").count() <= few < old.count()
+
+
+def test_merge_keeps_cells_not_written(spark):
+    stored = spark.createDataFrame([("a", "1", "x"), ("b", "2", "y")], "row_key string, p string, q string")
+    new = spark.createDataFrame([("a", None, "n"), ("c", "3", "m")], "row_key string, p string, r string")
+    got = {r.row_key: (r.p, r.q, r.r) for r in wide.merge_wide(stored, new).collect()}
+    assert got == {"a": ("1", "x", "n"), "b": ("2", "y", None), "c": ("3", None, "m")}
+
+
+def test_cells_and_views(spark, points, tmp_path):
+    nightly.run(fx.cards(spark, SF_DIR), fx.SETTINGS, {"total": f"{tmp_path}/cells"}, points, family="info")
+    cells = spark.read.parquet(f"{tmp_path}/cells")
+    assert cells.columns == ["row_key", "family", "column", "version", "seq", "value"]
+    assert cells.where("column = 'rank5'").count() == cells.select("row_key").distinct().count()
+    snap = nightly.snapshot(fx.cards(spark, SF_DIR), fx.SETTINGS)
+    nightly.register_views(snap)
+    assert spark.sql("SELECT count(*) FROM user_subject_base").first()[0] == snap.base.count()
 
 
 def test_legacy_names(spark, points):
