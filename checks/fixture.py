@@ -121,9 +121,8 @@ def knowledge_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User dimension: several rows per user, phones made from customer names."""
     return table(spark, sf_dir, "customer").select(
-        F.floor(F.col("c_custkey") / 3).cast("bigint").alias("user_id"),
-        F.concat(F.lit("138"), F.right(F.concat(F.lit("00000000"), F.regexp_extract("c_name", "([0-9]+)$", 1)), F.lit(8)))
-        .alias("reg_phone"),
+        F.expr("c_custkey div 3 AS user_id"),
+        F.expr("concat('138', right(concat('00000000', regexp_extract(c_name, '([0-9]+)$', 1)), 8)) AS reg_phone"),
         F.col("c_custkey").alias("updated"),
     )
 

@@ -64,11 +64,13 @@ _cte("hit", ["item"], """
   FROM item WHERE correct IN (1, 2) AND answer_time IS NOT NULL AND point <> 0""")
 
 _cte("point_stats", ["hit"], """
-  SELECT user_id, subject, point, sum(is_right) AS right_num, count(*) AS total_num, sum(answer_time) AS time_sum
+  SELECT user_id, subject, point, CAST(sum(is_right) AS BIGINT) AS right_num, count(*) AS total_num,
+         CAST(sum(answer_time) AS BIGINT) AS time_sum
   FROM hit GROUP BY ALL""")
 
 _cte("week_point_stats", ["hit"], f"""
-  SELECT user_id, subject, point, sum(is_right) AS right_num, count(*) AS total_num, sum(answer_time) AS time_sum
+  SELECT user_id, subject, point, CAST(sum(is_right) AS BIGINT) AS right_num, count(*) AS total_num,
+         CAST(sum(answer_time) AS BIGINT) AS time_sum
   FROM hit WHERE day BETWEEN DATE '{MONDAY}' AND DATE '{SUNDAY}' GROUP BY ALL""")
 
 _cte("card_stats", ["card"], """
@@ -161,15 +163,17 @@ _cte("week_text", ["week_point_stats"], _texts("week_point_stats"))
 def _subject_totals(source: str, subjects: str) -> str:
     return f"""
   SELECT subject, count(*) AS user_count, count(*) FILTER (WHERE score >= 20) AS qualified_user_count,
-         sum(answered_num) AS question_count, sum(answered_time) AS time_total, sum(right_num) AS right_total,
-         CAST(0 AS BIGINT) AS undo_total, sum(undone_num) AS undone_total
+         CAST(sum(answered_num) AS BIGINT) AS question_count, CAST(sum(answered_time) AS BIGINT) AS time_total,
+         CAST(sum(right_num) AS BIGINT) AS right_total,
+         CAST(0 AS BIGINT) AS undo_total, CAST(sum(undone_num) AS BIGINT) AS undone_total
   FROM {source} WHERE subject IN ({subjects}) GROUP BY subject"""
 
 
 def _week_totals(source: str, subjects: str) -> str:
     return f"""
-  SELECT subject, count(*) AS user_count, sum(week_answered_num) AS question_count, sum(week_time) AS time_total,
-         sum(week_right_num) AS right_total, CAST(0 AS BIGINT) AS undo_total, sum(week_undone_num) AS undone_total
+  SELECT subject, count(*) AS user_count, CAST(sum(week_answered_num) AS BIGINT) AS question_count,
+         CAST(sum(week_time) AS BIGINT) AS time_total, CAST(sum(week_right_num) AS BIGINT) AS right_total,
+         CAST(0 AS BIGINT) AS undo_total, CAST(sum(week_undone_num) AS BIGINT) AS undone_total
   FROM {source} WHERE subject IN ({subjects}) GROUP BY subject"""
 
 
@@ -215,7 +219,7 @@ _cte("knowledge_link", ["asked_point"], """
          CASE WHEN (point + subject) % 7 = 0 THEN 0 ELSE 1 END AS status
   FROM asked_point""")
 _cte("subject_point", ["knowledge", "knowledge_link"], """
-  SELECT coalesce(b.subject_id, 0) AS subject, k.id AS point, k.name
+  SELECT coalesce(b.subject_id, 0) AS subject, CAST(k.id AS BIGINT) AS point, k.name
   FROM knowledge AS k
   LEFT JOIN knowledge_link AS b ON k.id = b.knowledge_id AND k.status = 1 AND b.status = 1
   WHERE k.level = 1""")
@@ -296,7 +300,8 @@ FROM numbered AS c LEFT JOIN (SELECT row_no, {_CARD_LISTS} FROM card_lists GROUP
 
 ORACLE: dict[str, str] = {
     "cards_scan": _card_rows("", "strftime(c.day, '%Y-%m-%d') AS day,"),
-    "cards_volume": _with(["card"], "SELECT strftime(day, '%Y-%m-%d') AS day, count(*) AS card_num FROM card GROUP BY day"),
+    "cards_volume": _with(["card"], """
+SELECT strftime(day, '%Y-%m-%d') AS day, count(*) AS card_num FROM card GROUP BY day"""),
     "cards_on_day": _card_rows("WHERE c.day = DATE '2001-07-25'", ""),
     "active_users": _with(["active"], "SELECT user_id FROM active"),
     "point_stats": _with(["point_stats"], "SELECT * FROM point_stats"),

@@ -241,9 +241,7 @@ def contact_total_wide(spark: SparkSession, sf: str) -> DataFrame:
 
 def rowkey_range(spark: SparkSession, sf: str) -> DataFrame:
     """Newest cells as rows, keys from '2' up to but excluding '6' in byte order."""
-    newest = cl.newest_cells(fx.cells(spark, sf))
-    rows = newest.groupBy("row_key").agg(*[
-        F.max(F.when(F.col("column") == c, F.col("value"))).alias(c) for c in ("click", "purchase")])
+    rows = cl.newest_rows(fx.cells(spark, sf), dict.fromkeys(LOOKUP_FIELDS | {"purchase": ""}, "string"))
     return cl.scan_rows(rows, "2", "6", ["click", "purchase"])
 
 

@@ -49,7 +49,8 @@ def delete_rows(cells: DataFrame, keys: DataFrame) -> DataFrame:
 def keep_versions(cells: DataFrame, versions: int = 24) -> DataFrame:
     """The newest versions of every cell; each map task drops the rest before the shuffle."""
     newest = Window.partitionBy(*CELL).orderBy(*[F.col(c).desc() for c in WRITTEN])
-    return cells.withColumn("version_no", F.row_number().over(newest)).where(F.col("version_no") <= versions)
+    kept = cells.withColumn("version_no", F.row_number().over(newest)).where(F.col("version_no") <= versions)
+    return kept.withColumn("version_no", F.col("version_no").cast("bigint"))
 
 
 def scan_rows(table: DataFrame, low: str, high: str, columns: Sequence[str]) -> DataFrame:
@@ -57,6 +58,15 @@ def scan_rows(table: DataFrame, low: str, high: str, columns: Sequence[str]) ->
     return table.where((F.col("row_key") >= low) & (F.col("row_key") < high)).select("row_key", *columns)
 
 
+def newest_rows(cells: DataFrame, fields: Mapping[str, str]) -> DataFrame:
+    """Cells of one family as wide rows of typed columns, newest values only; one shuffle on the row key."""
+    written = F.struct(*WRITTEN, "value")
+    return cells.groupBy("row_key").agg(*[
+        F.max(F.when(F.col("column") == name, written)).getField("value").cast(kind).alias(name)
+        for name, kind in fields.items()
+    ])
+
+
 def typed_lookup(cells: DataFrame, keys: DataFrame, family: str, fields: Mapping[str, str]) -> DataFrame:
     """Newest values of the asked rows as typed columns; keys without cells give no row.
 
@@ -69,9 +79,5 @@ def typed_lookup(cells: DataFrame, keys: DataFrame, family: str, fields: Mapping
     found = cells.where(F.col("family") == family)
     if few:
         found = found.join(F.broadcast(asked), "row_key", "left_semi")
-    written = F.struct(*WRITTEN, "value")
-    rows = found.groupBy("row_key").agg(*[
-        F.max(F.when(F.col("column") == name, written)).getField("value").cast(kind).alias(name)
-        for name, kind in fields.items()
-    ])
+    rows = newest_rows(found, fields)
     return rows if few else rows.join(asked, "row_key", "left_semi")

@@ -94,4 +94,4 @@ def top_rows(
     if k > limit:
         return group_ranks(materialize(rows, "ranked-rows"), {rank: key}, group, tie).where(F.col(rank) <= k)
     place = F.row_number().over(Window.partitionBy(group).orderBy(key.desc_nulls_last(), F.col(tie).asc()))
-    return rows.withColumn(rank, place).where(F.col(rank) <= k)
+    return rows.withColumn(rank, place).where(F.col(rank) <= k).withColumn(rank, F.col(rank).cast("bigint"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,13 +76,19 @@ def run(
         for name, target in targets.items():
             table = tables[name]
             if family is not None:
-                table = to_cells(table, family, version=int(settings.as_of.timestamp() * 1000))
+                table = to_cells(table, family, version=_millis(settings.as_of))
             by_week = name in ("week", "week_top")
             if by_week:
                 table = table.withColumn("week", F.lit(settings.week_label))
             write_wide(table, target, partition_by=["week"] if by_week else [], **writer)
 
 
+def _millis(moment: datetime) -> int:
+    if moment.tzinfo is None:
+        moment = moment.replace(tzinfo=timezone.utc)
+    return int(moment.timestamp() * 1000)
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     parser.add_argument("cards")

@@ -35,6 +35,11 @@ def test_lookup_and_delete_with_small_and_large_keys(spark, stored, limit, monke
     assert {r.row_key for r in cells.delete_rows(stored, asked).collect()} == {"9"}
 
 
+def test_row_with_other_cells_only_is_still_found(spark, stored):
+    row, = cells.typed_lookup(stored, keys(spark, "9"), "info", {"rate": "double"}).collect()
+    assert row.asDict() == {"row_key": "9", "rate": None}
+
+
 def test_versions(spark):
     df = spark.createDataFrame([("1", "f", "c", v, v, str(v)) for v in range(40)], FIELDS)
     kept = cells.keep_versions(df)
@@ -43,7 +48,8 @@ def test_versions(spark):
 
 
 def test_range_is_half_open_in_byte_order(spark):
-    df = spark.createDataFrame([(k, "a", "b") for k in ("1", "10", "2", "20", "3")], "row_key string, x string, y string")
+    rows = [(k, "a", "b") for k in ("1", "10", "2", "20", "3")]
+    df = spark.createDataFrame(rows, "row_key string, x string, y string")
     got = cells.scan_rows(df, "10", "3", ["x"])
     assert got.columns == ["row_key", "x"]
     assert sorted(r.row_key for r in got.collect()) == ["10", "2", "20"]
