@@ -2,30 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-_run: ContextVar[str] = ContextVar("run", default="adhoc")
-
-
-@cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="quizlens-")
+_run: ContextVar[str] = ContextVar("run", default="queries")
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """``<spark.checkpoint.dir>/quizlens-<application>/<run>``; only local sessions may go without the setting."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = _local_root()
+    """``<spark.checkpoint.dir>/quizlens-<application>/<run>``.
+
+    Where the setting is missing, as in tests, a folder in the warehouse stands in, which every executor reaches too.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
     return f"{root.rstrip('/')}/quizlens-{spark.sparkContext.applicationId}/{_run.get()}"
 
 
@@ -37,14 +29,18 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove what :func:`materialize` wrote in the current run, once the results that read it are written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def scratch_run(spark: SparkSession) -> Iterator[str]:
     """A folder of its own for what is materialized inside, removed at the end."""
     token = _run.set(uuid.uuid4().hex)
-    folder = scratch_folder(spark)
     try:
-        yield folder
+        yield scratch_folder(spark)
+        drop_scratch(spark)
     finally:
         _run.reset(token)
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
