@@ -7,22 +7,38 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quizlens.llm import best_fit_packing, bpe_codec
+from quizlens.llm import best_fit_packing, bpe_codec, quality_rules, sharding, simhash_dedup, substring_dedup
 from quizlens.llm.tables import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_rules.document_verdicts(table(spark, sf, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return best_fit_packing.pack_documents(table(spark, sf, "documents"), VOCABULARY)
 
 
+def op5_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substring_dedup.removal_digests(table(spark, sf, "documents"))
+
+
+def op6_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf, "documents"))
+
+
+def op7_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash_dedup.near_duplicates(table(spark, sf, "documents"))
+
+
 def op10_bpe_codec(spark: SparkSession, sf: str) -> DataFrame:
     return bpe_codec.encoding_digests(table(spark, sf, "documents"), VOCABULARY)
 
 
-ALL = [op4_best_fit_packing, op10_bpe_codec]
-ORACLE: dict[str, str] = {}
+ALL = [op1_quality_rules, op4_best_fit_packing, op5_substring_dedup, op6_sharding, op7_simhash_dedup, op10_bpe_codec]
+ORACLE: dict[str, str] = {"op1_quality_rules": quality_rules.ORACLE}
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
