@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quizlens.llm import best_fit_packing, bpe_codec, quality_rules, sharding, simhash_dedup, substring_dedup
+from quizlens.llm import (
+    best_fit_packing,
+    bpe_codec,
+    edit_fingerprints,
+    html_extraction,
+    quality_rules,
+    sharding,
+    simhash_dedup,
+    substring_dedup,
+    tool_calls,
+    toxicity,
+)
 from quizlens.llm.tables import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -17,6 +28,14 @@ def op1_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.document_verdicts(table(spark, sf, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.document_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op3_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return html_extraction.extract_pages(table(spark, sf, "pages"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return best_fit_packing.pack_documents(table(spark, sf, "documents"), VOCABULARY)
 
@@ -33,12 +52,23 @@ def op7_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf, "documents"))
 
 
+def op8_edit_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return edit_fingerprints.fingerprint_documents(table(spark, sf, "documents"))
+
+
+def op9_tool_calls(spark: SparkSession, sf: str) -> DataFrame:
+    return tool_calls.conversation_calls(table(spark, sf, "conversations"))
+
+
 def op10_bpe_codec(spark: SparkSession, sf: str) -> DataFrame:
     return bpe_codec.encoding_digests(table(spark, sf, "documents"), VOCABULARY)
 
 
-ALL = [op1_quality_rules, op4_best_fit_packing, op5_substring_dedup, op6_sharding, op7_simhash_dedup, op10_bpe_codec]
-ORACLE: dict[str, str] = {"op1_quality_rules": quality_rules.ORACLE}
+ALL = [
+    op1_quality_rules, op2_toxicity, op3_html_extraction, op4_best_fit_packing, op5_substring_dedup, op6_sharding,
+    op7_simhash_dedup, op8_edit_fingerprints, op9_tool_calls, op10_bpe_codec,
+]
+ORACLE: dict[str, str] = {"op1_quality_rules": quality_rules.ORACLE, "op9_tool_calls": tool_calls.ORACLE}
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
