@@ -35,12 +35,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(df: DataFrame, *keys: str) -> DataFrame:
-    """A small file has one row group, which one task would read alone; large inputs are left as they are."""
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted, *keys) if df.rdd.getNumPartitions() < wanted else df
-
-
 def _literal(values: list) -> str:
     return f"array({', '.join(map(str, values))})"
 
@@ -71,7 +65,7 @@ def raw_cards(spark: SparkSession, sf_dir: str, day_from: date | None = None, da
     )
     needed = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
               "l_returnflag", "l_shipdate"]
-    return _spread(li.select(*needed), "l_orderkey", "l_partkey").selectExpr(
+    return li.select(*needed).selectExpr(
         "l_orderkey * 8 + l_linenumber AS cardId",
         "(l_suppkey * CAST(round(l_tax * 100) AS BIGINT)) div 8 AS userId",
         "CAST(l_orderkey % 7 AS INT) AS kind",
@@ -120,19 +114,20 @@ def knowledge_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User dimension: several rows per user, phones made from customer names."""
-    return table(spark, sf_dir, "customer").select(
+    digits = F.regexp_extract("c_name", "([0-9]+)$", 1)
+    return table(spark, sf_dir, "customer").withColumn("digits", digits).select(
         F.expr("c_custkey div 3 AS user_id"),
-        F.expr("concat('138', right(concat('00000000', regexp_extract(c_name, '([0-9]+)$', 1)), 8)) AS reg_phone"),
+        F.expr("concat('138', lpad(digits, greatest(8, length(digits)), '0')) AS reg_phone"),
         F.col("c_custkey").alias("updated"),
     )
 
 
-def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide-table cells: one write per event. Signups and views hold whole numbers."""
+def cells(spark: SparkSession, sf_dir: str, row_key: str = "user_id") -> DataFrame:
+    """Wide-table cells: one write per event, every fifth to another family. Signups and views hold whole numbers."""
     whole = F.col("event_type").isin("signup", "view")
     return table(spark, sf_dir, "events").select(
-        F.col("user_id").cast("string").alias("row_key"),
-        F.lit("info").alias("family"),
+        F.expr(row_key).cast("string").alias("row_key"),
+        F.when(F.col("event_id") % 5 == 0, "more").otherwise("info").alias("family"),
         F.col("event_type").alias("column"),
         F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts)").alias("version"),
         F.col("event_id").alias("seq"),

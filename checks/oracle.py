@@ -6,13 +6,22 @@ plain windows), so that agreement says something about the shorter ways the engi
 
 from __future__ import annotations
 
-from checks.fixture import AS_OF, MAX_QUESTIONS, SETTINGS, SUBJECT_POINTS
-from quizlens.functions.rules import rule_rows
-
-MONDAY, SUNDAY = (d.isoformat() for d in SETTINGS.week)
-ACTIVE_SINCE = SETTINGS.active_since.isoformat()
-LABEL = SETTINGS.week_label
-assert AS_OF.isoformat() == "2001-07-29T12:00:00"
+from checks.fixture import MAX_QUESTIONS, SUBJECT_POINTS
+
+# Fixed values, apart from the engine's: the week of 2001-07-29 12:00, 30 days before, and the score rules.
+MONDAY, SUNDAY, LABEL = "2001-07-23", "2001-07-29", "2001-30"
+ACTIVE_SINCE = "2001-06-29"
+WEIGHTED = [(1, 392, 20), (1, 435, 40), (1, 482, 15), (1, 642, 40), (1, 754, 20)]
+POOLED = [
+    (2, 3125), (2, 3195), (2, 3250), (2, 3280), (2, 3298), (2, 3332),
+    (200100054, 36667), (200100054, 65836), (200100054, 65877), (200100054, 65903), (200100054, 65904), (200100054, 65905),
+    (200100055, 36667), (200100055, 65836), (200100055, 65877), (200100055, 65903), (200100055, 65904), (200100055, 65905),
+    (200100056, 36667), (200100056, 65836), (200100056, 65877), (200100056, 65903), (200100056, 65904), (200100056, 65905),
+    (200100056, 65902), (200100056, 66089),
+    (200100057, 36667), (200100057, 65836), (200100057, 65877), (200100057, 65903), (200100057, 65904), (200100057, 65905),
+    (100100175, 36667), (100100175, 37098), (100100175, 37099), (100100175, 37100), (100100175, 37101), (100100175, 37175),
+]
+TWICE, NEVER = (200100056, 66089), (200100056, 65902)     # in the denominator
 
 
 def _pick(kind: str, values: list) -> str:
@@ -92,8 +101,8 @@ _cte("week_item_stats", ["item"], f"""
          count(*) FILTER (WHERE correct = 1 AND answer_time IS NOT NULL AND point <> 0) AS right_num
   FROM item WHERE day BETWEEN DATE '{MONDAY}' AND DATE '{SUNDAY}' GROUP BY ALL""")
 
-_RULES = ", ".join(
-    f"({s}, {p}, {'NULL' if share is None else share}, {wr}, {wt})" for s, p, share, wr, wt in rule_rows())
+_RULES = ", ".join([f"({s}, {p}, {w / 135!r}, 1, 1)" for s, p, w in WEIGHTED] + [
+    f"({s}, {p}, NULL, 1, {2 if (s, p) == TWICE else 0 if (s, p) == NEVER else 1})" for s, p in POOLED])
 _cte("rule", [], f"""
   SELECT * FROM (VALUES {_RULES}) AS r(subject, point, share, w_right, w_total)""")
 
@@ -115,6 +124,22 @@ def _score(stats: str, gate: bool) -> str:
 _cte("total_score", ["card_stats", "rule", "point_stats"], _score("point_stats", True))
 _cte("week_score", ["card_stats", "rule", "week_point_stats"], _score("week_point_stats", False))
 
+_cte("running", ["hit", "card_stats"], f"""
+  SELECT user_id, subject, coalesce(running_right_num, 0) AS running_right_num,
+         coalesce(week_running_right_num, 0) AS week_running_right_num
+  FROM card_stats LEFT JOIN (
+SELECT user_id, subject, CAST(sum(so_far) AS BIGINT) AS running_right_num,
+       CAST(coalesce(sum(week_so_far) FILTER (WHERE in_week), 0) AS BIGINT) AS week_running_right_num
+FROM (SELECT user_id, subject, in_week,
+             sum(c) OVER (PARTITION BY user_id, subject, point ORDER BY day, card_id
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS so_far,
+             sum(CASE WHEN in_week THEN c ELSE 0 END) OVER (PARTITION BY user_id, subject, point ORDER BY day, card_id
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS week_so_far
+      FROM (SELECT user_id, subject, point, day, card_id, sum(is_right) AS c,
+                   day BETWEEN DATE '{MONDAY}' AND DATE '{SUNDAY}' AS in_week
+            FROM hit GROUP BY ALL) AS x) AS y
+GROUP BY user_id, subject) AS r USING (user_id, subject)""")
+
 _cte("everyone", ["card_stats", "item_stats", "week_item_stats", "total_score", "week_score"], """
   SELECT c.user_id, c.subject, c.practice_days,
          coalesce(i.answered_num, 0) AS answered_num, CAST(coalesce(i.answered_time, 0) AS BIGINT) AS answered_time,
@@ -231,13 +256,13 @@ _cte("contact", [], """
   SELECT user_id, sha256(reg_phone) AS phone_hash,
          substr(reg_phone, 1, 3) || '****' || right(reg_phone, 4) AS phone_masked
   FROM (SELECT c_custkey // 3 AS user_id,
-               '138' || right('00000000' || regexp_extract(c_name, '([0-9]+)$', 1), 8) AS reg_phone,
+               '138' || CASE WHEN length(digits) < 8 THEN lpad(digits, 8, '0') ELSE digits END AS reg_phone,
                row_number() OVER (PARTITION BY c_custkey // 3 ORDER BY c_custkey DESC) AS n
-        FROM customer) AS u
+        FROM (SELECT *, regexp_extract(c_name, '([0-9]+)$', 1) AS digits FROM customer) AS d) AS u
   WHERE n = 1""")
 
 _cte("cell", [], """
-  SELECT CAST(user_id AS VARCHAR) AS row_key, 'info' AS family, event_type AS "column", epoch_us(ts) AS version,
+  SELECT CAST(user_id AS VARCHAR) AS row_key, CASE WHEN event_id % 5 = 0 THEN 'more' ELSE 'info' END AS family, event_type AS "column", epoch_us(ts) AS version,
          event_id AS seq,
          CASE WHEN event_type IN ('signup', 'view') THEN CAST(CAST(floor(value) AS BIGINT) AS VARCHAR)
               ELSE CAST(value AS VARCHAR) END AS value
@@ -245,6 +270,11 @@ _cte("cell", [], """
 _cte("cell_version", ["cell"], """
   SELECT *, row_number() OVER (PARTITION BY row_key, family, "column" ORDER BY version DESC, seq DESC) AS version_no
   FROM cell""")
+_cte("shared_cell_version", ["cell"], """
+  SELECT * REPLACE (CAST(CAST(row_key AS BIGINT) % 10 AS VARCHAR) AS row_key),
+         row_number() OVER (PARTITION BY CAST(row_key AS BIGINT) % 10, family, "column"
+                            ORDER BY version DESC, seq DESC) AS version_no
+  FROM cell""")
 _cte("newest", ["cell_version"], """SELECT * EXCLUDE (version_no) FROM cell_version WHERE version_no = 1""")
 
 
@@ -280,8 +310,8 @@ _FEATURES = """
          isoyear(ts) || '-' || weekofyear(ts) AS week_label,
          TRY_CAST(CASE WHEN regexp_full_match(text, '[0-9]+') THEN text END AS BIGINT) AS parsed_number,
          strftime(ts, '%Y%m%d') AS compact_again, strftime(ts, '%Y-%m-%d') AS dashed_again
-  FROM (SELECT 'events' AS source, event_id AS id, ts, substr(props, 7, 2) AS text FROM events
-        UNION ALL SELECT 'orders', o_orderkey, o_orderdate, substr(o_orderpriority, 1, 1) FROM orders) AS t"""
+  FROM (SELECT 'events' AS source, event_id AS id, ts, regexp_extract(props, ': *(.*)[}]$', 1) AS text FROM events
+        UNION ALL SELECT 'orders', o_orderkey, o_orderdate, o_orderpriority FROM orders) AS t"""
 
 # Rows of the same stored card id stay separate cards, so list order needs a row identity.
 _cte("numbered", ["card"], "SELECT *, row_number() OVER () AS row_no FROM card")
@@ -315,18 +345,7 @@ SELECT user_id, subject, answered_num, answered_time, practice_days, right_num,
 SELECT user_id, subject, week_answered_num, week_time, week_right_num, week_speed, week_accuracy, week_undo_num,
        week_undone_num
 FROM ({_week_rows('everyone', True)}) AS w"""),
-    "legacy_running_correct": _with(["hit", "card_stats"], f"""
-SELECT user_id, subject, CAST(sum(so_far) AS BIGINT) AS running_right_num,
-       CAST(coalesce(sum(week_so_far) FILTER (WHERE in_week), 0) AS BIGINT) AS week_running_right_num
-FROM (SELECT user_id, subject, in_week,
-             sum(c) OVER (PARTITION BY user_id, subject, point ORDER BY day, card_id
-                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS so_far,
-             sum(CASE WHEN in_week THEN c ELSE 0 END) OVER (PARTITION BY user_id, subject, point ORDER BY day, card_id
-                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS week_so_far
-      FROM (SELECT user_id, subject, point, day, card_id, sum(is_right) AS c,
-                   day BETWEEN DATE '{MONDAY}' AND DATE '{SUNDAY}' AS in_week
-            FROM hit GROUP BY ALL) AS x) AS y
-GROUP BY user_id, subject"""),
+    "legacy_running_correct": _with(["running"], "SELECT * FROM running"),
     "predicted_score": _with(["everyone"], "SELECT user_id, subject, score, sort_score FROM everyone"),
     "week_predicted_score": _with(["everyone"], "SELECT user_id, subject, week_score FROM everyone"),
     "active_total": _with(["base"], """
@@ -420,19 +439,52 @@ LEFT JOIN contact AS u ON u.user_id = r.user_id"""),
     "rowkey_range": _with(["newest"], """
 SELECT row_key, max(value) FILTER (WHERE "column" = 'click') AS click,
        max(value) FILTER (WHERE "column" = 'purchase') AS purchase
-FROM newest WHERE row_key >= '2' AND row_key < '6' GROUP BY row_key"""),
+FROM newest WHERE family = 'info' AND row_key >= '2' AND row_key < '6' GROUP BY row_key"""),
     "typed_lookup": _with(["newest"], """
 SELECT row_key, CAST(max(value) FILTER (WHERE "column" = 'click') AS DOUBLE) AS click,
        CAST(max(value) FILTER (WHERE "column" = 'view') AS BIGINT) AS view,
        CAST(max(value) FILTER (WHERE "column" = 'signup') AS BIGINT) AS signup,
        max(value) FILTER (WHERE "column" = 'error') AS error
-FROM newest WHERE row_key IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal > 0)
+FROM newest WHERE family = 'info' AND row_key IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal > 0)
 GROUP BY row_key"""),
     "cell_upsert": _with(["newest"], "SELECT * FROM newest"),
     "key_delete": _with(["cell"], """
 SELECT * FROM cell WHERE row_key NOT IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal < 0)"""),
-    "version_retention": _with(["cell_version"], "SELECT * FROM cell_version WHERE version_no <= 24"),
+    "version_retention": _with(["shared_cell_version"], "SELECT * FROM shared_cell_version WHERE version_no <= 24"),
     "version_retention_short": _with(["cell_version"], "SELECT * FROM cell_version WHERE version_no <= 10"),
     "calendar_features": _with([], _FEATURES),
     "string_count": "SELECT o_orderpriority, count(*) AS row_num FROM orders GROUP BY o_orderpriority",
 }
+
+# The same results where only an input or a name differs.
+
+
+def _of_day(sql: str, day: str) -> str:
+    return sql.replace("FROM lineitem) AS c", f"FROM lineitem WHERE CAST(l_shipdate AS DATE) = DATE '{day}') AS c")
+
+
+def _running(sql: str) -> str:
+    return (sql.replace("everyone AS (", f"running AS ({CTES['running'][1]}),\neveryone AS (", 1)
+            .replace("coalesce(i.right_num, 0) AS right_num", "coalesce(g.running_right_num, 0) AS right_num")
+            .replace("coalesce(w.right_num, 0) AS week_right_num", "coalesce(g.week_running_right_num, 0) AS week_right_num")
+            .replace("LEFT JOIN week_score AS s USING (user_id, subject)",
+                     "LEFT JOIN week_score AS s USING (user_id, subject) LEFT JOIN running AS g USING (user_id, subject)"))
+
+
+ORACLE |= {
+    "older_day_total_wide": _of_day(ORACLE["older_total_wide"], "2001-07-25"),
+    "running_total_wide": _running(ORACLE["total_wide"]),
+    "running_week_wide": _running(ORACLE["week_wide"]),
+    "legacy_week_top_wide": f"""
+SELECT row_key, user_id AS "userId", week_point_stats AS grade, week_score AS predict_score, subject, rank,
+       week_answered_num AS "exerciseNum", week_time AS "exerciseTime", week_sort_score AS "sortScore"
+FROM ({ORACLE["week_top_wide"]}) AS t""",
+    "active_user_scores": _with(["base"], "SELECT user_id, subject, score, sort_score FROM base"),
+    "top_cards": _with(["card", "item"], """
+SELECT subject, card_id, card_time, rank FROM (
+  SELECT subject, card_id, card_time, row_number() OVER (PARTITION BY subject ORDER BY card_time DESC, card_id) AS rank
+  FROM (SELECT c.subject, c.card_id, CAST(coalesce(sum(answer_time), 0) AS BIGINT) AS card_time
+        FROM (SELECT DISTINCT subject, card_id FROM card) AS c
+        LEFT JOIN item AS i ON i.subject = c.subject AND i.card_id = c.card_id GROUP BY ALL) AS s) AS r
+WHERE rank <= 1000"""),
+}

@@ -14,7 +14,7 @@ from quizlens.operators import answers as ans
 from quizlens.operators import cells as cl
 from quizlens.operators import knowledge as kn
 from quizlens.operators.materialize import materialize
-from quizlens.operators.ranking import group_ranks
+from quizlens.operators.ranking import group_ranks, top_rows
 from quizlens.operators.running import running_right
 from quizlens.plans import base as bs
 from quizlens.plans import nightly, totals, week, wide
@@ -23,6 +23,7 @@ from quizlens.sources import cards as src
 
 S = fx.SETTINGS
 OLDER = older_job(fx.AS_OF)
+RUNNING = S.with_(running_right=True)
 CUT_DAY = date(2000, 1, 1)             # stored roll-up before, new cards from here on
 CUT_VERSION = 1_705_276_800_000_000    # 2024-01-15, stored cells before, new writes from here on
 LOOKUP_FIELDS = {"click": "double", "view": "bigint", "signup": "bigint", "error": "string"}
@@ -110,10 +111,45 @@ def legacy_running_correct(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def merge_point_stats(spark: SparkSession, sf: str) -> DataFrame:
-    rollup = ans.daily_rollup(_answers(spark, sf))
-    stored = rollup.where(F.col("day") < F.lit(CUT_DAY))
-    new = rollup.where(F.col("day") >= F.lit(CUT_DAY))
-    return ans.point_stats(ans.merge_rollups(stored, new))
+    """A stored roll-up of the days before, read again, and the answers of the new days, summed up once."""
+    day = F.col("day")
+    before = ans.explode_answers(fx.cards(spark, sf).where((day < F.lit(CUT_DAY)) | day.isNull()))
+    new = ans.explode_answers(fx.cards(spark, sf, day_from=CUT_DAY))
+    return ans.point_stats(materialize(ans.daily_rollup(before), "rollup").unionByName(new, allowMissingColumns=True))
+
+
+def older_day_total_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """The earlier program over the cards of one day, as it ran."""
+    day = date(2001, 7, 25)
+    cards = src.cards_on_day(fx.cards(spark, sf, day, day), day)
+    return wide.total_wide(nightly.snapshot(cards, OLDER).base, None, OLDER)
+
+
+def running_total_wide(spark: SparkSession, sf: str) -> DataFrame:
+    snap = _snapshot(spark, sf, RUNNING)
+    return wide.total_wide(snap.base, snap.subject_lists, RUNNING)
+
+
+def running_week_wide(spark: SparkSession, sf: str) -> DataFrame:
+    snap = _snapshot(spark, sf, RUNNING)
+    return wide.week_wide(snap.week, snap.subject_lists, RUNNING)
+
+
+def legacy_week_top_wide(spark: SparkSession, sf: str) -> DataFrame:
+    legacy = S.with_(legacy_names=True)
+    return wide.week_top_wide(week.week_rows(_base(spark, sf, with_text=True), legacy), legacy)
+
+
+def active_user_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of the users in a list of active ones that is made apart from the base."""
+    users = bs.active_users(fx.cards(spark, sf, day_from=S.active_since), S)
+    return bs.semi_join_users(predicted_score(spark, sf), users)
+
+
+def top_cards(spark: SparkSession, sf: str) -> DataFrame:
+    """The thousand cards of each subject that took longest."""
+    time = _answers(spark, sf).groupBy("subject", "card_id").agg(F.sum("all_time").alias("card_time"))
+    return top_rows(time, F.col("card_time"), S.top_k, tie="card_id")
 
 
 def predicted_score(spark: SparkSession, sf: str) -> DataFrame:
@@ -156,15 +192,14 @@ def days_pass_count(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def total_ranks(spark: SparkSession, sf: str) -> DataFrame:
-    """On the range path, which does not need a group to fit a task."""
     base = _kept_base(spark, sf, "score", "sort_score", "practice_days", "answered_time", "answered_num")
-    return group_ranks(base, totals.total_rank_keys(S), window_rows=0)
+    return group_ranks(base, totals.total_rank_keys(S))
 
 
 def week_ranks(spark: SparkSession, sf: str) -> DataFrame:
     rows = _week(spark, sf).select(
         "user_id", "subject", "week_score", "week_sort_score", "week_answered_num", "week_speed", "week_accuracy")
-    return group_ranks(materialize(rows, "week"), week.week_rank_keys(S), window_rows=0)
+    return group_ranks(materialize(rows, "week"), week.week_rank_keys(S))
 
 
 def total_top(spark: SparkSession, sf: str) -> DataFrame:
@@ -241,7 +276,7 @@ def contact_total_wide(spark: SparkSession, sf: str) -> DataFrame:
 
 def rowkey_range(spark: SparkSession, sf: str) -> DataFrame:
     """Newest cells as rows, keys from '2' up to but excluding '6' in byte order."""
-    rows = cl.newest_rows(fx.cells(spark, sf), dict.fromkeys(LOOKUP_FIELDS | {"purchase": ""}, "string"))
+    rows = cl.newest_rows(fx.cells(spark, sf), "info", dict.fromkeys(LOOKUP_FIELDS | {"purchase": ""}, "string"))
     return cl.scan_rows(rows, "2", "6", ["click", "purchase"])
 
 
@@ -264,7 +299,8 @@ def key_delete(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def version_retention(spark: SparkSession, sf: str) -> DataFrame:
-    return cl.keep_versions(fx.cells(spark, sf), 24)
+    """Cells with some hundred versions each, of which the newest stay."""
+    return cl.keep_versions(fx.cells(spark, sf, "user_id % 10"), 24)
 
 
 def version_retention_short(spark: SparkSession, sf: str) -> DataFrame:
@@ -276,10 +312,10 @@ def version_retention_short(spark: SparkSession, sf: str) -> DataFrame:
 
 def calendar_features(spark: SparkSession, sf: str) -> DataFrame:
     events = fx.table(spark, sf, "events").select(
-        F.lit("events").alias("source"), F.col("event_id").alias("id"), "ts", F.substring("props", 7, 2).alias("text"))
+        F.lit("events").alias("source"), F.col("event_id").alias("id"), "ts", F.regexp_extract("props", ": *(.*)[}]$", 1).alias("text"))
     orders = fx.table(spark, sf, "orders").select(
         F.lit("orders").alias("source"), F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("ts"),
-        F.substring("o_orderpriority", 1, 1).alias("text"))
+        F.col("o_orderpriority").alias("text"))
     rows = calendar.calendar_features(events.unionByName(orders), "ts", add_days=10, number_text="text")
     return rows.drop("ts", "text").withColumns({
         "compact_again": calendar.compact_from_dashed(F.col("day_dashed")),
@@ -299,7 +335,8 @@ ALL = [
     total_ranks, week_ranks, total_top, week_top,
     knowledge_subject, subject_points, subject_points_enrich, user_contact_enrich, total_with_subject_totals,
     total_wide, week_wide, week_top_wide, older_total_wide, older_week_wide, older_week_top_wide,
-    contact_total_wide,
+    contact_total_wide, older_day_total_wide, running_total_wide, running_week_wide, legacy_week_top_wide,
+    active_user_scores, top_cards,
     rowkey_range, typed_lookup, cell_upsert, key_delete, version_retention, version_retention_short,
     calendar_features, string_count,
 ]

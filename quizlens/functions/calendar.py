@@ -37,12 +37,14 @@ def parse_day(value: Column, data_type: str) -> Column:
 
 
 def pad_two(value: Column) -> Column:
-    return F.lpad(value.cast("string"), 2, "0")
+    """At least two digits; longer numbers stay whole."""
+    text = value.cast("string")
+    return F.when(F.length(text) < 2, F.lpad(text, 2, "0")).otherwise(text)
 
 
 def strip_zero(text: Column) -> Column:
     """Drop one leading zero, but keep a lone 0."""
-    return F.when((text != "0") & text.startswith("0"), F.substring(text, 2, 8)).otherwise(text)
+    return F.when((text != "0") & text.startswith("0"), text.substr(F.lit(2), F.length(text))).otherwise(text)
 
 
 def calendar_features(df: DataFrame, ts: str, add_days: int = 1, number_text: str | None = None) -> DataFrame:

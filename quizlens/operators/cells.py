@@ -11,8 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quizlens.operators.bounded import broadcast_if_small, is_small
-
 CELL = ("row_key", "family", "column")
 WRITTEN = ("version", "seq")
 
@@ -42,13 +40,13 @@ def upsert_cells(stored: DataFrame, written: DataFrame) -> DataFrame:
 
 
 def delete_rows(cells: DataFrame, keys: DataFrame) -> DataFrame:
-    """Cells whose row key is not among ``keys``; a small key set is broadcast and shuffles no cells."""
-    return cells.join(broadcast_if_small(keys.select("row_key"), text=["row_key"]), "row_key", "left_anti")
+    """Cells whose row key is not among ``keys``; adaptive execution broadcasts a key set that turns out small."""
+    return cells.join(keys.select("row_key"), "row_key", "left_anti")
 
 
 def keep_versions(cells: DataFrame, versions: int = 24) -> DataFrame:
     """The newest versions of every cell; each map task drops the rest before the shuffle."""
-    newest = Window.partitionBy(*CELL).orderBy(*[F.col(c).desc() for c in WRITTEN])
+    newest = Window.partitionBy(*CELL).orderBy(*[F.col(c).desc() for c in (*WRITTEN, "value")])
     kept = cells.withColumn("version_no", F.row_number().over(newest)).where(F.col("version_no") <= versions)
     return kept.withColumn("version_no", F.col("version_no").cast("bigint"))
 
@@ -58,10 +56,10 @@ def scan_rows(table: DataFrame, low: str, high: str, columns: Sequence[str]) ->
     return table.where((F.col("row_key") >= low) & (F.col("row_key") < high)).select("row_key", *columns)
 
 
-def newest_rows(cells: DataFrame, fields: Mapping[str, str]) -> DataFrame:
+def newest_rows(cells: DataFrame, family: str, fields: Mapping[str, str]) -> DataFrame:
     """Cells of one family as wide rows of typed columns, newest values only; one shuffle on the row key."""
     written = F.struct(*WRITTEN, "value")
-    return cells.groupBy("row_key").agg(*[
+    return cells.where(F.col("family") == family).groupBy("row_key").agg(*[
         F.max(F.when(F.col("column") == name, written)).getField("value").cast(kind).alias(name)
         for name, kind in fields.items()
     ])
@@ -70,14 +68,7 @@ def newest_rows(cells: DataFrame, fields: Mapping[str, str]) -> DataFrame:
 def typed_lookup(cells: DataFrame, keys: DataFrame, family: str, fields: Mapping[str, str]) -> DataFrame:
     """Newest values of the asked rows as typed columns; keys without cells give no row.
 
-    ``fields`` maps column to type. A small key set is broadcast and thins out the cells before the shuffle.
-    With a large one rows are put together first: partial aggregates shrink hot rows, and the join reuses
-    the aggregate's partitioning.
+    ``fields`` maps column to type. Rows are put together first: partial aggregates shrink hot rows, and the join
+    with the asked keys reuses the aggregate's partitioning.
     """
-    asked = keys.select("row_key")
-    few = is_small(asked, text=["row_key"])
-    found = cells.where(F.col("family") == family)
-    if few:
-        found = found.join(F.broadcast(asked), "row_key", "left_semi")
-    rows = newest_rows(found, fields)
-    return rows if few else rows.join(asked, "row_key", "left_semi")
+    return newest_rows(cells, family, fields).join(keys.select("row_key"), "row_key", "left_semi")

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quizlens.operators.bounded import broadcast_if_small
+
+#: Copies of each subject's lists, so that the rows of a large subject are joined by as many tasks.
+LIST_COPIES = 32
 
 
 def knowledge_subject(knowledge: DataFrame, bridge: DataFrame, level: int = 1) -> DataFrame:
@@ -36,8 +38,13 @@ def subject_points(points: DataFrame) -> DataFrame:
 
 
 def attach_subject_points(rows: DataFrame, subject_lists: DataFrame) -> DataFrame:
-    """Adds the lists by subject, '' where the subject has none."""
-    return rows.join(broadcast_if_small(subject_lists, text=("points", "point_names")), "subject", "left").withColumns({
+    """Adds the lists by subject, '' where the subject has none.
+
+    There are few subjects, so rows carry a number by user as well and meet one of the copies of their lists.
+    """
+    copies = subject_lists.select("*", F.explode(F.sequence(F.lit(0), F.lit(LIST_COPIES - 1))).alias("_copy"))
+    salted = rows.withColumn("_copy", F.pmod(F.hash("user_id"), F.lit(LIST_COPIES)))
+    return salted.join(copies, ["subject", "_copy"], "left").drop("_copy").withColumns({
         "points": F.coalesce("points", F.lit("")), "point_names": F.coalesce("point_names", F.lit("")),
     })
 

@@ -11,42 +11,43 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quizlens.operators.bounded import broadcast_if_small
 from quizlens.operators.materialize import materialize
 
-WINDOW_ROWS = 2_000_000  # up to here one task can sort a whole group
-
 # Position of a row inside its partition, as packed by monotonically_increasing_id.
 _ROW_BITS = 33
 
+#: Parts a group is cut into before the best rows of all parts compete.
+TOP_PARTS = 64
+
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
 
-def window_ranks(rows: DataFrame, ranks: Mapping[str, Column], group: str, tie: str) -> DataFrame:
-    """One window per rank. Each group is sorted by a single task: for small inputs."""
-    for name, key in ranks.items():
-        rows = rows.withColumn(
-            name,
-            F.row_number().over(Window.partitionBy(group).orderBy(key.desc_nulls_last(), F.col(tie).asc()))
-            .cast("bigint"),
-        )
-    return rows
 
+def _keys(rows: DataFrame, ranks: Mapping[str, Column]) -> Column:
+    """One entry per rank; whole numbers keep their exact value, everything else is compared as a double."""
+    types = dict(rows.select(*[key.alias(name) for name, key in ranks.items()]).dtypes)
+    return F.array(*[
+        F.struct(F.lit(i).alias("rank_no"),
+                 (key if types[name] in _WHOLE else F.lit(None)).cast("bigint").alias("whole"),
+                 (F.lit(None) if types[name] in _WHOLE else key).cast("double").alias("real"))
+        for i, (name, key) in enumerate(ranks.items())
+    ])
 
-def range_ranks(rows: DataFrame, ranks: Mapping[str, Column], group: str, tie: str) -> DataFrame:
-    """The same ranks without a task per group; ``rows`` must be cheap to read twice.
 
-    All rank keys go through one range shuffle on (rank, group, key, tie). The tie column makes the sort
-    key unique, so a group, or a huge set of equal keys, spreads over as many partitions as its size needs.
-    A row's rank is its place in its partition plus the rows of its group in earlier partitions.
+def group_ranks(
+    rows: DataFrame, ranks: Mapping[str, Column], group: str = "subject", tie: str = "user_id"
+) -> DataFrame:
+    """Adds one rank column per entry of ``ranks`` (descending, NaN first, nulls last); ties go by ``tie``, nulls first.
+
+    All rank keys go through one range shuffle on (rank, group, key, tie). The tie column makes the sort key unique, so
+    a group, or a huge set of equal keys, spreads over as many partitions as its size needs. A row's rank is its place
+    in its partition plus the rows of its group in earlier partitions. Only keys are sorted; what else a row holds is
+    joined once. (group, tie) must be unique, null being a value of its own, and ``rows`` cheap to read twice.
     """
-    keys = F.array(*[
-        F.struct(F.lit(i).alias("rank_no"), key.cast("double").alias("rank_key"))
-        for i, key in enumerate(ranks.values())
-    ])
-    order = [F.col("rank_no").asc(), F.col(group).asc(), F.col("rank_key").desc_nulls_last(), F.col(tie).asc()]
+    order = [F.col("rank_no").asc(), F.col(group).asc(), F.col("whole").desc_nulls_last(),
+             F.col("real").desc_nulls_last(), F.col(tie).asc()]
     # Written out because offsets and rows must see the same partition borders.
     placed = materialize(
-        rows.select(tie, group, F.explode(keys).alias("k"))
-        .select(tie, group, "k.rank_no", "k.rank_key")
+        rows.select(tie, group, F.explode(_keys(rows, ranks)).alias("k")).select(tie, group, "k.*")
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_id", F.monotonically_increasing_id())
@@ -59,39 +60,31 @@ def range_ranks(rows: DataFrame, ranks: Mapping[str, Column], group: str, tie: s
         F.min("place").alias("first_place"), F.count(F.lit(1)).alias("span")
     )
     before = Window.partitionBy("rank_no", group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = materialize(
-        spans.select("rank_no", group, "part",
-                     (F.coalesce(F.sum("span").over(before), F.lit(0)) - F.col("first_place") + 1).alias("shift")),
-        "offsets",
-    )
-    ranked = placed.join(broadcast_if_small(offsets), ["rank_no", group, "part"])
-    wide = ranked.groupBy(tie, group).agg(*[
-        F.max(F.when(F.col("rank_no") == i, F.col("place") + F.col("shift"))).alias(name)
-        for i, name in enumerate(ranks)
+    offsets = spans.select(
+        F.col("rank_no").alias("o_no"), F.col(group).alias("o_group"), F.col("part").alias("o_part"),
+        (F.coalesce(F.sum("span").over(before), F.lit(0)) - F.col("first_place") + 1).alias("shift"))
+    ranked = placed.join(offsets, (F.col("rank_no") == F.col("o_no")) & (F.col("part") == F.col("o_part"))
+                         & F.col(group).eqNullSafe(F.col("o_group")))
+    wide = ranked.groupBy(F.col(tie).alias("r_tie"), F.col(group).alias("r_group")).agg(*[
+        F.max(F.when(F.col("rank_no") == i, F.col("place") + F.col("shift"))).alias(f"r_{i}")
+        for i in range(len(ranks))
     ])
-    return rows.join(wide, [tie, group])
+    same = rows[tie].eqNullSafe(wide["r_tie"]) & rows[group].eqNullSafe(wide["r_group"])
+    return rows.join(wide, same).select(
+        *[rows[c] for c in rows.columns], *[F.col(f"r_{i}").alias(name) for i, name in enumerate(ranks)])
 
 
-def group_ranks(
-    rows: DataFrame, ranks: Mapping[str, Column], group: str = "subject", tie: str = "user_id",
-    window_rows: int = WINDOW_ROWS,
+def top_rows(
+    rows: DataFrame, key: Column, k: int, group: str = "subject", tie: str = "user_id", rank: str = "rank"
 ) -> DataFrame:
-    """Adds one rank column per entry of ``ranks`` (descending, nulls last).
+    """The k best rows per group.
 
-    (tie, group) must be unique and keys exact as doubles. ``rows`` should be materialized: it is counted
-    first, and sorted group by group only when it is small enough for that.
+    Each group competes in parts first, by a hash of the tie column, so the last step sees at most k rows of each part.
     """
-    if rows.count() <= window_rows:
-        return window_ranks(rows, ranks, group, tie)
-    return range_ranks(rows, ranks, group, tie)
+    order = [key.desc_nulls_last(), F.col(tie).asc()]
 
+    def best(df: DataFrame, *by: str) -> DataFrame:
+        return df.withColumn(rank, F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col(rank) <= k)
 
-def top_rows(
-    rows: DataFrame, key: Column, k: int, group: str = "subject", tie: str = "user_id", rank: str = "rank"
-) -> DataFrame:
-    """The k best rows per group. The rank filter lets each map task keep only its own k best."""
-    limit = int(rows.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if k > limit:
-        return group_ranks(materialize(rows, "ranked-rows"), {rank: key}, group, tie).where(F.col(rank) <= k)
-    place = F.row_number().over(Window.partitionBy(group).orderBy(key.desc_nulls_last(), F.col(tie).asc()))
-    return rows.withColumn(rank, place).where(F.col(rank) <= k).withColumn(rank, F.col(rank).cast("bigint"))
+    parts = best(rows.withColumn("_part", F.pmod(F.xxhash64(tie), F.lit(TOP_PARTS))), group, "_part").drop("_part", rank)
+    return best(parts, group).withColumn(rank, F.col(rank).cast("bigint"))

@@ -8,9 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+WIDE = "decimal(38,0)"
+
 
 def running_right(answers: DataFrame, week: tuple[date, date]) -> DataFrame:
-    """Per (user, subject): the sum, over cards in (day, card_id) order, of the right answers so far.
+    """Per (user, subject) with a card: the sum, over cards in (day, card_id) order, of the right answers so far.
+
+    Cards without a readable day come first, cards that share a day and an id count as one, and a (user, subject)
+    without scored answers gets 0. Products are decimals of 38 digits, the result is a long.
 
     Sorted by range, so a hot point spreads over partitions. With n cards in a slice, c_j right answers on
     the j-th and S right answers in earlier slices, a slice adds sum(c_j * (n - j + 1)) + n * S, which needs
@@ -18,7 +23,7 @@ def running_right(answers: DataFrame, week: tuple[date, date]) -> DataFrame:
     """
     group = ["user_id", "subject", "point"]
     cards = (
-        answers.where(F.col("point").isNotNull() & F.col("day").isNotNull())
+        answers.where(F.col("point").isNotNull())
         .groupBy(*group, "day", "card_id")
         .agg(F.sum("right_num").alias("c"))
     )
@@ -27,15 +32,17 @@ def running_right(answers: DataFrame, week: tuple[date, date]) -> DataFrame:
         cards.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_id", F.monotonically_increasing_id())
-        .select(*group, "c", F.col("day").between(*map(F.lit, week)).alias("in_week"),
+        .select(*group, "c", F.coalesce(F.col("day").between(*map(F.lit, week)), F.lit(False)).alias("in_week"),
                 F.shiftright("_id", 33).alias("part"),
                 F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("place"))
     )
 
     def sums(prefix: str, used):
         c, place = F.when(used, F.col("c")), F.when(used, F.col("place"))
-        return [F.count(place).alias(f"{prefix}n"), F.coalesce(F.sum(c), F.lit(0)).alias(f"{prefix}s"),
-                F.coalesce(F.sum(c * place), F.lit(0)).alias(f"{prefix}q"),
+        product = F.sum(c.cast("decimal(19,0)") * place.cast("decimal(19,0)")).cast(WIDE)
+        return [F.count(place).cast(WIDE).alias(f"{prefix}n"),
+                F.coalesce(F.sum(c), F.lit(0)).cast("decimal(19,0)").alias(f"{prefix}s"),
+                F.coalesce(product, F.lit(0)).cast(WIDE).alias(f"{prefix}q"),
                 F.coalesce(F.min(place), F.lit(0)).alias(f"{prefix}first")]
 
     slices = placed.groupBy(*group, "part").agg(*sums("", F.lit(True)), *sums("w_", F.col("in_week")))
@@ -43,11 +50,16 @@ def running_right(answers: DataFrame, week: tuple[date, date]) -> DataFrame:
 
     def running(prefix: str):
         n, s, q, first = (F.col(prefix + name) for name in ("n", "s", "q", "first"))
-        inside = (n + 1) * s - (q - (first - 1) * s)
-        return inside + n * F.coalesce(F.sum(s).over(earlier), F.lit(0))
+        count = n.cast("decimal(18,0)")
+        inside = (count + first.cast("decimal(18,0)")) * s - q
+        return inside.cast(WIDE) + (count * F.coalesce(F.sum(s).over(earlier), F.lit(0)).cast("decimal(19,0)")).cast(WIDE)
 
-    return (
+    found = (
         slices.select("user_id", "subject", running("").alias("all"), running("w_").alias("week"))
         .groupBy("user_id", "subject")
-        .agg(F.sum("all").alias("running_right_num"), F.sum("week").alias("week_running_right_num"))
+        .agg(F.sum("all").alias("all"), F.sum("week").alias("week"))
     )
+    return answers.select("user_id", "subject").distinct().join(found, ["user_id", "subject"], "left").select(
+        "user_id", "subject",
+        F.coalesce("all", F.lit(0)).cast("bigint").alias("running_right_num"),
+        F.coalesce("week", F.lit(0)).cast("bigint").alias("week_running_right_num"))

@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from quizlens.functions.rules import WEIGHTED_POINTS, full_denominator, rule_table
 from quizlens.functions.score_text import point_text
 from quizlens.operators.answers import explode_answers
+from quizlens.operators.running import running_right
 from quizlens.settings import Settings
 
 SCORE_DECIMALS = 6  # sums of doubles depend on order; ranks need a value that does not
@@ -60,15 +61,14 @@ def score(prefix: str, gate: int | None, fix_denominators: bool = False) -> str:
         100 * IF(subject IN ({weighted}), {prefix}shares, try_divide({prefix}hits, {tries})), {SCORE_DECIMALS}), 0D)"""
 
 
-def user_subject_base(
-    rows: DataFrame, settings: Settings, *, with_text: bool = False, fix_denominators: bool = False
-) -> DataFrame:
+def user_subject_base(rows: DataFrame, settings: Settings, *, with_text: bool = False) -> DataFrame:
     """One row per (user, subject) with statistics and scores, active users only if the settings ask.
 
-    ``rows`` are answers or a roll-up. The first aggregate absorbs hot users by partial sums; its small
+    ``rows`` are answers, a roll-up, or both together. The first aggregate absorbs hot users by partial sums; its small
     result is placed by user once, and all later steps, the activity test included, keep that partitioning.
-    Days are folded into their null-point row before scores and texts are put together from few rows.
+    Days are folded into their null-point row, and inactive users left out, before scores and texts are put together.
     """
+    fix_denominators = settings.fix_denominators
     rules = F.broadcast(rule_table(rows.sparkSession, fix_denominators))
     sums = ["right_num", "answered_num", "answered_time", "undone_num", "practice_days",
             "week_right_num", "week_answered_num", "week_time", "week_undone_num"]
@@ -79,16 +79,18 @@ def user_subject_base(
             point_text(F.col("point"), *map(F.col, ("week_right_num", "week_total_num", "week_time_sum")))
             .alias("week_point_stats"),
         ]
-    base = (
+    folded = (
         collapse(rows, settings).repartition("user_id")
         .groupBy("user_id", "subject", "point")
         .agg(*[F.expr(f"sum({m}) AS {m}") for m in (*LIFETIME, *WEEK)],
              F.expr("count(practice_day) AS practice_days"), F.expr("max(last_day) AS last_day"))
+    )
+    base = (
+        keep_active(folded, settings)
         .join(rules, ["subject", "point"], "left")
         .groupBy("user_id", "subject")
-        .agg(*[F.expr(f"sum({c}) AS {c}") for c in sums], F.expr("max(last_day) AS last_day"),
-             *score_sums(""), *score_sums("week_"), *texts)
-        .selectExpr("user_id", "subject", *sums, "last_day",
+        .agg(*[F.expr(f"sum({c}) AS {c}") for c in sums], *score_sums(""), *score_sums("week_"), *texts)
+        .selectExpr("user_id", "subject", *sums,
                     f"{score('', settings.score_gate, fix_denominators)} AS score",
                     f"{score('week_', None, fix_denominators)} AS week_score",
                     *(["point_stats", "week_point_stats"] if with_text else []))
@@ -100,13 +102,13 @@ def user_subject_base(
     )
     if settings.min_answered > 0:
         base = base.where(F.col("answered_num") >= settings.min_answered)
-    return keep_active(base, settings)
+    return base
 
 
 def keep_active(base: DataFrame, settings: Settings) -> DataFrame:
     """Rows of users with a card since the activity bound, in any subject.
 
-    The base already lies by user, so the user's last day is a window without a shuffle; no second scan of
+    The rows already lie by user, so the user's last day is a window without a shuffle; no second scan of
     the cards and no join.
     """
     if settings.active_since is None:
@@ -120,7 +122,18 @@ def keep_active(base: DataFrame, settings: Settings) -> DataFrame:
 
 
 def base_from_cards(cards: DataFrame, settings: Settings, **options) -> DataFrame:
-    return user_subject_base(explode_answers(cards), settings, **options)
+    """The base of all cards. With ``running_right`` the cards need a ``card_id``, and right answers, of the week too,
+    are the running figure."""
+    answers = explode_answers(cards)
+    base = user_subject_base(answers, settings, **options)
+    return with_running_right(base, answers, settings) if settings.running_right else base
+
+
+def with_running_right(base: DataFrame, answers: DataFrame, settings: Settings) -> DataFrame:
+    running = running_right(answers, settings.week)
+    return base.join(running, ["user_id", "subject"], "left").select(*[
+        F.coalesce(f"running_{c}" if c == "right_num" else "week_running_right_num", F.lit(0)).alias(c)
+        if c in ("right_num", "week_right_num") else c for c in base.columns])
 
 
 def active_users(cards: DataFrame, settings: Settings) -> DataFrame:

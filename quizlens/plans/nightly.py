@@ -14,10 +14,11 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quizlens.operators.answers import MEASURES, ROLLUP_KEYS, daily_rollup, explode_answers
 from quizlens.operators.cells import to_cells
 from quizlens.operators.knowledge import knowledge_subject, subject_points
 from quizlens.operators.materialize import materialize, scratch_run
-from quizlens.plans.base import base_from_cards
+from quizlens.plans.base import base_from_cards, user_subject_base
 from quizlens.plans.week import week_rows
 from quizlens.plans.wide import contact_wide, merge_wide, total_wide, week_top_wide, week_wide, write_wide
 from quizlens.settings import Settings, older_job
@@ -33,11 +34,33 @@ class Snapshot:
     subject_lists: DataFrame | None
 
 
-def snapshot(cards: DataFrame, settings: Settings, points: DataFrame | None = None) -> Snapshot:
-    base = materialize(base_from_cards(cards, settings, with_text=True), "base")
-    week = materialize(week_rows(base, settings), "week")
+def snapshot(
+    cards: DataFrame, settings: Settings, points: DataFrame | None = None, rollup: DataFrame | None = None
+) -> Snapshot:
+    """``rollup`` holds the days before ``cards``; both are summed up together, once."""
+    if rollup is None:
+        base = base_from_cards(cards, settings, with_text=True)
+    elif settings.running_right:
+        raise ValueError("the running figure needs all cards, a roll-up does not tell their order")
+    else:
+        columns = [*ROLLUP_KEYS, *MEASURES]
+        answers = explode_answers(cards).select(columns).unionByName(rollup.select(columns))
+        base = user_subject_base(answers, settings, with_text=True)
+    base = materialize(base, "base")
     lists = None if points is None else materialize(subject_points(points), "subject-points")
-    return Snapshot(base, week, lists)
+    return Snapshot(base, week_rows(base, settings), lists)
+
+
+def write_rollup(cards: DataFrame, target: str) -> None:
+    """Add the days of ``cards`` to the stored roll-up, a folder partitioned by day; days it has are replaced."""
+    daily_rollup(explode_answers(cards)).repartitionByRange("day", "user_id").write.mode("overwrite").partitionBy("day").option(
+        "partitionOverwriteMode", "dynamic").parquet(target)
+
+
+def read_rollup(spark: SparkSession, source: str, before: date | None = None) -> DataFrame:
+    """The stored days, or those before a day; cards without a readable day are always among them."""
+    stored = spark.read.parquet(source).withColumn("day", F.col("day").cast("date"))
+    return stored if before is None else stored.where((F.col("day") < F.lit(before)) | F.col("day").isNull())
 
 
 def register_views(snap: Snapshot) -> None:
@@ -58,16 +81,18 @@ def output_tables(snap: Snapshot, settings: Settings) -> dict[str, DataFrame]:
 
 def run(
     cards: DataFrame, settings: Settings, targets: dict[str, str], points: DataFrame | None = None,
-    contacts: DataFrame | None = None, stored_total: DataFrame | None = None, family: str | None = None, **writer,
+    contacts: DataFrame | None = None, stored_total: DataFrame | None = None, family: str | None = None,
+    rollup: DataFrame | None = None, **writer,
 ) -> None:
     """Write the tables named in ``targets`` (total, week, week_top, contact).
 
     Week tables are partitioned by week and replace their own week only. ``stored_total`` is the previous
     total table, read from another place than its target: its rows of users no longer active are carried over.
-    With ``family`` the tables are written as cells of that family, the form key-value stores load.
+    With ``family`` the tables are written as cells of that family, the form key-value stores load. With ``rollup``,
+    the stored sums of earlier days, ``cards`` need to hold only the days after it.
     """
     with scratch_run(cards.sparkSession):
-        snap = snapshot(cards, settings, points)
+        snap = snapshot(cards, settings, points, rollup)
         tables = output_tables(snap, settings)
         if contacts is not None:
             tables["contact"] = contact_wide(snap.base, contacts, settings)
@@ -78,9 +103,7 @@ def run(
             if family is not None:
                 table = to_cells(table, family, version=_millis(settings.as_of))
             by_week = name in ("week", "week_top")
-            if by_week:
-                table = table.withColumn("week", F.lit(settings.week_label))
-            write_wide(table, target, partition_by=["week"] if by_week else [], **writer)
+            write_wide(table, target, partition={"week": settings.week_label} if by_week else None, **writer)
 
 
 def _millis(moment: datetime) -> int:
@@ -103,13 +126,18 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--day-to", type=date.fromisoformat, help="last card day to read")
     parser.add_argument("--stored-total", help="previous total table, merged into the new one")
     parser.add_argument("--family", help="write cells of this column family instead of wide rows")
+    parser.add_argument("--rollup", help="folder of daily sums: days before --day-from are read from it, later ones added")
+    parser.add_argument("--running-right", metavar="CARD_ID", help="count right answers as a running total per card, "
+                        "with this column as the cards' identifier")
+    parser.add_argument("--fix-denominators", action="store_true")
     parser.add_argument("--legacy-names", action="store_true")
     parser.add_argument("--format", default="parquet")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("quizlens-nightly").getOrCreate()
     settings = older_job(args.as_of) if args.older_job else Settings(as_of=args.as_of)
-    settings = settings.with_(legacy_names=args.legacy_names)
+    settings = settings.with_(legacy_names=args.legacy_names, running_right=args.running_right is not None,
+                              fix_denominators=args.fix_denominators)
 
     def read(source: str) -> DataFrame:
         return spark.read.parquet(source) if "/" in source else spark.table(source)
@@ -120,9 +148,15 @@ def main(argv: Sequence[str] | None = None) -> None:
             parser.error("--knowledge and --bridge are needed for the subject points")
         points = knowledge_subject(read(args.knowledge), read(args.bridge))
     targets = {"total": args.total, "week": args.week, "week_top": args.week_top}
-    cards = read_cards(spark, args.cards, day_from=args.day_from, day_to=args.day_to)
+    cards = read_cards(spark, args.cards, day_from=args.day_from, day_to=args.day_to, card_id=args.running_right)
+    rollup = None
+    if args.rollup:
+        if args.day_from:
+            rollup = read_rollup(spark, args.rollup, args.day_from)
+        write_rollup(cards, args.rollup)
     stored = read(args.stored_total) if args.stored_total else None
-    run(cards, settings, targets, points, stored_total=stored, family=args.family, format=args.format)
+    run(cards, settings, targets, points, stored_total=stored, family=args.family, rollup=rollup,
+        format=args.format)
 
 
 if __name__ == "__main__":

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quizlens.operators.ranking import WINDOW_ROWS, group_ranks, top_rows
+from quizlens.operators.ranking import group_ranks, top_rows
 from quizlens.settings import Settings
 
 def subject_totals(base: DataFrame, settings: Settings) -> DataFrame:
@@ -43,9 +43,9 @@ def total_rank_keys(settings: Settings) -> dict:
     return keys
 
 
-def total_ranks(base: DataFrame, settings: Settings, window_rows: int = WINDOW_ROWS) -> DataFrame:
+def total_ranks(base: DataFrame, settings: Settings) -> DataFrame:
     """Ranks within the subject; ``base`` should be materialized."""
-    return group_ranks(base, total_rank_keys(settings), window_rows=window_rows)
+    return group_ranks(base, total_rank_keys(settings))
 
 
 def total_top(base: DataFrame, settings: Settings) -> DataFrame:
@@ -61,10 +61,16 @@ def days_pass_count(rows: DataFrame, base: DataFrame | None = None) -> DataFrame
     """Adds how many rows of ``base`` (by default ``rows`` themselves) have strictly fewer practice days.
 
     Only the histogram goes through an unpartitioned window and the broadcast. It has one row per distinct
-    number of days, so never more than the calendar has days.
+    number of days, so never more than the calendar has days. Numbers of days that only ``rows`` have enter it as
+    zero, and a null number has passed nobody.
     """
     fewer = Window.orderBy("practice_days").rowsBetween(Window.unboundedPreceding, -1)
-    passed = days_histogram(rows if base is None else base).select(
+    counted = days_histogram(rows if base is None else base)
+    if base is not None:
+        asked = rows.select("practice_days").distinct().withColumn("row_num", F.lit(0).cast("bigint"))
+        counted = counted.union(asked).groupBy("practice_days").agg(F.sum("row_num").alias("row_num"))
+    passed = counted.where("practice_days IS NOT NULL").select(
         "practice_days", F.coalesce(F.sum("row_num").over(fewer), F.lit(0)).alias("days_pass_count")
     )
-    return rows.join(F.broadcast(passed), "practice_days")
+    return rows.join(F.broadcast(passed), "practice_days", "left").withColumn(
+        "days_pass_count", F.coalesce("days_pass_count", F.lit(0)))

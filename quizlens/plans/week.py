@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quizlens.operators.ranking import WINDOW_ROWS, group_ranks, top_rows
+from quizlens.operators.ranking import group_ranks, top_rows
 from quizlens.plans.base import SCORE_DECIMALS
 from quizlens.settings import Settings
 
@@ -59,9 +59,9 @@ def week_rank_keys(settings: Settings) -> dict:
     return keys
 
 
-def week_ranks(week: DataFrame, settings: Settings, window_rows: int = WINDOW_ROWS) -> DataFrame:
+def week_ranks(week: DataFrame, settings: Settings) -> DataFrame:
     """Ranks within the subject; ``week`` should be materialized."""
-    return group_ranks(week, week_rank_keys(settings), window_rows=window_rows)
+    return group_ranks(week, week_rank_keys(settings))
 
 
 def week_top(week: DataFrame, settings: Settings) -> DataFrame:

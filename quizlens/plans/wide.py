@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -107,16 +107,28 @@ def merge_wide(stored: DataFrame, new: DataFrame) -> DataFrame:
     return both.select("row_key", *map(cell, columns))
 
 
+def _literal(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def write_wide(wide: DataFrame, target: str, *, format: str = "parquet", mode: str = "overwrite",
-               partition_by: Sequence[str] = (), sort_keys: bool = True, **options: str) -> None:
+               partition: Mapping[str, str] | None = None, sort_keys: bool = True, **options: str) -> None:
     """Save a wide table by path, or by table name when ``target`` has no slash.
 
-    Sorted keys give each file a narrow key range, which is what a later key-range scan prunes on. With
-    ``partition_by`` only the partitions present in ``wide`` are replaced.
+    Sorted keys give each file a narrow key range, which is what a later key-range scan prunes on. With ``partition``,
+    values of partition columns that ``wide`` does not have, only that partition is replaced. A table that exists takes
+    its columns by name.
     """
+    spark, partition = wide.sparkSession, partition or {}
     if sort_keys:
         wide = wide.repartitionByRange("row_key").sortWithinPartitions("row_key")
-    writer = wide.write.format(format).mode(mode).options(**options)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+    if partition and "/" not in target and mode == "overwrite" and spark.catalog.tableExists(target):
+        place = ", ".join(f"`{name}` = {_literal(value)}" for name, value in partition.items())
+        columns = ", ".join(f"`{name}`" for name in wide.columns)
+        spark.sql(f"INSERT OVERWRITE TABLE {target} PARTITION ({place}) ({columns}) SELECT * FROM {{wide}}", wide=wide)
+        return
+    writer = wide.withColumns({name: F.lit(value) for name, value in partition.items()}).write.format(format).mode(
+        mode).options(**options)
+    if partition:
+        writer = writer.partitionBy(*partition).option("partitionOverwriteMode", "dynamic")
     writer.save(target) if "/" in target else writer.saveAsTable(target)

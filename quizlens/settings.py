@@ -20,6 +20,8 @@ class Settings:
     week_min_seconds: float = 20.0      # lifetime seconds per question needed for it
     week_needs_answers: bool = True     # drop week rows with nothing answered
     week_time_answered_only: bool = False
+    running_right: bool = False         # right answers as a running total per card, as the older aggregate did
+    fix_denominators: bool = False      # every scored point of a subject once in its denominator
     sort_by_raw_score: bool = False     # older job: rank on the score itself
     speed_ascending: bool = False       # True ranks the fastest first
     top_k: int = 1000

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime, time, timedelta
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,20 +33,25 @@ def read_cards(
 
 
 def between_days(raw: DataFrame, day_from: date | None, day_to: date | None) -> DataFrame:
-    """Bound yyyyMMdd text (or a date column) without wrapping it, which keeps pushdown."""
+    """Bound the stored column itself, from the start of the first day to before the day after the last.
+
+    Text is yyyyMMdd, numbers are epoch milliseconds in the session's time zone, dates and timestamps are typed. The
+    column is never wrapped, so the bounds reach the scan.
+    """
     stored = raw.schema["createTime"].dataType.simpleString()
-    if stored in ("int", "bigint"):
-        created = parse_day(F.col("createTime"), stored)
-    else:
-        created = F.col("createTime")
+    zone = ZoneInfo(raw.sparkSession.conf.get("spark.sql.session.timeZone"))
 
-    def bound(day: date) -> Column:
-        return F.lit(day.strftime("%Y%m%d")) if stored == "string" else F.lit(day)
+    def start_of(day: date) -> Column:
+        if stored == "string":
+            return F.lit(day.strftime("%Y%m%d"))
+        if stored in ("int", "bigint"):
+            return F.lit(int(datetime.combine(day, time(), zone).timestamp() * 1000)).cast("bigint")
+        return F.lit(day).cast(stored)      # date, or the start of the day as either kind of timestamp
 
     if day_from is not None:
-        raw = raw.where(created >= bound(day_from))
+        raw = raw.where(F.col("createTime") >= start_of(day_from))
     if day_to is not None:
-        raw = raw.where(created <= bound(day_to))
+        raw = raw.where(F.col("createTime") < start_of(day_to + timedelta(days=1)))
     return raw
 
 

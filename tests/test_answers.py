@@ -65,11 +65,8 @@ def test_against_model(spark, cards, many_partitions):
         assert got.week_point_stats == model.text(want["week_points"])
         assert got.score == pytest.approx(model.score(want["points"], key[1], 120), abs=1e-6)
         assert got.week_score == pytest.approx(model.score(want["week_points"], key[1], None), abs=1e-6)
-        if want["points"]:
-            assert running[key].running_right_num == want["running"]
-            assert running[key].week_running_right_num == want["week_running"]
-        else:
-            assert key not in running
+        assert running[key].running_right_num == want["running"]
+        assert running[key].week_running_right_num == want["week_running"]
 
 
 def test_rollup_gives_the_same_base(spark):
@@ -139,3 +136,12 @@ def test_read_cards_pushes_days_and_prunes(spark, tmp_path):
     spark.read.parquet(path).createOrReplaceTempView("stored_cards")
     assert read_cards(spark, "stored_cards").count() == 300
     assert cards_on_day(df, day, user_id=8, subject=1).where("user_id <> 8 OR subject <> 1").count() == 0
+
+
+def test_running_right_is_complete_and_wide(spark, many_partitions):
+    fields = "user_id bigint, subject int, point int, day date, card_id bigint, right_num bigint"
+    rows = [(1, 1, 5, None, 1, 2), (1, 1, 5, date(2001, 7, 25), 2, 3), (1, 1, 5, date(2001, 7, 25), 3, 0), (1, 1, None, None, 9, 0),
+            (2, 1, None, date(2001, 7, 25), 4, 0), (3, 1, 5, date(2001, 7, 25), 1, 2**40), (3, 1, 5, date(2001, 7, 26), 2, 2**40)]
+    got = {r.user_id: tuple(r)[2:] for r in running_right(
+        spark.createDataFrame(rows, fields), (date(2001, 7, 23), date(2001, 7, 29))).collect()}
+    assert got == {1: (2 + 5 + 5, 3 + 3), 2: (0, 0), 3: (3 * 2**40, 3 * 2**40)}

@@ -1,6 +1,6 @@
 import pytest
 
-from quizlens.operators import bounded, cells
+from quizlens.operators import cells
 
 FIELDS = "row_key string, family string, column string, version bigint, seq bigint, value string"
 
@@ -25,14 +25,15 @@ def test_later_write_wins(spark, stored):
                    ("9", "info", "hits"): "7", ("9", "other", "hits"): "8", ("11", "info", "hits"): "1"}
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 0])
-def test_lookup_and_delete_with_small_and_large_keys(spark, stored, limit, monkeypatch):
-    monkeypatch.setattr(bounded, "BROADCAST_ROWS", limit)
+@pytest.mark.parametrize("limit", ["10m", "-1"])
+def test_lookup_and_delete_with_and_without_broadcast(spark, stored, limit, monkeypatch):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     asked = keys(spark, "10", "77")
     fields = {"hits": "bigint", "rate": "double", "day": "string", "none": "string"}
     row, = cells.typed_lookup(stored, asked, "info", fields).collect()
     assert row.asDict() == {"row_key": "10", "hits": 140, "rate": 0.55, "day": "2018-06-13", "none": None}
     assert {r.row_key for r in cells.delete_rows(stored, asked).collect()} == {"9"}
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_row_with_other_cells_only_is_still_found(spark, stored):

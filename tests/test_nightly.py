@@ -1,7 +1,8 @@
 import os
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks import fixture as fx
 from quizlens.operators import knowledge as kn
@@ -127,3 +128,42 @@ def test_command_line(spark, tmp_path):
     assert spark.read.parquet(f"{out}/total").count() > 0
     with pytest.raises(SystemExit):
         nightly.main([cards, f"{out}/a", f"{out}/b", f"{out}/c", "--as-of", fx.AS_OF.isoformat()])
+
+
+@pytest.mark.parametrize("by_name", [False, True])
+def test_rewriting_one_week_keeps_the_others(spark, points, tmp_path, by_name):
+    target = "weeks_by_name" if by_name else f"{tmp_path}/weeks"
+    earlier = fx.SETTINGS.with_(as_of=datetime(2001, 7, 20, 12))
+    counts = []
+    for settings in (earlier, fx.SETTINGS, fx.SETTINGS):
+        nightly.run(fx.cards(spark, SF_DIR), settings, {"week": target}, points)
+        got = spark.table(target) if by_name else spark.read.parquet(target)
+        counts.append({r.week: r["count"] for r in got.groupBy("week").count().collect()})
+    assert set(counts[0]) == {"2001-29"} and set(counts[1]) == {"2001-29", "2001-30"} and counts[1] == counts[2]
+    assert counts[1]["2001-29"] == counts[0]["2001-29"]
+    if by_name:
+        spark.sql(f"DROP TABLE {target}")
+
+
+def test_rollup_and_one_day_equal_a_full_run(spark, points, tmp_path):
+    day, path = date(2001, 7, 25), f"{tmp_path}/rollup"
+    cards = fx.cards(spark, SF_DIR).where(F.col("day") <= F.lit(day))
+    nightly.write_rollup(cards.where(F.col("day") < F.lit(day)), path)
+    today = fx.cards(spark, SF_DIR, day, day)
+    for _ in range(2):      # a day that runs again does not count twice
+        stored = nightly.read_rollup(spark, path, day)
+        assert "PartitionFilters: [" in stored._jdf.queryExecution().executedPlan().toString()
+        nightly.run(today, fx.SETTINGS, {"total": f"{tmp_path}/one"}, points, rollup=stored)
+        nightly.write_rollup(today, path)
+    nightly.run(cards, fx.SETTINGS, {"total": f"{tmp_path}/full"}, points)
+    one, full = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("one", "full"))
+    assert one.count() == full.count() > 0 and one.exceptAll(full).isEmpty()
+    with pytest.raises(ValueError):
+        nightly.snapshot(today, fx.SETTINGS.with_(running_right=True), rollup=stored)
+
+
+def test_days_passed_of_other_rows(spark):
+    base = spark.createDataFrame([(3,), (1,)], "practice_days bigint")
+    rows = spark.createDataFrame([(2,), (3,), (9,), (None,)], "practice_days bigint")
+    got = {r.practice_days: r.days_pass_count for r in days_pass_count(rows, base).collect()}
+    assert got == {2: 1, 3: 1, 9: 2, None: 0}

@@ -2,9 +2,18 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quizlens.operators.materialize import materialize
-from quizlens.operators.ranking import group_ranks, range_ranks, top_rows, window_ranks
+from quizlens.operators.ranking import group_ranks, top_rows
+
+
+def window_ranks(rows, ranks, group="subject", tie="user_id"):
+    """The same by one window per rank, each group in one task."""
+    for name, key in ranks.items():
+        order = Window.partitionBy(group).orderBy(key.desc_nulls_last(), F.col(tie).asc())
+        rows = rows.withColumn(name, F.row_number().over(order).cast("bigint"))
+    return rows
 
 
 @pytest.fixture
@@ -26,46 +35,51 @@ def collected(df):
     return sorted(map(repr, (tuple(r[c] for c in columns) for r in df.collect())))
 
 
-def test_range_ranks_equal_window_ranks(spark, rows, keys, many_partitions):
-    ranged = range_ranks(materialize(rows, "rows"), keys, "subject", "user_id")
+def test_equal_window_ranks(spark, rows, keys, many_partitions):
+    ranged = group_ranks(materialize(rows, "rows"), keys)
+    assert ranged.columns == [*rows.columns, *keys]
     assert ranged.count() == 2000
-    assert collected(ranged) == collected(window_ranks(rows, keys, "subject", "user_id"))
+    assert collected(ranged) == collected(window_ranks(rows, keys))
 
 
-def test_range_ranks_cross_partitions(spark, rows, keys, many_partitions):
+def test_groups_cross_partitions(spark, rows, keys, many_partitions, monkeypatch):
     from quizlens.operators import ranking
 
     seen = {}
-    plain = ranking.materialize
 
     def spy(df, label):
-        out = plain(df, label)
-        if label == "placed":
-            seen["parts"] = out.select("part").distinct().count()
-            seen["per_subject"] = out.groupBy("rank_no", "subject").agg(F.countDistinct("part").alias("p")).agg(
-                F.max("p")).first()[0]
+        out = materialize(df, label)
+        seen["parts"] = out.select("part").distinct().count()
+        seen["per_subject"] = out.groupBy("rank_no", "subject").agg(F.countDistinct("part").alias("p")).agg(
+            F.max("p")).first()[0]
         return out
 
-    ranking.materialize = spy
-    try:
-        range_ranks(materialize(rows, "rows"), keys, "subject", "user_id")
-    finally:
-        ranking.materialize = plain
+    monkeypatch.setattr(ranking, "materialize", spy)
+    group_ranks(materialize(rows, "rows"), keys)
     assert seen["parts"] > 3 and seen["per_subject"] > 1
 
 
-def test_group_ranks_switches_on_size(spark, rows, keys):
-    kept = materialize(rows, "rows")
-    assert collected(group_ranks(kept, keys)) == collected(group_ranks(kept, keys, window_rows=10))
+def test_large_whole_numbers_nan_and_nulls(spark, many_partitions):
+    data = [(1, None, 2**53, float("nan")), (2, None, 2**53 + 1, 1.0), (3, None, None, None), (None, 1, 5, 2.0),
+            (4, 1, 5, float("inf")), (5, 1, -2**63, float("-inf")), (6, 1, 2**63 - 1, None), (7, 2, None, float("nan"))]
+    df = materialize(spark.createDataFrame(data, "user_id bigint, subject int, n bigint, score double"), "rows")
+    ranks = {"rank": F.col("n"), "rank2": F.col("score")}
+    got = group_ranks(df, ranks)
+    assert got.count() == len(data)
+    assert collected(got) == collected(window_ranks(df, ranks))
+    assert {r.user_id: r["rank"] for r in got.where("subject IS NULL").collect()} == {2: 1, 1: 2, 3: 3}
+
+
+def test_no_rows(spark, rows, keys):
+    assert group_ranks(rows.limit(0), keys).count() == 0
+    assert top_rows(rows.limit(0), F.col("score"), 3).count() == 0
 
 
-def test_top_rows(spark, rows):
-    top = top_rows(rows, F.col("score"), 5)
-    assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
-    ranked = window_ranks(rows, {"rank": F.col("score")}, "subject", "user_id")
-    assert collected(top) == collected(ranked.where("rank <= 5"))
+@pytest.mark.parametrize("k", [1, 5, 1001, 5000])
+def test_top_rows(spark, rows, many_partitions, k):
+    ranked = window_ranks(rows, {"rank": F.col("score")})
+    assert collected(top_rows(rows, F.col("score"), k)) == collected(ranked.where(f"rank <= {k}"))
 
 
-def test_top_rows_beyond_the_pruning_limit(spark, rows):
-    ranked = window_ranks(rows, {"rank": F.col("score")}, "subject", "user_id")
-    assert collected(top_rows(rows, F.col("score"), 1001)) == collected(ranked.where("rank <= 1001"))
+def test_top_rows_are_pruned_in_the_map_stage(spark, rows):
+    assert "WindowGroupLimit" in top_rows(rows, F.col("score"), 5)._jdf.queryExecution().executedPlan().toString()

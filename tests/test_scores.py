@@ -19,9 +19,10 @@ def scores(spark, groups, **options):
     rows += [(user, subject, "2001-07-25", None, 0, 0, 0, 0, 0, 0, 0, 1) for user, subject in groups]
     df = spark.createDataFrame(rows, FIELDS).withColumn("day", F.to_date("day"))
     return {(r.user_id, r.subject): (r.score, r.week_score)
-            for r in user_subject_base(df, EVERYONE, **options).collect()}
+            for r in user_subject_base(df, EVERYONE.with_(**options)).collect()}
 
 
+# The text and its score.
 def test_golden_text(spark):
     text = "435:6:15:196:0_392:10:26:141:0_754:2:4:175:0"
     df = spark.createDataFrame([(1, text)], "user_id bigint, t string")
