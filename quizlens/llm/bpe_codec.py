@@ -27,6 +27,13 @@ from quizlens.llm.text_words import WordTable, words
 PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
 
 
+def parts_of(word: str) -> list[str]:
+    """Normalised parts of a word, which are encoded one by one."""
+    plain = unicodedata.normalize("NFC", word)
+    plain = plain.lower() if "\u03a3" not in plain else "".join(c.lower() for c in plain)    # no final sigma
+    return PARTS.findall(plain)
+
+
 def byte_symbols() -> list[str]:
     """The visible character that stands for each byte: itself where printable, else the next one from 256 on."""
     visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -48,54 +55,60 @@ class Codec:
         self.special = {t["content"]: t["id"] for t in content["added_tokens"]}
         self.strings = {i: s for s, i in (self.ids | self.special).items()}
         self.marks = re.compile("|".join(f"({re.escape(s)})" for s in self.special)) if self.special else None
-        self.symbols = byte_symbols()
+        symbols = byte_symbols()
+        self.inner = [self.ids.get(s) for s in symbols]
+        self.last = [self.ids.get(s + self.end) for s in symbols]
+        self.parts = WordTable(self._encode_part)
         self.encoded = WordTable(self._encode_word)
-        self.as_text = WordTable(lambda word: " ".join(map(str, self.encoded[word])))
-        self.as_decoded = WordTable(lambda word: self.decode(self.encoded[word]))
+        self.texts = WordTable(self._texts_of)
 
     def merge(self, ids: list[int]) -> list[int]:
         """Apply all merges to one part of a word."""
-        n = len(ids)
+        n, known = len(ids), self.merges.get
+        heap = [(m[0], at, *pair, m[1]) for at, pair in enumerate(zip(ids, ids[1:], strict=False)) if (m := known(pair))]
+        if not heap:
+            return ids
+        heapq.heapify(heap)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap: list[tuple[int, int, int, int, int]] = []
-
-        def push(at: int) -> None:
-            pair = ids[at], ids[after[at]]
-            if known := self.merges.get(pair):
-                heapq.heappush(heap, (known[0], at, *pair, known[1]))
-
-        for at in range(n - 1):
-            push(at)
+        pop, push = heapq.heappop, heapq.heappush
         while heap:
-            _, at, left, right, merged = heapq.heappop(heap)
+            _, at, left, right, merged = pop(heap)
             gone = after[at]
             if ids[at] != left or gone >= n or ids[gone] != right:
                 continue
             ids[at], ids[gone] = merged, -1
-            after[at] = after[gone]
-            if after[at] < n:
-                before[after[at]] = at
-                push(at)
-            if before[at] >= 0:
-                push(before[at])
+            after[at] = following = after[gone]
+            if following < n:
+                before[following] = at
+                if m := known((merged, ids[following])):
+                    push(heap, (m[0], at, merged, ids[following], m[1]))
+            if (previous := before[at]) >= 0 and (m := known((ids[previous], merged))):
+                push(heap, (m[0], previous, ids[previous], merged, m[1]))
         return [i for i in ids if i >= 0]
 
     def _encode_part(self, part: str) -> list[int]:
-        symbols = [self.symbols[b] for b in part.encode("utf-8", "surrogatepass")]
-        symbols[-1] += self.end
-        return self.merge([self.ids[s] for s in symbols if s in self.ids])
+        data, inner = part.encode("utf-8", "surrogatepass"), self.inner
+        ids = [inner[b] for b in data[:-1]]
+        ids.append(self.last[data[-1]])
+        return self.merge(ids if None not in ids else [i for i in ids if i is not None])
 
     def _encode_word(self, word: bytes) -> list[int]:
+        if word.isalpha():      # ASCII letters only
+            return self.parts[word.lower().decode()]
         text, out = word.decode("utf-8", "surrogatepass"), []
-        for run in filter(None, self.marks.split(text) if self.marks else [text]):
+        for run in filter(None, self.marks.split(text)) if self.marks and b"<" in word else [text]:
             if run in self.special:
                 out.append(self.special[run])
-            else:
-                plain = "".join(c.lower() for c in unicodedata.normalize("NFC", run))
-                for part in PARTS.findall(plain):
-                    out += self._encode_part(part)
+                continue
+            for part in parts_of(run):
+                out += self.parts[part]
         return out
 
+    def _texts_of(self, word: bytes) -> tuple[str, str]:
+        """The ids of a word and its vocabulary strings, each joined by a space."""
+        ids, strings = self._encode_word(word), self.strings
+        return " ".join(map(str, ids)), " ".join([strings[i] for i in ids])
+
     def encode(self, text: str | None) -> list[int]:
         return [i for word in words(text) for i in self.encoded[word]]
 
@@ -148,9 +161,9 @@ def encoding_digests(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             rows = []
             for text in batch["text"]:
-                found = words(text.as_py())
-                ids = " ".join(filter(None, map(own.as_text.__getitem__, found)))
-                decoded = " ".join(filter(None, map(own.as_decoded.__getitem__, found)))
+                pairs = list(map(own.texts.__getitem__, words(text.as_py())))
+                ids = " ".join([a for a, _ in pairs if a])
+                decoded = " ".join([b for _, b in pairs if b])
                 rows.append((ids.count(" ") + 1 if ids else 0, _sha256(ids), _sha256(decoded)))
             n, a, b = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(

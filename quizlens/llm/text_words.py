@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 #: Entries a worker keeps; beyond it the table starts anew, so memory does not follow the vocabulary.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 500_000
 #: Longer words are computed each time.
 CACHED_WORD_BYTES = 64
 
