@@ -21,24 +21,75 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quizlens.llm.tables import number_within
-from quizlens.llm.text_words import WordTable, words
+from quizlens.llm.bpe_codec import parts_of
+from quizlens.llm.tables import number_within, with_run
+from quizlens.llm.text_words import CACHE_ENTRIES, words
+from quizlens.operators.materialize import materialize
 
 CAPACITY = 2048
+#: Documents whose words are looked up together.
+DOCUMENTS = 500
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-@lru_cache(maxsize=2)
-def _word_ids(path: str) -> WordTable:
-    """Little-endian ids of a word. The vocabulary drops white space and never joins across it."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+class WordIds:
+    """Little-endian ids of words by the tokenizers library, which drops white space and never joins across it.
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    return WordTable(lambda word: np.array(
-        tokenizer.encode(word.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids, "<u4").tobytes())
+    New words are cut into the parts that the vocabulary encodes one by one, and new parts are encoded many at a time:
+    the last id of each part carries the end-of-word suffix.
+    """
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for s, i in vocabulary.items() if s.endswith("</w>")]] = True
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def encode(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _learn_parts(self, parts: list[str]) -> None:
+        for at in range(0, len(parts), 1000):
+            some = parts[at : at + 1000]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) == len(some) and ends[-1] == len(ids):
+                data, ends = ids.tobytes(), (4 * ends).tolist()
+                self.parts.update(zip(some, map(data.__getitem__, map(slice, [0, *ends], ends)), strict=False))
+            else:
+                self.parts.update((p, self.encode(p)) for p in some)
+
+    def learn(self, found: set[bytes]) -> None:
+        """Make the ids of these words known; tables that have grown large start anew."""
+        if len(self.words) > CACHE_ENTRIES:
+            self.words.clear()
+        if len(self.parts) > CACHE_ENTRIES:
+            self.parts.clear()
+        cut = {w: self._cut(w) for w in found.difference(self.words)}
+        new = {p for parts in cut.values() if parts for p in parts}.difference(self.parts)
+        self._learn_parts(list(new))
+        for word, parts in cut.items():
+            self.words[word] = (self.encode(word.decode("utf-8", "surrogatepass")) if parts is None
+                                else b"".join(map(self.parts.__getitem__, parts)))
+
+    def _cut(self, word: bytes) -> list[str] | None:
+        """Parts of a word; none where it may hold a special token."""
+        if word.isalpha():      # ASCII letters only
+            return [word.lower().decode()]
+        return None if b"<|" in word else parts_of(word.decode("utf-8", "surrogatepass"))
+
+
+@lru_cache(maxsize=2)
+def _word_ids(path: str) -> WordIds:
+    """One per worker and file."""
+    return WordIds(path)
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
@@ -46,10 +97,11 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFr
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _word_ids(path)
-        for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                ids = b"".join(map(table.__getitem__, words(text.as_py()))) + bytes(4)
+        for batch in (whole.slice(at, DOCUMENTS) for whole in batches for at in range(0, whole.num_rows, DOCUMENTS)):
+            rows, found = [], [words(t) for t in batch["text"].to_pylist()]
+            table.learn(set().union(*found))
+            for doc_id, own in zip(batch["doc_id"].to_pylist(), found, strict=True):
+                ids = b"".join(map(table.words.__getitem__, own)) + bytes(4)
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
@@ -130,24 +182,12 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """
     numbered = number_within(pieces, "length", "_number")
     counts = dict(numbered.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect())  # at most ``capacity`` rows
-    runs = plan_runs(counts, capacity)
-    length, first = runs["length"].to_numpy(), runs["first"].to_numpy()
-    each, sequence, offset = (runs[c].to_numpy() for c in ("each", "sequence", "offset"))
-    starts = np.searchsorted(length, np.arange(capacity + 2))
-
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            size, number = batch["length"].to_numpy(), batch.pop("_number").to_numpy()
-            run = np.empty(len(batch), np.int64)
-            for value in np.unique(size):
-                here = size == value
-                lo, hi = starts[value], starts[value + 1]
-                run[here] = lo + np.searchsorted(first[lo:hi], number[here], "right") - 1
-            nth = number - first[run]
-            yield batch.assign(sequence_id=sequence[run] + nth // each[run], offset=offset[run] + nth % each[run] * size)
-
-    return numbered.mapInPandas(place, f"{PIECES}, sequence_id long, offset long")
+    runs = plan_runs(counts, capacity).rename(columns={"offset": "at"})
+    nth = F.col("_number") - F.col("first")
+    return with_run(numbered, "length", "_number", runs).select(
+        *pieces.columns, (F.col("sequence") + F.floor(nth.cast("double") / F.col("each"))).alias("sequence_id"),
+        (F.col("at") + nth % F.col("each") * F.col("length")).alias("offset"))
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
-    return pack(token_pieces(docs, path, capacity), capacity)
+    return pack(materialize(token_pieces(docs, path, capacity), "pieces"), capacity)

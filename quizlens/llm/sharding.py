@@ -9,14 +9,12 @@ groups of this size go to this shard"), and each group finds its shard from its
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quizlens.llm.tables import number_within
+from quizlens.llm.tables import number_within, with_run
 from quizlens.operators.materialize import materialize
 
 SHARDS = 24
@@ -68,21 +66,7 @@ def assign_groups(groups: DataFrame, shards: int) -> DataFrame:
     numbered = number_within(groups.select("key", "bytes", F.expr(size_class("bytes")).alias("class")), "class", "number")
     classes = numbered.groupBy("class").agg(F.count(F.lit(1)).alias("groups"), F.sum("bytes").alias("bytes"))
     runs = schedule(classes.toPandas(), shards)    # a row per class, see the module's text
-    names, starts = np.unique(runs["class"].to_numpy(), return_index=True)
-    ends = np.append(starts[1:], len(runs))
-    first, shard = runs["first"].to_numpy(), runs["shard"].to_numpy()
-
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            batch = batch.sort_values("class", ignore_index=True)
-            out = np.empty(len(batch), np.int32)
-            for name, rows in batch.groupby("class").indices.items():
-                at = np.searchsorted(names, name)
-                lo, hi = starts[at], ends[at]
-                out[rows] = shard[lo + np.searchsorted(first[lo:hi], batch["number"].to_numpy()[rows], "right") - 1]
-            yield pd.DataFrame({"key": batch["key"], "shard": out})
-
-    return numbered.mapInPandas(place, "key binary, shard int")
+    return with_run(numbered, "class", "number", runs).select("key", F.col("shard").cast("int").alias("shard"))
 
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:

@@ -2,14 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quizlens.operators.materialize import materialize
 
@@ -23,27 +18,37 @@ def parallelism(spark: SparkSession) -> int:
 
 
 def number_within(df: DataFrame, key: str, name: str) -> DataFrame:
-    """Add ``name``: 0, 1, 2, ... within each value of the integer column ``key``, in no particular order.
+    """Add ``name``: 0, 1, 2, ... within each value of the column ``key``, in no particular order.
 
-    No task sees all rows of a key: every task numbers its own rows, the counts per (key, task) are summed up in task
-    order, and each row adds what earlier tasks hold. Callers keep the number of distinct keys bounded; a task holds one
-    counter for each. The numbered rows are written before they are counted, so a repeated task cannot change them.
+    Rows are sorted by range of (key, number of the row), so a key with a third of all rows spreads over as many tasks
+    as its size needs. A row adds its place in its range to what earlier ranges hold of its key. The sorted rows are
+    written before they are counted, so a repeated task cannot change them. ``df`` should be cheap to read twice.
+    """
+    order = [F.col(key), F.col("_row")]
+    placed = materialize(
+        df.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
+        .withColumn("_id", F.monotonically_increasing_id()).select(
+            *df.columns, F.shiftright("_id", 33).alias("_part"),
+            F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_place")), "numbered")
+    spans = placed.groupBy(key, "_part").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_span"))
+    earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = spans.select(key, "_part", (F.coalesce(F.sum("_span").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return placed.join(shifts, [key, "_part"]).select(*df.columns, (F.col("_place") + F.col("_shift")).alias(name))
+
+
+def with_run(df: DataFrame, key: str, number: str, runs: pd.DataFrame) -> DataFrame:
+    """Add the columns of the run each row falls in: of its ``key``, the last whose ``first`` is not above ``number``.
+
+    ``runs`` has key, first and further whole numbers, of every key from 0 on. It is a plan, of bounded size.
     """
-    schema = T.StructType([*df.schema.fields, T.StructField("_task", T.IntegerType()), T.StructField("_own", T.LongType())])
-
-    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        task, seen = TaskContext.get().partitionId(), pd.Series(dtype="int64")
-        for batch in batches:
-            keys = batch[key]
-            before = keys.map(seen).fillna(0).astype("int64") if len(seen) else 0
-            yield batch.assign(_task=np.int32(task), _own=keys.groupby(keys).cumcount() + before)
-            seen = seen.add(keys.value_counts(), fill_value=0).astype("int64")
-
-    own = materialize(df.mapInPandas(number, schema), "numbered")
-    earlier = Window.partitionBy(key).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    bases = own.groupBy(key, "_task").agg(F.count(F.lit(1)).alias("_rows")).select(
-        key, "_task", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_base"))
-    return own.join(bases, [key, "_task"]).select(*df.columns, (F.col("_base") + F.col("_own")).alias(name))
+    columns = [c for c in runs.columns if c != key]
+    lists = runs.sort_values([key, "first"]).groupby(key)[columns].agg(list).reset_index()
+    schema = ", ".join([f"{key} long", *(f"_{c} array<long>" for c in columns)])
+    rows = [tuple([int(k), *([int(x) for x in v] for v in values)]) for k, *values in lists.itertuples(index=False)]
+    plan = df.sparkSession.createDataFrame(rows, schema)
+    at = F.size(F.filter("_first", lambda first: first <= F.col(number))) - 1
+    found = df.join(plan, key).withColumn("_nth", at)
+    return found.select(*df.columns, *[F.get(f"_{c}", F.col("_nth")).alias(c) for c in columns])
 
 
 def components(edges: DataFrame) -> DataFrame:
