@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quizlens.operators.materialize import materialize
 from quizlens.settings import Settings
-from quizlens.sources.cards import normalise_cards
+from quizlens.sources.cards import normalise_cards, read_cards
 
 AS_OF = datetime(2001, 7, 29, 12)
 SETTINGS = Settings(as_of=AS_OF)
@@ -87,7 +87,18 @@ def raw_cards(spark: SparkSession, sf_dir: str, day_from: date | None = None, da
     )
 
 
+_stored: dict[str, str] = {}
+
+
+def store_cards(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Write the cards of a table folder once; from then on :func:`cards` reads them there."""
+    raw_cards(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism, "cardId").write.parquet(path)
+    _stored[sf_dir] = path
+
+
 def cards(spark: SparkSession, sf_dir: str, day_from: date | None = None, day_to: date | None = None) -> DataFrame:
+    if sf_dir in _stored:
+        return read_cards(spark, _stored[sf_dir], day_from=day_from, day_to=day_to, card_id="cardId")
     return normalise_cards(raw_cards(spark, sf_dir, day_from, day_to), card_id="cardId")
 
 

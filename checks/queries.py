@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -13,7 +14,7 @@ from quizlens.functions import calendar, score_text
 from quizlens.operators import answers as ans
 from quizlens.operators import cells as cl
 from quizlens.operators import knowledge as kn
-from quizlens.operators.materialize import materialize
+from quizlens.operators.materialize import materialize, scratch_folder
 from quizlens.operators.ranking import group_ranks, top_rows
 from quizlens.operators.running import running_right
 from quizlens.plans import base as bs
@@ -65,7 +66,10 @@ def _joined(name: str) -> Column:
 
 
 def cards_scan(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.cards(spark, sf).select(
+    """Cards written in their stored form and read again."""
+    path = f"{scratch_folder(spark)}/cards-{uuid.uuid4().hex}"
+    fx.raw_cards(spark, sf).write.parquet(path)
+    return src.read_cards(spark, path, card_id="cardId").select(
         "card_id", "user_id", "subject", F.date_format("day", "yyyy-MM-dd").alias("day"),
         *map(_joined, ("question", "correct", "answer_time", "point")),
     )

@@ -11,8 +11,8 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    spark = session("4")
+def spark(tmp_path_factory):
+    spark = session("4", str(tmp_path_factory.mktemp("checkpoints")))
     yield spark
     spark.stop()
 
