@@ -98,20 +98,50 @@ def argument_errors(calls: DataFrame, schemas: DataFrame) -> DataFrame:
 
 def levels(calls: DataFrame) -> DataFrame:
     """(call_id, level): 0 for calls that need no other call of their conversation, else one more than the highest
-    needed. Calls on a cycle, or behind one, have no row. Each round is written; there is one for every level."""
+    needed. Calls on a cycle, or behind one, have no row.
+
+    Chains of calls that need a single other one are walked by doubling steps: a thousand calls in a row take ten
+    rounds. What is left is a graph of the calls with several needs, which are placed once all their needs are, in as
+    many rounds as such calls stand behind one another. Every round is written.
+    """
     nodes = calls.select("call_id", "conv_id")
     edges = calls.select("call_id", "conv_id", F.explode("needs").alias("need")).distinct().join(
         nodes.withColumnsRenamed({"call_id": "need"}), ["need", "conv_id"], "left_semi").select("call_id", "need")
     edges = materialize(edges.withColumn("of", F.count(F.lit(1)).over(Window.partitionBy("call_id"))), "needs")
-    placed = materialize(nodes.join(edges, "call_id", "left_anti").select("call_id", F.lit(0).alias("level")), "levels")
-    newest, level = placed, 0
+    heads = _chain_heads(nodes.select("call_id"), edges.where("of = 1"))
+    several = edges.where("of > 1").join(
+        heads.withColumnsRenamed({"call_id": "need", "steps": "before"}), "need").select("call_id", "of", "head", (F.col("before") + 1).alias("more"))
+    several = materialize(several, "needs")
+    placed = materialize(nodes.join(edges, "call_id", "left_anti").select(
+        F.col("call_id").alias("head"), F.lit(0).cast("long").alias("level")), "levels")
+    newest = several
     while not newest.isEmpty():
-        level += 1
-        ready = edges.join(placed.withColumnRenamed("call_id", "need"), "need").groupBy("call_id", "of").agg(
-            F.count(F.lit(1)).alias("n")).where("n = of").select("call_id")
-        newest = materialize(ready.join(placed, "call_id", "left_anti").withColumn("level", F.lit(level)), "levels")
+        ready = several.join(placed, "head").groupBy("call_id", "of").agg(
+            F.count(F.lit(1)).alias("n"), F.max(F.col("level") + F.col("more")).alias("level")).where("n = of")
+        newest = materialize(ready.select(F.col("call_id").alias("head"), "level").join(placed, "head", "left_anti"), "levels")
         placed = placed.union(newest)
-    return placed
+    return heads.join(placed, "head").select("call_id", (F.col("steps") + F.col("level")).cast("int").alias("level"))
+
+
+def _chain_heads(nodes: DataFrame, single: DataFrame) -> DataFrame:
+    """(call_id, head, steps): the first call without a single need on the way back, which is a call's own head if it
+    has none or several. Calls that only lead to a cycle have no row."""
+    end = F.col("need").isNull()
+    state = nodes.join(single.select("call_id", "need"), "call_id", "left").select(
+        "call_id", F.coalesce("need", "call_id").alias("head"), F.when(end, 0).otherwise(1).cast("long").alias("steps"),
+        end.alias("done"))
+    left = None
+    while True:
+        state = materialize(state, "chains")
+        open_calls = state.where("NOT done").count()
+        if not open_calls or open_calls == left:      # what no round shortens runs in circles
+            return state.where("done").select("call_id", "head", "steps")
+        left = open_calls
+        further = state.select(F.col("call_id").alias("head"), F.col("head").alias("next"), F.col("steps").alias("more"),
+                               F.col("done").alias("reached"))
+        state = state.join(further, "head").select(
+            "call_id", F.col("next").alias("head"), (F.col("steps") + F.col("more")).alias("steps"),
+            (F.col("done") | F.col("reached")).alias("done"))
 
 
 def _positions(rows: DataFrame) -> DataFrame:

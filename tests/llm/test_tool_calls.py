@@ -58,3 +58,11 @@ def test_conversations_with_gaps(spark):
     assert (got["call-1-1"].level, got["call-1-3"].level) == (0, 1)
     assert got["call-1-1"].n_results == 1 and json.loads(got["call-1-1"].message)["result"] == ""
     assert tc.conversation_calls(df.limit(0)).count() == 0
+
+
+def test_long_chains_and_joins_of_chains(spark):
+    calls = [(f"k{i}", 1, i, "add", "{}", [f"k{i - 1}"] if i else []) for i in range(200)]
+    calls += [("m", 1, 300, "add", "{}", ["k10", "k150"]), ("n", 1, 301, "add", "{}", ["m"]), ("o", 1, 302, "add", "{}", ["n", "k199"]),
+              ("p", 1, 303, "add", "{}", ["o", "q"]), ("q", 1, 304, "add", "{}", ["p"])]
+    got = {r.call_id: r.level for r in tc.levels(spark.createDataFrame(calls, tc.CALLS)).collect()}
+    assert got == {f"k{i}": i for i in range(200)} | {"m": 151, "n": 152, "o": 200}
