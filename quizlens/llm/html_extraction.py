@@ -207,9 +207,14 @@ def extract(page: str | None, weights: Weights) -> str:
 
 
 def labelled_pages(pages: DataFrame) -> DataFrame:
-    """A bounded sample, by a hash of the url, of the pages that mark their own text."""
-    marked = F.col("html").rlike("(?i)<(article|main)[ >]") & (F.length("html") <= SAMPLE_CHARS)
-    return pages.select("url", "html").where(marked).orderBy(F.xxhash64("url", "html"), "html").limit(SAMPLE_PAGES).select("html")
+    """A bounded sample of the pages that mark their own text: those with the smallest hashes of url and html.
+
+    Tasks first send hashes only; pages follow once the largest hash of the sample is known.
+    """
+    key = F.xxhash64("url", "html")
+    marked = pages.where(F.col("html").rlike("(?i)<(article|main)[ >]") & (F.length("html") <= SAMPLE_CHARS))
+    bound = marked.select(key.alias("key")).orderBy("key").limit(SAMPLE_PAGES).agg(F.max("key")).first()[0]
+    return marked.where(key <= F.lit(bound).cast("long")).select("html").limit(SAMPLE_PAGES)
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
