@@ -112,17 +112,19 @@ def prior_weight(n: int, k: int, nn: int, spread: float, mean: float, bounds: tu
 
 
 def judged(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """All columns of ``docs``, the measures, ``base_failed``, ``host_rate``, ``host_failed`` and ``kept``.
+    """All columns of ``docs``, the measures, ``base_failed``, ``host_rate``, ``host_failed``, ``kept`` and a row number ``_row``.
 
-    The measured rows are written once, with what the caller selected: texts are read a single time. Ties at a bound
-    pass. Repeated rows count each. No rows give no rows.
+    Documents are measured twice, once for their hosts and once for themselves: that costs less than writing the texts
+    in between. Ties at a bound pass. Repeated rows count each. No rows give no rows.
     """
     base, host = failures(rules)
-    rows = materialize(measure(docs).withColumns({"base_failed": base, "_host_fails": host}), "measured")
-    rates = materialize(host_rates(rows, rules).select(F.col("host").alias("_host"), "host_rate"), "host-rates")
-    out = rows.drop("host_rate").join(rates, F.coalesce("source", F.lit("")) == F.col("_host"))
+    # The row number keeps filters above the measures; below, each would repeat their whole expression.
+    measured = measure(docs).withColumns({"base_failed": base, "_host_fails": host, "_row": F.monotonically_increasing_id()})
+    rates = materialize(host_rates(measured, rules).select(F.col("host").alias("_host"), "host_rate"), "host-rates")
+    out = measured.drop("host_rate").join(rates, F.coalesce("source", F.lit("")) == F.col("_host"))
     failed = F.col("host_rate") > rules.max_host_rate
-    return out.withColumns({"host_failed": failed, "kept": ~F.col("base_failed") & ~failed}).drop("_host", "_host_fails")
+    return out.withColumns({"host_failed": failed, "kept": ~F.col("base_failed") & ~failed}).drop(
+        "_host", "_host_fails")
 
 
 def document_verdicts(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -141,7 +143,7 @@ def kept_documents(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     names = [f"_c{i}" for i in range(len(docs.columns))]   # so that no column of theirs clashes with a measure
     renamed = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)],
                           F.col("text").alias("text"), F.col("source").alias("source"))
-    return judged(renamed, rules).where("kept").select(
+    return judged(renamed, rules).where("kept AND _row >= 0").select(
         *[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])
 
 

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quizlens.llm.tables import components
@@ -192,15 +192,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents without near-duplicates: of each component the row with the smallest id stays, one row of it.
 
-    All columns are kept. The rows are numbered as they are written, so that one of several equal rows can be named.
+    All columns are kept. A row is known by its id and a hash of all it holds; of rows equal in everything one stays.
+    Texts are shuffled once, by that key.
     """
-    row, mark = (_free(docs, name) for name in ("_row", "_fingerprint"))
-    rows = materialize(with_fingerprints(docs.withColumn(row, F.monotonically_increasing_id()), mark), "simhash-rows")
-    slim = rows.select("doc_id", F.col(mark).alias("fingerprint"), F.col(row).alias("row"))
+    mark, key, whole = (_free(docs, name) for name in ("_fingerprint", "_key", "_whole"))
+    known = docs.withColumns({
+        key: F.coalesce(F.col("doc_id").cast("long"), F.lit(-1 << 63)), whole: F.xxhash64(*docs.columns)})
+    rows = materialize(with_fingerprints(known.select("doc_id", "text", key, whole), mark).drop("text"), "simhash-rows")
+    slim = rows.select("doc_id", F.col(mark).alias("fingerprint"), F.col(key).alias("key"), F.col(whole).alias("whole"))
     chosen = slim.join(labels(slim), "fingerprint").groupBy("component_id", F.when(
         F.col("component_id").isNull(), F.col("fingerprint")).alias("only")).agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("best"))
-    return rows.join(chosen.select(F.col("best.row").alias(row)), row, "left_semi").select(docs.columns)
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "key", "whole")).alias("best"))
+    chosen = materialize(chosen.select(F.col("best.key").alias(key), F.col("best.whole").alias(whole)), "chosen")
+    number = F.row_number().over(Window.partitionBy(key, whole).orderBy(key))
+    return known.join(chosen, [key, whole], "left_semi").withColumn(mark, number).where(F.col(mark) == 1).select(docs.columns)
 
 
 def _free(df: DataFrame, name: str) -> str:
