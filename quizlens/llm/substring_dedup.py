@@ -16,7 +16,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -37,11 +36,6 @@ CELL = "bucket int, batch int, cell binary, flags binary"
 NEXT, OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-@lru_cache(maxsize=1)
-def _word_hash() -> WordTable:
-    return WordTable(xxhash.xxh64_intdigest)
-
-
 def pack(values: np.ndarray) -> bytes:
     """Sorted unsigned integers: differences, laid out by byte, compressed."""
     steps = np.diff(values, prepend=values.dtype.type(0))
@@ -78,7 +72,7 @@ class Batch:
     @staticmethod
     def of(rows: pa.Table) -> Batch:
         order = pc.sort_indices(rows, [(ORDER, "ascending"), ("text", "ascending")], null_placement="at_start")
-        rows, table = rows.take(order), _word_hash()
+        rows, table = rows.take(order), WordTable(xxhash.xxh64_intdigest)
         each = []
         for text in rows["text"]:
             found = words(text.as_py())
