@@ -14,6 +14,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -23,34 +24,47 @@ from pyspark.sql import functions as F
 
 from quizlens.llm.bpe_codec import parts_of
 from quizlens.llm.tables import number_within, with_run
-from quizlens.llm.text_words import CACHE_ENTRIES, words
+from quizlens.llm.text_words import words
 from quizlens.operators.materialize import materialize
 
 CAPACITY = 2048
 #: Documents whose words are looked up together.
 DOCUMENTS = 500
+#: Entries after which a task's table starts anew.
+TABLE_ENTRIES = 300_000
+#: ASCII signs that make one part with their neighbours; the apostrophe starts some parts of its own.
+SIGNS = b".,;:!?|*#$%&-"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+@lru_cache(maxsize=1)
+def _tokenizer(path: str) -> tuple:
+    """The tokenizer and which of its ids close a word; one per worker."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+    closes = np.zeros(max(vocabulary.values()) + 1, bool)
+    closes[[i for s, i in vocabulary.items() if s.endswith("</w>")]] = True
+    return tokenizer, closes
+
+
 class WordIds:
     """Little-endian ids of words by the tokenizers library, which drops white space and never joins across it.
 
     New words are cut into the parts that the vocabulary encodes one by one, and new parts are encoded many at a time:
-    the last id of each part carries the end-of-word suffix.
+    the last id of each part carries the end-of-word suffix. Every task has tables of its own.
     """
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.closes[[i for s, i in vocabulary.items() if s.endswith("</w>")]] = True
+        self.tokenizer, self.closes = _tokenizer(path)
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.old_words: dict[bytes, bytes] = {}
+        self.old_parts: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -66,42 +80,53 @@ class WordIds:
             else:
                 self.parts.update((p, self.encode(p)) for p in some)
 
-    def learn(self, found: set[bytes]) -> None:
-        """Make the ids of these words known; tables that have grown large start anew."""
-        if len(self.words) > CACHE_ENTRIES:
-            self.words.clear()
-        if len(self.parts) > CACHE_ENTRIES:
-            self.parts.clear()
-        cut = {w: self._cut(w) for w in found.difference(self.words)}
+    def _learn(self, found: set[bytes]) -> None:
+        """Make the ids of these words known; what the last table held is taken over once it is met again."""
+        if len(self.parts) > TABLE_ENTRIES:
+            self.parts, self.old_parts = {}, self.parts
+        met = found.intersection(self.old_words)
+        self.words.update(zip(met, map(self.old_words.__getitem__, met), strict=True))
+        cut = {w: self._cut(w) for w in found.difference(met)}
         new = {p for parts in cut.values() if parts for p in parts}.difference(self.parts)
-        self._learn_parts(list(new))
+        met = new.intersection(self.old_parts)
+        self.parts.update(zip(met, map(self.old_parts.__getitem__, met), strict=True))
+        self._learn_parts(list(new.difference(met)))
         for word, parts in cut.items():
             self.words[word] = (self.encode(word.decode("utf-8", "surrogatepass")) if parts is None
                                 else b"".join(map(self.parts.__getitem__, parts)))
 
+    def ids_of(self, found: list[bytes]) -> list[bytes]:
+        """Ids of each of these words. A table that has grown large starts anew."""
+        if len(self.words) > TABLE_ENTRIES:
+            self.words, self.old_words = {}, self.words
+        ids = list(map(self.words.get, found))
+        new = [i for i, x in enumerate(ids) if x is None]
+        if new:
+            self._learn({found[i] for i in new})
+            for i in new:
+                ids[i] = self.words[found[i]]
+        return ids
+
     def _cut(self, word: bytes) -> list[str] | None:
         """Parts of a word; none where it may hold a special token."""
-        if word.isalpha():      # ASCII letters only
-            return [word.lower().decode()]
+        core = word.rstrip(SIGNS)
+        if core.isalpha():      # ASCII letters and signs after them
+            return [core.lower().decode(), word[len(core):].decode()] if len(core) < len(word) else [core.lower().decode()]
         return None if b"<|" in word else parts_of(word.decode("utf-8", "surrogatepass"))
 
 
-@lru_cache(maxsize=2)
-def _word_ids(path: str) -> WordIds:
-    """One per worker and file."""
-    return WordIds(path)
-
-
 def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece of at most ``capacity`` ids; a null or empty text is the closing id alone."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _word_ids(path)
+        table = WordIds(path)
         for batch in (whole.slice(at, DOCUMENTS) for whole in batches for at in range(0, whole.num_rows, DOCUMENTS)):
-            rows, found = [], [words(t) for t in batch["text"].to_pylist()]
-            table.learn(set().union(*found))
+            rows, at_word = [], 0
+            found = [words(t) for t in batch["text"].to_pylist()]
+            known = table.ids_of(list(chain.from_iterable(found)))
             for doc_id, own in zip(batch["doc_id"].to_pylist(), found, strict=True):
-                ids = b"".join(map(table.words.__getitem__, own)) + bytes(4)
+                ids = b"".join(known[at_word : at_word + len(own)]) + bytes(4)
+                at_word += len(own)
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))

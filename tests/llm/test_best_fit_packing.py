@@ -72,7 +72,15 @@ def test_odd_texts_encode_as_a_whole():
     texts = ["".join(r.choice("aAeéßΣσ's<|>endoftext  12½日´̈ǅ\t\n /w") for _ in range(200)) for _ in range(200)]
     texts += ["<|endoftext|>x<|startoftext|> a<|endoftext|>", "It's I'll don''t", "</w> a</w>b", "İ K ﬁ ½", ""]
     for text in texts:
-        found = text.encode().split()
-        ids.learn(set(found))
-        own = np.frombuffer(b"".join(ids.words[w] for w in found), "<u4").tolist()
+        own = np.frombuffer(b"".join(ids.ids_of(text.encode().split())), "<u4").tolist()
         assert own == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_tables_that_start_anew_give_the_same_ids(monkeypatch):
+    monkeypatch.setattr(bp, "TABLE_ENTRIES", 5)
+    tokenizer, ids = Tokenizer.from_file(PATH), bp.WordIds(PATH)
+    r = random.Random(2)
+    for _ in range(60):
+        found = ["".join(r.choice("abcé.,'1") for _ in range(3)) for _ in range(r.randint(1, 9))]
+        own = np.frombuffer(b"".join(ids.ids_of([w.encode() for w in found])), "<u4").tolist()
+        assert own == tokenizer.encode(" ".join(found), add_special_tokens=False).ids
