@@ -60,15 +60,22 @@ def op9_tool_calls(spark: SparkSession, sf: str) -> DataFrame:
     return tool_calls.conversation_calls(table(spark, sf, "conversations"))
 
 
+def op9_conversation_messages(spark: SparkSession, sf: str) -> DataFrame:
+    return tool_calls.conversation_messages(table(spark, sf, "conversations"))
+
+
 def op10_bpe_codec(spark: SparkSession, sf: str) -> DataFrame:
     return bpe_codec.encoding_digests(table(spark, sf, "documents"), VOCABULARY)
 
 
 ALL = [
     op1_quality_rules, op2_toxicity, op3_html_extraction, op4_best_fit_packing, op5_substring_dedup, op6_sharding,
-    op7_simhash_dedup, op8_edit_fingerprints, op9_tool_calls, op10_bpe_codec,
+    op7_simhash_dedup, op8_edit_fingerprints, op9_tool_calls,
+    op9_conversation_messages, op10_bpe_codec,
 ]
-ORACLE: dict[str, str] = {"op1_quality_rules": quality_rules.ORACLE, "op9_tool_calls": tool_calls.ORACLE}
+ORACLE: dict[str, str] = {
+    "op1_quality_rules": quality_rules.ORACLE, "op9_tool_calls": tool_calls.ORACLE,
+    "op9_conversation_messages": tool_calls.MESSAGES_ORACLE}
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

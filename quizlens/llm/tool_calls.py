@@ -11,7 +11,7 @@ earlier ranges hold of its conversation, so a conversation with a third of all c
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quizlens.operators.materialize import materialize
@@ -43,7 +43,18 @@ def from_conversations(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = conversations.select(
         F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.where("conv_id IS NOT NULL AND turn IS NOT NULL")
-    name = lambda turn: F.concat(F.lit("call-"), F.col("conv_id"), F.lit("-"), turn)
+    calls = _said_as_calls(rows).select("call_id", "conv_id", "turn", "name", "arguments", "needs")
+    results = rows.where("role = 'user'").select(
+        _call_id(F.col("turn") - 1).alias("call_id"), "turn", F.col("text").alias("content"))
+    return calls, results
+
+
+def _call_id(turn: Column) -> Column:
+    return F.concat(F.lit("call-"), F.col("conv_id"), F.lit("-"), turn)
+
+
+def _said_as_calls(rows: DataFrame) -> DataFrame:
+    """The assistant's ``rows`` (conv_id, turn, role, text and others) with call_id, name, arguments and needs."""
     said = rows.where("role = 'assistant'")
     before = said.select("conv_id", (F.col("turn") + 2).alias("turn")).distinct().withColumn("follows", F.lit(True))
     n = F.length("text")
@@ -52,14 +63,11 @@ def from_conversations(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     limit = F.when(n % 8 == 1, F.lit("")).when(n % 8 == 2, F.concat(F.lit(', "limit" : "'), n, F.lit('"'))).otherwise(
         F.concat(F.lit(', "limit" : '), n))
     arguments = F.concat(F.lit('{ "query" : '), query, limit, F.when(n % 8 == 0, F.lit("")).otherwise(F.lit(', "exact" : true }')))
-    calls = said.join(before, ["conv_id", "turn"], "left").withColumn("json", json).select(
-        name(F.col("turn")).alias("call_id"), "conv_id", "turn",
+    return said.join(before, ["conv_id", "turn"], "left").withColumn("json", json).select(
+        *rows.columns, _call_id(F.col("turn")).alias("call_id"),
         F.element_at(F.array(*map(F.lit, ("search", "calculate", "lookup"))), (n % 3 + 1).cast("int")).alias("name"),
         arguments.alias("arguments"),
-        F.when(F.col("follows"), F.array(name(F.col("turn") - 2))).otherwise(F.array().cast("array<string>")).alias("needs"))
-    results = rows.where("role = 'user'").select(
-        name(F.col("turn") - 1).alias("call_id"), "turn", F.col("text").alias("content"))
-    return calls, results
+        F.when(F.col("follows"), F.array(_call_id(F.col("turn") - 2))).otherwise(F.array().cast("array<string>")).alias("needs"))
 
 
 def first_of_each(calls: DataFrame) -> DataFrame:
@@ -144,17 +152,18 @@ def _chain_heads(nodes: DataFrame, single: DataFrame) -> DataFrame:
             (F.col("done") | F.col("reached")).alias("done"))
 
 
-def _positions(rows: DataFrame) -> DataFrame:
-    """Add ``position`` (from 0) within conv_id by level, turn and call_id; calls without a level come last."""
-    order = [F.col("conv_id"), F.col("level").asc_nulls_last(), F.col("turn"), F.col("call_id")]
+def _positions(rows: DataFrame, *order: Column | str) -> DataFrame:
+    """Add ``position`` (from 0) within conv_id by ``order``; rows without conv_id are numbered together."""
+    order = [F.col("conv_id"), *order]
     placed = materialize(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(
         "_id", F.monotonically_increasing_id()).withColumns({
             "_part": F.shiftright("_id", 33), "_place": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))}), "sorted-calls")
     spans = placed.groupBy("conv_id", "_part").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_span"))
     earlier = Window.partitionBy("conv_id").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    shift = spans.select("conv_id", "_part", (F.coalesce(F.sum("_span").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
-    return placed.join(shift, ["conv_id", "_part"]).withColumn("position", F.col("_place") + F.col("_shift")).drop(
-        "_id", "_part", "_place", "_shift")
+    shift = spans.select(F.col("conv_id").alias("_of"), F.col("_part").alias("_in"), (
+        F.coalesce(F.sum("_span").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return placed.join(shift, F.col("conv_id").eqNullSafe(F.col("_of")) & (F.col("_part") == F.col("_in"))).withColumn(
+        "position", F.col("_place") + F.col("_shift")).drop("_id", "_part", "_place", "_shift", "_of", "_in")
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
@@ -176,7 +185,8 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
         F.coalesce("needs", empty).alias("needs"), F.col("first.content").alias("result")))
     rows = rows.select("conv_id", "turn", "call_id", "level", "n_results", (F.size("errors") == 0).alias("valid"),
                        "errors", message.alias("message"))
-    return _positions(rows)
+    # Calls without a level come last.
+    return _positions(rows, F.col("level").asc_nulls_last(), "turn", "call_id")
 
 
 def orphans(calls: DataFrame, results: DataFrame) -> DataFrame:
@@ -191,6 +201,52 @@ def conversation_calls(conversations: DataFrame) -> DataFrame:
         F.array_join("errors", ",").alias("errors"), "message")
 
 
+def conversation_messages(conversations: DataFrame) -> DataFrame:
+    """Every row of ``conversations`` as a message: calls, results of calls, and whatever is neither.
+
+    Equal rows are one row with their number in ``n_rows``; a null text is an empty one. ``kind`` is call for the first
+    row of a call by :func:`first_of_each`, repeat for others of the same conversation and turn, result for a user's
+    turn after a call, and message for the rest, which includes rows without conv_id, turn or role. ``position`` follows
+    turn, role and text; calls need earlier turns only, so they stand behind what they need. All results of a call are
+    rows, the first is in the call's message as well.
+    """
+    rows = materialize(conversations.select(
+        F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", F.coalesce("text", F.lit("")).alias("text")
+    ).groupBy("conv_id", "turn", "role", "text").agg(F.count(F.lit(1)).alias("n_rows")), "turns")
+    called = F.coalesce(F.expr("conv_id IS NOT NULL AND turn IS NOT NULL AND role = 'assistant'"), F.lit(False))
+    calls = materialize(_said_as_calls(rows.where(called)).withColumn(
+        "row_id", F.concat("call_id", F.lit("-"), F.sha2("text", 256))), "calls")
+    firsts = first_of_each(calls)
+    errors = argument_errors(
+        calls.select(F.col("row_id").alias("call_id"), "name", "arguments"), tools(conversations.sparkSession))
+    asked = F.coalesce(F.expr("conv_id IS NOT NULL AND turn IS NOT NULL AND role = 'user'"), F.lit(False))
+    replies = rows.where(asked).withColumn("asked", _call_id(F.col("turn") - 1))
+    rest = materialize(replies.join(firsts.select("call_id"), F.col("asked") == F.col("call_id"), "left").drop("asked").union(
+        rows.where(~called & ~asked).withColumn("call_id", F.lit(None).cast("string"))), "turns")
+    answers = rest.where("call_id IS NOT NULL").groupBy("call_id").agg(
+        F.min("text").alias("result"), F.sum("n_rows").alias("n_results"))
+    empty = F.array().cast("array<string>")
+    said = calls.join(errors.select(F.col("call_id").alias("row_id"), "errors"), "row_id", "left").join(
+        answers, "call_id", "left").join(levels(firsts), "call_id", "left").join(
+        firsts.select("call_id", F.col("name").alias("_name"), F.col("arguments").alias("_arguments")), "call_id")
+    said = said.withColumns({"errors": F.coalesce("errors", empty), "n_results": F.coalesce("n_results", F.lit(0))})
+    whole = ~F.array_contains("errors", "malformed")
+    first = (F.col("name") == F.col("_name")) & (F.col("arguments") == F.col("_arguments"))
+    columns = ["conv_id", "turn", "role", "text", "n_rows", "kind", "call_id", "level", "n_results", "valid", "errors", "message"]
+    said = said.select(
+        "*", F.when(first, "call").otherwise("repeat").alias("kind"), (F.size("errors") == 0).alias("valid"),
+        F.to_json(F.struct(
+            F.when(whole, F.try_parse_json("arguments")).alias("arguments"), "call_id", F.col("text").alias("content"),
+            "errors", "name", "needs", "result", "role")).alias("message"))
+    said = said.withColumn("errors", F.array_join("errors", ",")).select(columns)
+    none = {"level": "int", "n_results": "long", "valid": "boolean", "errors": "string"}
+    rest = rest.withColumns({name: F.lit(None).cast(kind) for name, kind in none.items()}).withColumns({
+        "kind": F.when(F.col("call_id").isNull(), "message").otherwise("result"),
+        "message": F.to_json(F.struct("call_id", F.col("text").alias("content"), "role"))}).select(columns)
+    return _positions(said.union(rest), F.col("turn").asc_nulls_last(), F.col("role").asc_nulls_last(), "text").select(
+        "conv_id", "position", "turn", "role", "kind", "n_rows", "call_id", "level", "n_results", "valid", "errors", "message")
+
+
 ORACLE = """
 WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS t, length(coalesce(text, '')) AS n FROM conversations
            WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
@@ -218,3 +274,43 @@ SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY level, turn, ca
        || CASE WHEN result IS NULL THEN '' ELSE ',"result":' || to_json(result) END || '}' AS message
 FROM e
 """
+
+MESSAGES_ORACLE = """
+WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, count(*) AS n_rows
+           FROM conversations GROUP BY ALL),
+k AS (SELECT DISTINCT conv_id, turn FROM c WHERE role = 'assistant' AND conv_id IS NOT NULL AND turn IS NOT NULL),
+l AS (SELECT *, turn // 2 - row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS run FROM k),
+v AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id, turn % 2, run ORDER BY turn) - 1 AS level FROM l),
+r AS (SELECT conv_id, turn, sum(n_rows) AS n_results, min(t) AS result FROM c WHERE role = 'user' GROUP BY ALL),
+m AS (SELECT c.*, v.level, coalesce(r.n_results, 0) AS n_results, r.result, w.turn IS NOT NULL AS answers,
+      (['search', 'calculate', 'lookup'])[n % 3 + 1] AS name,
+      '{ "query" : ' || to_json(t) || CASE n % 8 WHEN 1 THEN '' WHEN 2 THEN ', "limit" : "' || n || '"'
+          ELSE ', "limit" : ' || n END || CASE n % 8 WHEN 0 THEN '' ELSE ', "exact" : true }' END AS arguments
+      FROM c LEFT JOIN v ON v.conv_id = c.conv_id AND v.turn = c.turn AND c.role = 'assistant'
+      LEFT JOIN r ON r.conv_id = c.conv_id AND r.turn = c.turn + 1
+      LEFT JOIN k w ON w.conv_id = c.conv_id AND w.turn = c.turn - 1 AND c.role = 'user'),
+e AS (SELECT *, row_number() OVER (PARTITION BY conv_id, turn, role ORDER BY name, arguments) AS nth,
+      CASE WHEN n % 8 = 0 THEN ['malformed']
+           WHEN name = 'search' THEN CASE n % 8 WHEN 1 THEN ['missing:limit'] WHEN 2 THEN ['type:limit'] ELSE [] END
+           WHEN name = 'lookup' THEN CASE n % 8 WHEN 1 THEN [] ELSE ['unexpected:limit'] END
+           ELSE list_concat(CASE n % 8 WHEN 1 THEN ['missing:limit'] ELSE [] END,
+                list_concat(CASE n % 8 WHEN 2 THEN ['type:limit'] ELSE [] END, ['unexpected:exact'])) END AS found,
+      CASE WHEN level IS NOT NULL THEN 'call-' || conv_id || '-' || turn
+           WHEN answers THEN 'call-' || conv_id || '-' || (turn - 1) END AS call_id FROM m)
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role NULLS LAST, t) - 1 AS position,
+       turn, role, n_rows, call_id, level::INTEGER AS level,
+       CASE WHEN level IS NULL THEN CASE WHEN answers THEN 'result' ELSE 'message' END
+            WHEN nth = 1 THEN 'call' ELSE 'repeat' END AS kind,
+       CASE WHEN level IS NOT NULL THEN n_results END AS n_results,
+       CASE WHEN level IS NOT NULL THEN len(found) = 0 END AS valid,
+       CASE WHEN level IS NOT NULL THEN array_to_string(found, ',') END AS errors,
+       CASE WHEN level IS NULL THEN '{' || coalesce('"call_id":"' || call_id || '",', '') || '"content":' || to_json(t)
+                || coalesce(',"role":' || to_json(role), '') || '}'
+       ELSE '{' || CASE WHEN n % 8 = 0 THEN '' ELSE '"arguments":{"exact":true,' || CASE n % 8 WHEN 1 THEN ''
+                WHEN 2 THEN '"limit":"' || n || '",' ELSE '"limit":' || n || ',' END || '"query":' || to_json(t) || '},' END
+            || '"call_id":"' || call_id || '","content":' || to_json(t) || ',"errors":' || to_json(found)
+            || ',"name":"' || name || '","needs":'
+            || CASE WHEN level > 0 THEN '["call-' || conv_id || '-' || (turn - 2) || '"]' ELSE '[]' END
+            || CASE WHEN result IS NULL THEN '' ELSE ',"result":' || to_json(result) END || ',"role":"assistant"}' END AS message
+FROM e
+"""

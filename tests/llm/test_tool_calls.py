@@ -1,6 +1,8 @@
 import json
 
+from checks.compare import compare
 from quizlens.llm import tool_calls as tc
+from tests.conftest import SF_DIR
 
 SCHEMAS = [("add", "a", "number", True), ("add", "b", "number", True), ("add", "note", "string", False),
            ("find", "where", "object", False), ("find", "tags", "array", True)]
@@ -66,3 +68,25 @@ def test_long_chains_and_joins_of_chains(spark):
               ("p", 1, 303, "add", "{}", ["o", "q"]), ("q", 1, 304, "add", "{}", ["p"])]
     got = {r.call_id: r.level for r in tc.levels(spark.createDataFrame(calls, tc.CALLS)).collect()}
     assert got == {f"k{i}": i for i in range(200)} | {"m": 151, "n": 152, "o": 200}
+
+
+def test_every_row_of_a_conversation_is_a_message(spark, many_partitions):
+    rows = [(1, 0, "system", "be kind"), (1, 1, "user", "hi"), (1, 2, "user", "hi again"), (1, 3, "assistant", "first"),
+            (1, 3, "assistant", "second one"), (1, 3, "assistant", "first"), (1, 4, "user", "b"), (1, 4, "user", "a"),
+            (1, 4, "user", "b"), (1, 5, "assistant", None), (2, 0, "system", "alone"), (2, 1, "user", "no answer"),
+            (None, 1, "assistant", "x"), (3, None, "user", "y"), (3, 1, None, "z"), (3, 2, "user", "after z")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = tc.conversation_messages(df).collect()
+    assert sum(r.n_rows for r in got) == len(rows) and len(got) == len(rows) - 2
+    contents = {(r.conv_id, r.turn, r.role, json.loads(r.message)["content"]) for r in got}
+    assert contents == {(c, t, role, text or "") for c, t, role, text in rows}
+    kinds = {(r.conv_id, r.turn, json.loads(r.message)["content"]): r.kind for r in got}
+    assert [kinds[1, 3, x] for x in ("first", "second one")].count("call") == 1 and kinds[1, 4, "b"] == kinds[1, 4, "a"] == "result"
+    assert kinds[1, 2, "hi again"] == kinds[2, 1, "no answer"] == kinds[3, 2, "after z"] == kinds[None, 1, "x"] == "message"
+    assert [r.turn for r in sorted((r for r in got if r.conv_id == 1), key=lambda r: r.position)] == [0, 1, 2, 3, 3, 4, 4, 5]
+    assert {r.n_results for r in got if r.turn == 3 and r.conv_id == 1} == {3}
+    assert tc.conversation_messages(df.limit(0)).count() == 0
+
+
+def test_messages_equal_sql(spark, duck):
+    assert compare(spark, duck, SF_DIR, "op9_conversation_messages") is None
