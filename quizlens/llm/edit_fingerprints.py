@@ -21,12 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quizlens.llm.tables import parallelism
+from quizlens.llm.tables import components, parallelism
+from quizlens.operators.materialize import materialize
 
 SEED = 8
 OCTAVE = 32
 PERIOD = 4096       # steps after which the random bits come round
 GROUP_CHARS = 4_000_000
+#: Fingerprints of a key that are searched in one task; more are searched by pairs of blocks.
+BLOCK = 2048
 DIGITS = np.frombuffer(b"0123456789abcdef", np.uint8)
 END = ord("-")
 
@@ -200,19 +203,107 @@ def band_keys(fingerprint: str, bands: int = 24, digits: int = 6) -> list[str]:
     return out
 
 
-def near_documents(prints: DataFrame, at_least: float = 0.8) -> DataFrame:
-    """(fingerprint, near, likeness): fingerprints that meet in a band and are alike, from rows with ``fingerprint``.
+def _alike(rows: np.ndarray, row: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """:func:`likeness` of one padded fingerprint to each of ``rows``."""
+    out = np.empty(len(rows))
+    for start in range(0, len(rows), 4096):
+        some = rows[start : start + 4096]
+        alive = (some != END) | (row != END)
+        total = alive @ weight
+        out[start : start + 4096] = ((some == row) & alive) @ weight / np.where(total > 0, total, 1.0)
+    return out
+
+
+def _forest(members: list[str], at_least: float) -> list[tuple[int, int, float]]:
+    """Links (i, j, likeness) that connect the same members as all pairs of ``at_least`` do.
 
-    Equal fingerprints are folded first. In every band each fingerprint is compared with the smallest one of its key
-    and with the one before it in order, so a key with n fingerprints gives 2 n candidates, not its pairs.
+    A member meets one representative of each class so far, then all others of the classes it is not yet linked to. So
+    a group of near copies takes a comparison or two each, and only members unlike each other are compared in full.
     """
-    distinct = prints.select("fingerprint").where("fingerprint IS NOT NULL").distinct()
+    length = max(map(len, members))
+    rows = np.frombuffer("".join(s.ljust(length, "-") for s in members).encode(), np.uint8).reshape(len(members), length)
+    weight = 2.0 ** np.maximum(0, np.arange(length) // OCTAVE - 1)
+    label, links = np.arange(len(members)), []
+    for i in range(1, len(members)):
+        known = label[:i]
+        first = np.flatnonzero(known == np.arange(i))           # a class is named by its first member
+        for others in (first, None):
+            if others is None:
+                others = np.flatnonzero((known != np.arange(i)) & (known != label[i]))
+            found = _alike(rows[others], rows[i], weight)
+            for j in np.flatnonzero(found >= at_least):
+                a, b = label[others[j]], label[i]
+                if a != b:
+                    links.append((i, int(others[j]), float(found[j])))
+                    part = label[: i + 1]
+                    part[part == max(a, b)] = min(a, b)
+    return links
+
+
+def near_documents(prints: DataFrame, at_least: float = 0.8, block: int = BLOCK) -> DataFrame:
+    """(fingerprint, near, likeness): links that connect all fingerprints that meet in a band and are alike.
+
+    Any two fingerprints of a key that are alike are linked, directly or through others. Equal fingerprints are folded
+    first, and keys of one fingerprint are left out before fingerprints are sent to their keys. A key with more than
+    ``block`` is dealt in blocks, each pair of blocks being searched in a task of its own, so no pair is left out.
+    """
+    return _numbered_links(_distinct(prints), at_least, block).select("fingerprint", "near", "likeness")
+
+
+def _distinct(prints: DataFrame) -> DataFrame:
+    return materialize(prints.select("fingerprint").where("fingerprint IS NOT NULL").distinct().withColumn(
+        "id", F.monotonically_increasing_id()), "fingerprints")
+
+
+def _numbered_links(distinct: DataFrame, at_least: float, block: int) -> DataFrame:
+    """u, v, fingerprint, near, likeness for rows (fingerprint, id) of distinct fingerprints."""
     keys = F.pandas_udf(lambda s: s.map(band_keys), "array<string>")
-    keyed = distinct.select("fingerprint", F.explode(keys("fingerprint")).alias("key"))
-    least = keyed.groupBy("key").agg(F.min("fingerprint").alias("near"))
-    ordered = Window.partitionBy("key").orderBy("fingerprint")
-    met = keyed.join(least, "key").select("fingerprint", "near").union(
-        keyed.select("fingerprint", F.lag("fingerprint").over(ordered).alias("near")))
-    met = met.where("near < fingerprint").distinct()
-    alike = F.pandas_udf(lambda a, b: pd.Series(map(likeness, a, b), dtype=float), "double")
-    return met.withColumn("likeness", alike("fingerprint", "near")).where(F.col("likeness") >= at_least)
+    keyed = materialize(distinct.select("id", F.explode(keys("fingerprint")).alias("key")).select(
+        "id", F.xxhash64("key").alias("key")), "bands")
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    met = keyed.join(shared, "key").withColumn("of", blocks).withColumn("mine", F.expr("CAST(pmod(xxhash64(id), of) AS INT)"))
+    met = met.select("id", "key", F.explode(F.expr(
+        "IF(of = 1, array(struct(0 AS a, 0 AS b)), transform(filter(sequence(0, of - 1), x -> x <> mine), "
+        "x -> struct(least(x, mine) AS a, greatest(x, mine) AS b)))")).alias("pair")).select("id", "key", "pair.*")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, members = None, []
+
+        def found() -> Iterator[pa.RecordBatch]:
+            if len(members) > 1:
+                ids, texts = zip(*members, strict=True)
+                links = [(ids[i], ids[j], texts[i], texts[j], x) if texts[j] < texts[i] else (ids[j], ids[i], texts[j], texts[i], x)
+                         for i, j, x in _forest(texts, at_least)]
+                if links:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*links, strict=True)],
+                                                     names=["u", "v", "fingerprint", "near", "likeness"])
+
+        for batch in batches:
+            for *of, id_, text in zip(*(batch[c].to_pylist() for c in ("key", "a", "b", "id", "fingerprint")), strict=True):
+                if of != group:
+                    yield from found()
+                    group, members = of, []
+                members.append((id_, text))
+        yield from found()
+
+    dealt = met.join(distinct, "id").repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "fingerprint")
+    return dealt.mapInArrow(search, "u long, v long, fingerprint string, near string, likeness double").distinct()
+
+
+def document_classes(docs: DataFrame, at_least: float = 0.8) -> DataFrame:
+    """The columns of :func:`fingerprint_documents` and ``near_class``, the smallest id of the document's class.
+
+    A class are the documents connected by equal fingerprints and by the links of :func:`near_documents`. Null ids count
+    only where a class has no other; its near_class is null then.
+    """
+    rows = materialize(fingerprint_documents(docs), "edit-fingerprints")
+    distinct = _distinct(rows)
+    member = components(_numbered_links(distinct, at_least, BLOCK).select("u", "v"))
+    firsts = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
+    known = materialize(distinct.join(firsts, "fingerprint").join(
+        member, F.col("id") == F.col("node"), "left").select(
+        "fingerprint", "first", F.coalesce("root", "id").alias("root")), "classes")
+    least = known.groupBy("root").agg(F.min("first").alias("near_class"))
+    named = known.join(least, "root").select("fingerprint", "near_class")
+    return rows.join(named, "fingerprint").select(*rows.columns, "near_class")

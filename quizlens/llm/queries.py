@@ -53,7 +53,7 @@ def op7_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op8_edit_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
-    return edit_fingerprints.fingerprint_documents(table(spark, sf, "documents"))
+    return edit_fingerprints.document_classes(table(spark, sf, "documents"))
 
 
 def op9_tool_calls(spark: SparkSession, sf: str) -> DataFrame:

@@ -81,3 +81,68 @@ def test_near_documents_finds_light_edits(spark, many_partitions):
     by_print = {r.fingerprint: r.doc_id for r in prints.collect()}
     found = {tuple(sorted((by_print[r.fingerprint], by_print[r.near]))) for r in ef.near_documents(prints).collect()}
     assert len(found) >= 0.9 * pairs and all(b == a + 1 for a, b in found)
+
+
+def changed_digits(r, text, share):
+    """The fingerprint with some of its digits drawn anew."""
+    return "".join(r.choice("0123456789abcdef") if r.random() < share else c for c in text)
+
+
+def classes_of(values, linked):
+    root = {v: v for v in values}
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    for a, b in linked:
+        root[max(find(a), find(b))] = min(find(a), find(b))
+    return {v: find(v) for v in values}
+
+
+def test_near_documents_link_what_all_pairs_of_a_key_link(spark, many_partitions):
+    r, values = random.Random(11), set()
+    for size, share in ((3, 0.1), (4, 0.15), (4, 0.18), (40, 0.15), (90, 0.1), (30, 0.25)):
+        base = changed_digits(r, "0" * 32 * r.choice([5, 7]), 1.0)
+        values |= {changed_digits(r, base, share) for _ in range(size)}
+    values = sorted(values)
+    keys = {v: set(ef.band_keys(v)) for v in values}
+    pairs = {(a, b): x for i, a in enumerate(values) for b in values[:i]
+             if keys[a] & keys[b] and (x := ef.likeness(a, b)) >= 0.8}
+    df = spark.createDataFrame([(v,) for v in values] + [(values[0],), (None,)], "fingerprint string")
+    expected = classes_of(values, pairs)
+    for block in (ef.BLOCK, 20):
+        got = {(g.fingerprint, g.near): g.likeness for g in ef.near_documents(df, block=block).collect()}
+        assert all(pairs[k] == x for k, x in got.items())
+        assert classes_of(values, got) == expected
+
+
+def test_thousands_of_near_copies_are_one_class():
+    r = random.Random(12)
+    base = changed_digits(r, "0" * 256, 1.0)
+    members = sorted({changed_digits(r, base, 0.06) for _ in range(3000)} | {changed_digits(r, base, 1.0) for _ in range(200)})
+    links = ef._forest(members, 0.8)
+    got = classes_of(range(len(members)), [(i, j) for i, j, _ in links])
+    rows = np.array([list(m.encode()) for m in members], np.uint8)
+    weight = 2.0 ** np.maximum(0, np.arange(256) // ef.OCTAVE - 1)
+    pairs = [(i, int(j)) for i in range(len(members)) for j in np.flatnonzero((rows[:i] == rows[i]) @ weight / weight.sum() >= 0.8)]
+    assert got == classes_of(range(len(members)), pairs) and len(links) < len(members)
+
+
+def test_query_names_the_class_of_every_document(spark, many_partitions):
+    r = random.Random(13)
+    base = prose(r, 400)
+    texts = [base + f" {'x' * i} end" for i in range(12)] + [prose(r, 300) for _ in range(10)] + [base + " x end", None]
+    rows = [(i, t, None, None, None, None, None) for i, t in enumerate(texts)] + [(None, base + " xx end", None, None, None, None, None)]
+    got = ef.document_classes(frame(spark, rows)).collect()
+    assert len(got) == len(rows)
+    prints = {g.fingerprint for g in got}
+    pairs = [(a, b) for a in prints for b in prints if b < a and set(ef.band_keys(a)) & set(ef.band_keys(b)) and ef.likeness(a, b) >= 0.8]
+    root, least = classes_of(prints, pairs), {}
+    for g in got:
+        if g.doc_id is not None:
+            least[root[g.fingerprint]] = min(g.doc_id, least.get(root[g.fingerprint], g.doc_id))
+    assert all(g.near_class == least[root[g.fingerprint]] for g in got)
+    assert len(set(least.values())) < len(prints)
+    assert ef.document_classes(frame(spark, [])).count() == 0
