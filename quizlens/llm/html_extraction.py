@@ -39,6 +39,15 @@ NOT_TEXT = frozenset(
     "promotion recommended related replies reply respond rail search share sharing sidebar signup skip social sponsor sponsored "
     "subscribe subscription tagcloud teaser toolbar tracking widget".split())
 HEAD_NAMES = frozenset(["header", "topbar"])
+# Names of what readers write, which is not the text however long it is.
+REPLIES = frozenset("comment comments commentlist disqus replies reply respond".split())
+# Inside marked text a name counts if all of it does: words like these may stand beside those above ("share-buttons").
+STRUCTURE = frozenset(
+    "area articles bar block body bottom box button buttons center col column container content entry fixed form group icon icons "
+    "inline inner item items label left link links list main mobile module outer panel post posts right row section slot small "
+    "stories story text title top unit us wrap wrapper x".split())
+# A layout that has or lacks something is not that thing.
+LAYOUT_FIRST, LAYOUT_LAST = frozenset("has is with without no not".split()), frozenset("closed off on open opened".split())
 
 TOKENS = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -56,44 +65,72 @@ PRIOR_TEXT, PRIOR_LINK, PRIOR_TAG, LEAST, MOST = 1.0, -0.5, -0.5, 0.02, 5.0
 PRIOR_COUNT = 4.0
 
 
-def _excluded(name: str, attrs: str, in_content: bool) -> bool:
-    """Whether an element holds something other than the text."""
+def _excluded(name: str, attrs: str, in_content: bool) -> str:
+    """Why an element holds something other than the text: "" if it does not, "always", or "reply" or "wrapper" for a
+    form or a name, which an element around the text may have as well."""
+    if name in ("form", "fieldset"):
+        return "always" if attrs and HIDDEN.search(attrs) else "wrapper"
     if name in OUTSIDE or name == "header" and not in_content:
-        return True
+        return "always"
     if not attrs or name in ("html", "body") or name in CONTENT and not in_content:
-        return False
+        return ""
     if "hidden" in attrs or "display" in attrs:
         if HIDDEN.search(attrs):
-            return True
+            return "always"
     for value in NAMED.finditer(attrs):
-        for part in NAME_PART.findall(value[1] or value[2] or value[3] or ""):
-            part = part.lower()
-            if part in NOT_TEXT or part in HEAD_NAMES and not in_content:
-                return True
-    return False
+        if name in HEADING and value[0][:2].lower() == "id":
+            continue
+        for word in (value[1] or value[2] or value[3] or "").split():
+            parts = [part.lower() for part in NAME_PART.findall(word)]
+            found = [part for part in parts if part in NOT_TEXT or part in HEAD_NAMES and not in_content]
+            if not found or parts[0] in LAYOUT_FIRST or len(parts) > 1 and parts[-1] in LAYOUT_LAST:
+                continue
+            if not in_content or all(part in found or part in STRUCTURE for part in parts):
+                return "reply" if REPLIES.intersection(found) else "wrapper"
+    return ""
 
 
 def parse(page: str) -> tuple[list[tuple[str, int, str, int]], bool]:
+    """Items of a page and whether it marks its own text, see :func:`_parse`.
+
+    Elements left out for their name or as a form are taken in again if they hold an article or main element or, but for
+    replies, more than half of the words: they are wrappers of the text.
+    """
+    kept: frozenset[int] = frozenset()
+    while True:
+        items, marked, wrappers = _parse(page, kept)
+        if wrappers <= kept:
+            return items, marked
+        kept |= wrappers
+
+
+def _parse(page: str, kept: frozenset[int]) -> tuple[list[tuple[str, int, str, int]], bool, frozenset[int]]:
     """Items (kind, words, text, block) in page order, and whether the page marks its own text.
 
     A kind says where an item lies: ``=`` marks what is left out, ``+`` the marked text, ``-`` the rest; then the tag,
-    or the element a run of words lies in.
+    or the element a run of words lies in. ``kept`` are places of tags that are not left out for a name or as a form; the
+    third result are the places of those that should not be.
     """
     items: list[tuple[str, int, str, int]] = []
-    stack: list[tuple[str, bool, bool, bool]] = []      # name, excluded, in marked text, in a link
-    block, marked = 0, False
+    stack: list[tuple[str, bool, bool, bool, bool, int]] = []      # name, excluded, in marked text, in a link, never text, wrapper
+    wrappers: list[list] = []      # place, wrapper around it, words, whether it holds marked text, whether it holds replies
+    block, marked, total, never, wrapper = 0, False, 0, False, -1
     excluded = content = link = False
     context = "body"
 
     def set_state() -> None:
-        nonlocal excluded, content, link, context
-        _, excluded, content, link = stack[-1] if stack else ("", False, False, False)
+        nonlocal excluded, content, link, context, never, wrapper
+        _, excluded, content, link, never, wrapper = stack[-1] if stack else ("", False, False, False, False, -1)
         context = "a" if link else next((n for n, *_ in reversed(stack) if n in BLOCK), "body")
 
     for token in TOKENS.finditer(page):
         text = token["text"]
         if text is not None:
             words = len(text.split())
+            if words and not never:
+                total += words
+                if wrapper >= 0:
+                    wrappers[wrapper][2] += words
             if words or text:
                 side = "=" if excluded else "+" if content else "-"
                 items.append((side + context, words, text, block))
@@ -121,7 +158,16 @@ def parse(page: str) -> tuple[list[tuple[str, int, str, int]], bool]:
             if name == "body" and stack and stack[-1][0] == "head":
                 stack.pop()
                 set_state()
-            out = excluded or _excluded(name, token["attrs"] or "", content)
+            why, around = _excluded(name, token["attrs"] or "", content), wrapper
+            if why in ("wrapper", "reply"):
+                if token.start() in kept:
+                    why = ""
+                elif not never and name not in VOID:
+                    around = len(wrappers)
+                    wrappers.append([token.start(), wrapper, 0, False, why == "reply"])
+            out, gone = excluded or bool(why), never or why == "always"
+            if name in CONTENT and not gone and wrapper >= 0:
+                wrappers[wrapper][3] = True
             inside = content or name in CONTENT and not out
             marked = marked or inside
             side = "=" if out else "+" if inside else "-"
@@ -129,10 +175,15 @@ def parse(page: str) -> tuple[list[tuple[str, int, str, int]], bool]:
                 items.append((side + "<br>", 0, " ", block))
                 continue
             if name not in VOID:
-                stack.append((name, out, inside, link or name == "a"))
+                stack.append((name, out, inside, link or name == "a", gone, around))
                 set_state()
         items.append((f"{side}<{name}>", 0, "", block))
-    return items, marked
+    for _, outer, words, holds, _ in reversed(wrappers):
+        if outer >= 0:
+            wrappers[outer][2] += words
+            wrappers[outer][3] |= holds
+    return items, marked, frozenset(
+        place for place, _, words, holds, reply in wrappers if holds or not reply and 2 * words > total)
 
 
 class Weights:

@@ -68,3 +68,26 @@ def test_pages_of_known_documents(spark):
     known = [(r.text.split("\n\n", 1)[-1], texts[int(m[1])]) for r in got if (m := re.search(r"/(\d+)", r.url)) and int(m[1]) in texts]
     assert len(known) > 20
     assert all(a == "\n\n".join(filter(None, (" ".join(x.split()) for x in b.split("\n")))) for a, b in known)
+
+
+BODY = "<h1>A title here</h1><p>Some words of the text go here, quite a few of them.</p><p>And more of them follow too.</p>"
+TEXT = "A title here\n\nSome words of the text go here, quite a few of them.\n\nAnd more of them follow too."
+
+
+@pytest.mark.parametrize("wrapped", [
+    "<form method=post>{}</form>", "<div class='layout has-sidebar'>{}</div>", "<div id='search-page'>{}</div>",
+    "<div class='menu-open'><form><fieldset>{}</fieldset></form></div>", "<div class='no-comments'>{}</div>"])
+def test_wrappers_do_not_take_the_text_with_them(weights, wrapped):
+    menu = "<nav><a href=x>home</a></nav>"
+    for inner in (BODY, f"<article>{BODY}</article>", f"<main>{BODY}</main>"):
+        assert hx.extract(f"<body>{menu}{wrapped.format(inner)}<footer>the end</footer></body>", weights) == TEXT
+    # An article makes a wrapper of whatever holds it, but what is left out in it stays out.
+    page = wrapped.format(f"<div class=ad>buy it now {'again ' * 40}</div><article>{BODY}<div class='share-buttons'>share</div></article>")
+    assert hx.extract(f"<body>{menu}{page}</body>", weights) == TEXT
+
+
+def test_names_inside_the_text(weights):
+    page = ("<article><h2 id='privacy'>On privacy</h2><section id='related-work'><p>Work that is related.</p></section>"
+            "<div class='share-prices'><p>Prices of shares.</p></div><section id=comments><p>I agree, at great length, with all of "
+            "this and with more of it than anyone has written here so far.</p></section><div class='related-posts'>more</div></article>")
+    assert hx.extract(page, weights) == "On privacy\n\nWork that is related.\n\nPrices of shares."
