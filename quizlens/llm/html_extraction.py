@@ -204,15 +204,18 @@ class Weights:
         return max(-MOST, min(MOST, odds))
 
     def of(self, kind: str, marked: bool) -> float:
-        """Items that are left out hardly count, so the region may go past them; so do those outside a marked text."""
+        """Items that are left out hardly count, so the region may go past them; those outside a marked text end it.
+
+        In marked pages no item of the marked text, and none left out, costs anything: it is neither trimmed nor split.
+        """
         side, name = kind[0], kind[1:]
         if side == "=":
-            return -LEAST
+            return 0.0 if marked else -LEAST
         if marked and side == "-":
             return -MOST
         found = self.known.get(name)
         found = self._score(name, 0, 0) if found is None else found
-        return max(found, LEAST) if marked and not name.endswith(">") else found
+        return max(found, 0.0 if name.endswith(">") else LEAST) if marked else found
 
 
 def learn(pages: list[str]) -> Weights:

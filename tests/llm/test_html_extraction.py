@@ -91,3 +91,17 @@ def test_names_inside_the_text(weights):
             "<div class='share-prices'><p>Prices of shares.</p></div><section id=comments><p>I agree, at great length, with all of "
             "this and with more of it than anyone has written here so far.</p></section><div class='related-posts'>more</div></article>")
     assert hx.extract(page, weights) == "On privacy\n\nWork that is related.\n\nPrices of shares."
+
+
+def test_marked_text_is_neither_trimmed_nor_split(weights):
+    table = "<table>" + "".join(f"<tr><td>{i}</td><td>{i + 1}</td></tr>" for i in range(60)) + "</table>"
+    links = "<ul>" + "".join(f"<li><a href=r{i}>[{i}]</a></li>" for i in range(80)) + "</ul>"
+    hidden = "<aside>" + "<p>left out</p>" * 200 + "</aside>"
+    for parts in ((table, "<p>Some words here.</p>"), ("<p>Some words here.</p>", table), ("<p>Some words here.</p>", links),
+                  (links, "<p>Some words here.</p>"), ("<p>Before it all.</p>", table * 5, hidden, links, "<p>After it.</p>")):
+        page = "<body><nav><a href=x>home</a></nav><article>" + "".join(parts) + "</article><footer>the end</footer></body>"
+        got = hx.extract(page, weights).split()
+        inner = "".join(parts).replace(hidden, "")
+        import re
+
+        assert got == re.sub("<[^>]*>", " ", inner).split()
