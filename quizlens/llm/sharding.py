@@ -63,7 +63,8 @@ def schedule(classes: pd.DataFrame, shards: int) -> pd.DataFrame:
 
 def assign_groups(groups: DataFrame, shards: int) -> DataFrame:
     """(key, shard) for rows (key, bytes) with one row per group."""
-    numbered = number_within(groups.select("key", "bytes", F.expr(size_class("bytes")).alias("class")), "class", "number")
+    numbered = number_within(materialize(
+        groups.select("key", "bytes", F.expr(size_class("bytes")).alias("class")), "groups"), "class", "number")
     classes = numbered.groupBy("class").agg(F.count(F.lit(1)).alias("groups"), F.sum("bytes").alias("bytes"))
     runs = schedule(classes.toPandas(), shards)    # a row per class, see the module's text
     return with_run(numbered, "class", "number", runs).select("key", F.col("shard").cast("int").alias("shard"))
@@ -81,6 +82,6 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         F.crc32(text).alias("text_crc32"), F.unhex(F.sha2(text, 256)).alias("key")), "sizes")
     groups = rows.groupBy("key").agg(F.sum("size").alias("bytes"))
     placed = rows.join(assign_groups(groups, shards), "key").select("doc_id", "size", "text_crc32", "shard")
-    return number_within(placed, "shard", "slot").select(
+    return number_within(materialize(placed, "placed"), "shard", "slot").select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))

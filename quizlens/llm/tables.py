@@ -22,7 +22,8 @@ def number_within(df: DataFrame, key: str, name: str) -> DataFrame:
 
     Rows are sorted by range of (key, number of the row), so a key with a third of all rows spreads over as many tasks
     as its size needs. A row adds its place in its range to what earlier ranges hold of its key. The sorted rows are
-    written before they are counted, so a repeated task cannot change them. ``df`` should be cheap to read twice.
+    written before they are counted, so a repeated task cannot change them. ``df`` must be a written table: behind a
+    shuffle a repeated task may read its rows in another order and number them anew.
     """
     order = [F.col(key), F.col("_row")]
     placed = materialize(

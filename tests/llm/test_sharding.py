@@ -51,3 +51,16 @@ def test_classes_keep_order(spark):
 
 def test_empty_table(spark):
     assert sh.shard_documents(frame(spark, [])).count() == 0
+
+
+def test_rows_are_written_before_they_are_numbered(spark, many_partitions, monkeypatch):
+    """A row's number must not depend on the order in which shuffled blocks arrive."""
+    plans, number = [], sh.number_within
+
+    def noted(df, *args):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return number(df, *args)
+
+    monkeypatch.setattr(sh, "number_within", noted)
+    assert sh.shard_documents(frame(spark, documents(1)), 5).count() == len(documents(1))
+    assert len(plans) == 2 and all("FileScan" in p and "Exchange" not in p for p in plans)
