@@ -10,6 +10,7 @@ model is one array of fixed size.
 
 from __future__ import annotations
 
+import heapq
 import re
 import zlib
 from collections import Counter
@@ -18,6 +19,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -159,8 +161,12 @@ def telling_features(texts: list[str], toxic: list[bool]) -> set[str]:
 
 
 def _training_lines(texts: list[str], toxic: list[bool], marks: set[str]) -> tuple[list[list[str]], list[list[bool]]]:
-    """Pieces of lines with their token labels: all with a toxic token as far as the bound goes, and as many without."""
+    """Pieces of lines with their token labels: half of the bound with a toxic token and half without, or all there are.
+
+    Beyond the bound pieces are chosen by a hash of their words and number, whatever the ids of their documents.
+    """
     held: dict[bool, list] = {True: [], False: []}
+    number = 0
     known: dict[bytes, tuple[str, bool]] = {}
     for text, label in zip(texts, toxic, strict=True):
         for line in _lines(text):
@@ -172,10 +178,14 @@ def _training_lines(texts: list[str], toxic: list[bool], marks: set[str]) -> tup
                 pairs = [known[w] for w in line[at : at + TRAIN_TOKENS]]
                 tags = [label and mark for _, mark in pairs]
                 kind = held[any(tags)]
+                number += 1
+                rank = -xxhash.xxh64_intdigest(b" ".join(line[at : at + TRAIN_TOKENS]), number)
                 if len(kind) < TRAIN_LINES // 2:
-                    kind.append(([t for t, _ in pairs], tags))
-    both = held[True] + held[False]
-    return [a for a, _ in both], [b for _, b in both]
+                    heapq.heappush(kind, (rank, number, [t for t, _ in pairs], tags))
+                elif rank > kind[0][0]:
+                    heapq.heapreplace(kind, (rank, number, [t for t, _ in pairs], tags))
+    both = [x for kind in (True, False) for x in sorted(held[kind], key=lambda x: x[1])]
+    return [x[2] for x in both], [x[3] for x in both]
 
 
 def fit(texts: list[str], toxic: list[bool], steps: int = 60, rate: float = 0.3, decay: float = 1e-4) -> Model:

@@ -80,3 +80,15 @@ def test_test_tables_are_separable(spark):
     got = tx.document_scores(table(spark, sf, "documents"), labels).join(labels, "doc_id").where("held_out").select(
         "predicted", "toxic").collect()
     assert np.mean([a == b for a, b in got]) > 0.93
+
+
+def test_training_lines_come_from_all_documents(monkeypatch):
+    from quizlens.llm import toxicity
+
+    monkeypatch.setattr(toxicity, "TRAIN_LINES", 100)
+    texts = [f"plain{i} words vile{i % 2}\nother plain{i} words" for i in range(600)]
+    lines, tags = toxicity._training_lines(texts, [True] * 600, {"vile0", "vile1"} | {
+        x for i in (0, 1) for x in toxicity.names(toxicity.plain(f"vile{i}".encode()))[:-1]})
+    assert len(lines) == 100 and sum(map(any, tags)) == 50
+    numbers = sorted(int(w[5:]) for line in lines for w in map(str, line) if w.startswith("plain"))
+    assert numbers[0] < 100 and numbers[-1] > 500
