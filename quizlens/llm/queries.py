@@ -18,6 +18,7 @@ from quizlens.llm import (
     substring_dedup,
     tool_calls,
     toxicity,
+    warc,
 )
 from quizlens.llm.tables import table
 
@@ -68,14 +69,19 @@ def op10_bpe_codec(spark: SparkSession, sf: str) -> DataFrame:
     return bpe_codec.encoding_digests(table(spark, sf, "documents"), VOCABULARY)
 
 
+def op11_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf, "pages"))
+
+
 ALL = [
     op1_quality_rules, op2_toxicity, op3_html_extraction, op4_best_fit_packing, op5_substring_dedup, op6_sharding,
     op7_simhash_dedup, op8_edit_fingerprints, op9_tool_calls,
-    op9_conversation_messages, op10_bpe_codec,
+    op9_conversation_messages, op10_bpe_codec, op11_warc,
 ]
 ORACLE: dict[str, str] = {
     "op1_quality_rules": quality_rules.ORACLE, "op9_tool_calls": tool_calls.ORACLE,
-    "op9_conversation_messages": tool_calls.MESSAGES_ORACLE}
+    "op9_conversation_messages": tool_calls.MESSAGES_ORACLE,
+    "op11_warc": warc.ORACLE}
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
