@@ -15,6 +15,7 @@ from quizlens.llm import (
     quality_rules,
     sharding,
     simhash_dedup,
+    spelling,
     substring_dedup,
     tool_calls,
     toxicity,
@@ -73,10 +74,14 @@ def op11_warc(spark: SparkSession, sf: str) -> DataFrame:
     return warc.archived_pages(table(spark, sf, "pages"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf, "documents"))
+
+
 ALL = [
     op1_quality_rules, op2_toxicity, op3_html_extraction, op4_best_fit_packing, op5_substring_dedup, op6_sharding,
     op7_simhash_dedup, op8_edit_fingerprints, op9_tool_calls,
-    op9_conversation_messages, op10_bpe_codec, op11_warc,
+    op9_conversation_messages, op10_bpe_codec, op11_warc, op13_spelling_variants,
 ]
 ORACLE: dict[str, str] = {
     "op1_quality_rules": quality_rules.ORACLE, "op9_tool_calls": tool_calls.ORACLE,
