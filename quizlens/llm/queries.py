@@ -11,6 +11,7 @@ from quizlens.llm import (
     best_fit_packing,
     bpe_codec,
     edit_fingerprints,
+    hard_negatives,
     html_extraction,
     quality_rules,
     sharding,
@@ -74,6 +75,10 @@ def op11_warc(spark: SparkSession, sf: str) -> DataFrame:
     return warc.archived_pages(table(spark, sf, "pages"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    return hard_negatives.mined_embeddings(table(spark, sf, "embeddings"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf, "documents"))
 
@@ -81,12 +86,13 @@ def op13_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
 ALL = [
     op1_quality_rules, op2_toxicity, op3_html_extraction, op4_best_fit_packing, op5_substring_dedup, op6_sharding,
     op7_simhash_dedup, op8_edit_fingerprints, op9_tool_calls,
-    op9_conversation_messages, op10_bpe_codec, op11_warc, op13_spelling_variants,
+    op9_conversation_messages, op10_bpe_codec, op11_warc, op12_hard_negatives,
+    op13_spelling_variants,
 ]
 ORACLE: dict[str, str] = {
     "op1_quality_rules": quality_rules.ORACLE, "op9_tool_calls": tool_calls.ORACLE,
     "op9_conversation_messages": tool_calls.MESSAGES_ORACLE,
-    "op11_warc": warc.ORACLE}
+    "op11_warc": warc.ORACLE, "op12_hard_negatives": hard_negatives.ORACLE}
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
