@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from quizlens.operators.materialize import materialize
 
 #: Anchors the centres are fitted on, at most; anchors per centre in that sample; centres; rounds of fitting.
-SAMPLE, PER_CENTRE, CENTRES, FITTING = 4096, 16, 64, 8
+SAMPLE, PER_CENTRE, CENTRES, FITTING = 4096, 64, 64, 8
 STEPS = 1024
 #: Length of the first part of a list, growth of the parts, rows in a slice, anchors in a group, rows walked at once.
 FIRST, GROWTH, SLICE, GROUP, STRIDE = 8192, 4, 8192, 512, 512
@@ -49,14 +49,21 @@ def quantised(embeddings: DataFrame) -> DataFrame:
 
 def matrix(column: pa.Array, width: int) -> np.ndarray:
     """Vectors as rows of whole numbers; shorter ones end in zeros."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     sizes = np.diff(column.offsets.to_numpy())
     out = np.zeros((len(column), width), np.int64)
     out[np.arange(width) < sizes[:, None]] = column.flatten().to_numpy()
     return out
 
 
+def packed(vectors: np.ndarray, kind: str) -> pa.Array:
+    return pa.array([row.tobytes() for row in vectors.astype(kind)], pa.binary())
+
+
+def unpacked(column: pa.Array | pa.ChunkedArray, width: int, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, width).astype(np.int64)
+
+
 def lengths(vectors: np.ndarray) -> np.ndarray:
     return np.sqrt((vectors.astype(np.float64) ** 2).sum(axis=1))
 
@@ -98,9 +105,10 @@ def angles(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
 class Lists:
     """All rows with their place, by steps, in the list of each cluster; a written table and a bounded plan."""
 
-    rows: DataFrame             # vec_id, label, vector, steps (binary: one 16-bit step per cluster)
-    members: DataFrame          # vec_id, label, vector, length, cluster, team
+    rows: DataFrame             # vec_id, label, vector (binary), steps (binary: one 16-bit step per cluster)
+    members: DataFrame          # vec_id, label, vector (binary), length, cluster, team
     width: int
+    kind: str                   # how vectors are packed: the narrowest whole numbers that hold every component
     most: float                 # the greatest length
     counts: np.ndarray          # rows by (cluster, step)
     teams: np.ndarray           # groups of anchors by cluster
@@ -118,7 +126,11 @@ def build_lists(rows: DataFrame, anchors: Column) -> Lists | None:
     sample = chosen.select("vector", F.xxhash64("vec_id").alias("h"), "vec_id").orderBy("h", "vec_id").limit(SAMPLE).toArrow()
     if not sample.num_rows:
         return None
-    width = max(1, rows.agg(F.max(F.size("vector"))).first()[0])
+    greatest = F.aggregate("vector", F.lit(0).cast("long"), lambda s, x: F.greatest(s, F.abs(x)))
+    longest = F.sqrt(F.max(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))))
+    width, component, most = rows.agg(F.max(F.size("vector")), F.max(greatest), longest).first()
+    width, most = max(1, width), max(1.0, most * (1 + 1e-9))
+    kind = next(k for k in ("<i2", "<i4", "<i8") if component <= np.iinfo(k).max)
     centres = fit_centres(matrix(sample["vector"], width))
     k, count = len(centres), STEPS
 
@@ -128,34 +140,33 @@ def build_lists(rows: DataFrame, anchors: Column) -> Lists | None:
             away = angles(vectors, centres)
             cluster = away.argmin(axis=1)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(lengths(vectors)), pa.array(cluster.astype(np.int32)),
-                 pa.array(away[np.arange(len(away)), cluster])],
+                [batch["vec_id"], batch["label"], packed(vectors, kind), pa.array(lengths(vectors)),
+                 pa.array(cluster.astype(np.int32)), pa.array(away[np.arange(len(away)), cluster])],
                 names=[*batch.schema.names, "length", "cluster", "away"])
 
     members = materialize(chosen.select("vec_id", "label", "vector").mapInArrow(
-        assign, "vec_id long, label int, vector array<long>, length double, cluster int, away double"), "anchors")
+        assign, "vec_id long, label int, vector binary, length double, cluster int, away double"), "anchors")
     spread, teams = np.zeros(k), np.ones(k, np.int64)
     for r in members.groupBy("cluster").agg(F.max("away").alias("away"), F.count(F.lit(1)).alias("n")).collect():
         spread[r.cluster], teams[r.cluster] = r.away + 1e-7, -(-r.n // GROUP)
     team = F.pmod(F.xxhash64("vec_id"), F.get(F.array(*map(F.lit, teams.tolist())), F.col("cluster"))).cast("int")
-    longest = F.sqrt(F.max(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))))
-    most = max(1.0, rows.agg(longest).first()[0] * (1 + 1e-9))
 
     def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             vectors = matrix(batch["vector"], width)
             bound = lengths(vectors)[:, None] * np.cos(np.maximum(0, angles(vectors, centres) - spread))
-            steps = np.clip((most - bound) * (count / (2 * most)), 0, count - 1).astype("<u2")
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([s.tobytes() for s in steps], pa.binary())],
-                                             names=[*batch.schema.names, "steps"])
+            steps = np.clip((most - bound) * (count / (2 * most)), 0, count - 1)
+            yield pa.RecordBatch.from_arrays(
+                [batch["vec_id"], batch["label"], packed(vectors, kind), packed(steps, "<u2")],
+                names=[*batch.schema.names, "steps"])
 
     listed = materialize(rows.select("vec_id", "label", "vector").mapInArrow(
-        order, "vec_id long, label int, vector array<long>, steps binary"), "listed")
+        order, "vec_id long, label int, vector binary, steps binary"), "listed")
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(k * count, np.int64)
         for batch in batches:
-            steps = _steps(batch["steps"], k)
+            steps = unpacked(batch["steps"], k, "<u2")
             counts += np.bincount((steps + np.arange(k) * count).ravel(), minlength=k * count)
         filled = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(filled), pa.array(counts[filled])], names=["place", "n"])
@@ -163,11 +174,7 @@ def build_lists(rows: DataFrame, anchors: Column) -> Lists | None:
     counts = np.zeros(k * count, np.int64)
     for r in listed.select("steps").mapInArrow(tally, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect():
         counts[r.place] = r.n
-    return Lists(listed, members.withColumn("team", team).drop("away"), width, most, counts.reshape(k, count), teams)
-
-
-def _steps(column: pa.Array, k: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, k).astype(np.int64)
+    return Lists(listed, members.withColumn("team", team).drop("away"), width, kind, most, counts.reshape(k, count), teams)
 
 
 def best_of(found: DataFrame, k: int, rank: str | None = None) -> DataFrame:
@@ -216,12 +223,12 @@ def walk(lists: Lists, wanted: DataFrame, k: int, same_label: bool) -> DataFrame
 
 def _round(lists: Lists, walking: DataFrame, done: np.ndarray, until: np.ndarray, alive: np.ndarray, slices: np.ndarray,
            k: int, same_label: bool) -> DataFrame:
-    clusters, width, teams = len(done), lists.width, lists.teams
+    clusters, width, kind, teams = len(done), lists.width, lists.kind, lists.teams
 
     def part_of_list(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["cluster", "team", "part", "vec_id", "label", "vector", "step"]
         for batch in batches:
-            steps = _steps(batch["steps"], clusters)
+            steps = unpacked(batch["steps"], clusters, "<u2")
             slim = batch.select(["vec_id", "label", "vector"])
             spread = batch["vec_id"].to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)
             for c in np.flatnonzero(alive).tolist():
@@ -238,11 +245,11 @@ def _round(lists: Lists, walking: DataFrame, done: np.ndarray, until: np.ndarray
     bound = lists.edge()
 
     def meet(walkers: pa.Table, entries: pa.Table) -> pa.Table:
-        a, slot, score, other = walk_slice(walkers, entries, width, bound, k, same_label)
+        a, slot, score, other = walk_slice(walkers, entries, width, kind, bound, k, same_label)
         return pa.table({"anchor": a, "slot": slot, "score": score, "other": other})
 
     entries = lists.rows.mapInArrow(
-        part_of_list, "cluster int, team int, part int, vec_id long, label int, vector array<long>, step int")
+        part_of_list, "cluster int, team int, part int, vec_id long, label int, vector binary, step int")
     parts = F.get(F.array(*map(F.lit, slices.tolist())), F.col("cluster"))
     dealt = walking.withColumn("part", F.explode(F.sequence(F.lit(0), (parts - 1).cast("int"))))
     key = ["cluster", "team", "part"]
@@ -250,19 +257,21 @@ def _round(lists: Lists, walking: DataFrame, done: np.ndarray, until: np.ndarray
         meet, "anchor long, slot long, score long, other long")
 
 
-def walk_slice(walkers: pa.Table, entries: pa.Table, width: int, bound, k: int, same_label: bool) -> tuple[np.ndarray, ...]:
+def walk_slice(
+    walkers: pa.Table, entries: pa.Table, width: int, kind: str, bound, k: int, same_label: bool
+) -> tuple[np.ndarray, ...]:
     """The walkers of one group down one slice of their list: (anchor, slot, score, other), k at most of each slot."""
     none = np.zeros(0, np.int64)
     if not walkers.num_rows or not entries.num_rows:
         return none, none, none, none
     anchor, slot, low, high, worst = (walkers[c].to_numpy() for c in ("anchor", "slot", "low", "high", "worst"))
     ids, first, member = np.unique(anchor, return_index=True, return_inverse=True)
-    vectors = matrix(walkers["vector"], width)[first]
+    vectors = unpacked(walkers["vector"], width, kind)[first]
     label, length = (walkers[c].to_numpy()[first] for c in ("label", "length"))
     other, other_label, step = (entries[c].to_numpy() for c in ("vec_id", "label", "step"))
     order = np.lexsort((other, step))
     other, other_label, step = other[order], other_label[order], step[order]
-    listed = matrix(entries["vector"], width)[order]
+    listed = unpacked(entries["vector"], width, kind)[order]
     need = np.maximum(worst, low)
     top = np.full((len(anchor), k), NOTHING)
     rows, gained, scored = none, none, none
@@ -335,10 +344,10 @@ def mined_embeddings(embeddings: DataFrame) -> DataFrame:
 ORACLE = """
 WITH v AS (
   SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS INT) AS label,
-         list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS q
+         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS q
   FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0),
+    AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0),
 s AS (
   SELECT a.vec_id AS anchor, b.vec_id AS other, a.label = b.label AS same,
          CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score

@@ -94,20 +94,20 @@ def test_bounds_hold_and_lists_are_left_early(spark):
     assert lists.counts.sum() == k * len(rows)
     members = lists.members.collect()
     for m in members:
-        score = vectors[ids] @ np.array(m.vector)
+        score = vectors[ids] @ np.frombuffer(m.vector, lists.kind)
         assert (score <= m.length * lists.edge()(steps[:, m.cluster]) + 1e-6).all()
     walkers = pa.table({
         "anchor": [members[0].vec_id], "slot": [0], "low": [hn.NOTHING], "high": [-hn.NOTHING], "worst": [hn.NOTHING],
-        "vector": [list(members[0].vector)], "label": [members[0].label], "length": [members[0].length]})
+        "vector": [bytes(members[0].vector)], "label": [members[0].label], "length": [members[0].length]})
     walked = []
-    entries = pa.table({"vec_id": ids, "label": ids % 2, "vector": [vectors[i].tolist() for i in ids],
+    entries = pa.table({"vec_id": ids, "label": ids % 2, "vector": [vectors[i].astype(lists.kind).tobytes() for i in ids],
                         "step": steps[:, members[0].cluster]})
 
     def bound(step):
         walked.append(step)
         return lists.edge()(step)
 
-    hn.walk_slice(walkers, entries, 16, bound, 5, True)
+    hn.walk_slice(walkers, entries, 16, lists.kind, bound, 5, True)
     assert len(walked) * hn.STRIDE < len(rows) / 2
 
 
