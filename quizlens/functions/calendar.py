@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +23,27 @@ def week_label(as_of: datetime) -> str:
     return f"{year}-{week}"
 
 
+def label_bounds(label: str) -> tuple[date, date]:
+    """Monday and Sunday of a ``year-week`` label, the inverse of :func:`week_label`."""
+    year, _, week = label.partition("-")
+    monday = date.fromisocalendar(int(year), int(week), 1)
+    return monday, monday + timedelta(days=6)
+
+
+def moment_of(label: str) -> datetime:
+    """Sunday noon of a labelled week: a moment whose reporting week it is."""
+    return datetime.combine(label_bounds(label)[1], time(12))
+
+
+def label_monday(label: Column) -> Column:
+    """Monday of ISO ``year-week`` labels; null for other text and for weeks a year does not have."""
+    year = F.regexp_extract(label, "^([0-9]{1,4})-[0-9]{1,2}$", 1).try_cast("int")
+    week = F.regexp_extract(label, "^[0-9]{1,4}-([0-9]{1,2})$", 1).try_cast("int")
+    fourth = F.try_to_date(F.format_string("%04d-01-04", year), "yyyy-MM-dd")      # always in the first week
+    monday = F.date_add(F.date_sub(fourth, F.weekday(fourth)), 7 * (week - 1))
+    return F.when((week >= 1) & (F.extract(F.lit("YEAROFWEEK"), monday) == year), monday)
+
+
 def iso_week_label(day: Column) -> Column:
     return F.concat_ws("-", F.extract(F.lit("YEAROFWEEK"), day).cast("string"), F.weekofyear(day).cast("string"))
 

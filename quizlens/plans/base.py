@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from quizlens.functions.rules import WEIGHTED_POINTS, full_denominator, rule_table
 from quizlens.functions.score_text import point_text
 from quizlens.operators.answers import explode_answers
+from quizlens.operators.bloom import key_filter, might_hold
 from quizlens.operators.running import running_right
 from quizlens.settings import Settings
 
@@ -121,16 +122,26 @@ def keep_active(base: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def base_from_cards(cards: DataFrame, settings: Settings, **options) -> DataFrame:
+def base_from_cards(cards: DataFrame, settings: Settings, *, recent: DataFrame | None = None, **options) -> DataFrame:
     """The base of all cards. With ``running_right`` the cards need a ``card_id``, and right answers, of the week too,
-    are the running figure."""
+    are the running figure.
+
+    ``recent``, a scan of the cards since the activity bound, makes a filter of its users that the history passes before it
+    is exploded and summed up; the exact activity test follows as ever, so the result is the same.
+    """
+    if recent is not None and settings.active_since is not None:
+        cards = cards.where(might_hold(key_filter(active_users(recent, settings), "user_id"), "user_id"))
     answers = explode_answers(cards)
     base = user_subject_base(answers, settings, **options)
     return with_running_right(base, answers, settings) if settings.running_right else base
 
 
 def with_running_right(base: DataFrame, answers: DataFrame, settings: Settings) -> DataFrame:
-    running = running_right(answers, settings.week)
+    return replace_right(base, running_right(answers, settings.week))
+
+
+def replace_right(base: DataFrame, running: DataFrame) -> DataFrame:
+    """Right answers, of the week too, by the running figure of each (user, subject)."""
     return base.join(running, ["user_id", "subject"], "left").select(*[
         F.coalesce(f"running_{c}" if c == "right_num" else "week_running_right_num", F.lit(0)).alias(c)
         if c in ("right_num", "week_right_num") else c for c in base.columns])

@@ -13,8 +13,9 @@ def _ratio(above: str, below: str) -> Column:
     return F.round(F.try_divide(F.col(above), F.col(below)), SCORE_DECIMALS)
 
 
-def week_rows(base: DataFrame, settings: Settings) -> DataFrame:
-    """Week figures per (user, subject). Speed is seconds per question; null when nothing was answered."""
+def week_rows(base: DataFrame, settings: Settings, *further: str) -> DataFrame:
+    """Week figures per (user, subject). Speed is seconds per question; null when nothing was answered. ``further`` columns
+    are kept."""
     rows = base.where(F.col("week_answered_num") > 0) if settings.week_needs_answers else base
     slow_enough = F.try_divide(F.col("answered_time"), F.col("answered_num")) >= settings.week_min_seconds
     competes = (F.col("answered_num") >= settings.week_min_answered) & slow_enough
@@ -22,7 +23,7 @@ def week_rows(base: DataFrame, settings: Settings) -> DataFrame:
         F.when(competes, F.col("week_score")).otherwise(F.lit(0.0)))
     texts = ["week_point_stats"] if "week_point_stats" in base.columns else []
     return rows.select(
-        "user_id", "subject", "week_score", *texts, "week_answered_num", "week_time", "week_right_num",
+        "user_id", "subject", *further, "week_score", *texts, "week_answered_num", "week_time", "week_right_num",
         _ratio("week_time", "week_answered_num").alias("week_speed"),
         _ratio("week_right_num", "week_answered_num").alias("week_accuracy"),
         F.lit(0).cast("bigint").alias("week_undo_num"),

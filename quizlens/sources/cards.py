@@ -36,7 +36,8 @@ def between_days(raw: DataFrame, day_from: date | None, day_to: date | None) ->
     """Bound the stored column itself, from the start of the first day to before the day after the last.
 
     Text is yyyyMMdd, numbers are epoch milliseconds in the session's time zone, dates and timestamps are typed. The
-    column is never wrapped, so the bounds reach the scan.
+    column is never wrapped, so the bounds reach the scan. A bound leaves out cards without a readable day, text that sorts
+    inside it included.
     """
     stored = raw.schema["createTime"].dataType.simpleString()
     zone = ZoneInfo(raw.sparkSession.conf.get("spark.sql.session.timeZone"))
@@ -52,6 +53,8 @@ def between_days(raw: DataFrame, day_from: date | None, day_to: date | None) ->
         raw = raw.where(F.col("createTime") >= start_of(day_from))
     if day_to is not None:
         raw = raw.where(F.col("createTime") < start_of(day_to + timedelta(days=1)))
+    if stored == "string" and (day_from is not None or day_to is not None):
+        raw = raw.where(parse_day(F.col("createTime"), stored).isNotNull())
     return raw
 
 
