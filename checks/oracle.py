@@ -488,3 +488,73 @@ SELECT subject, card_id, card_time, rank FROM (
         LEFT JOIN item AS i ON i.subject = c.subject AND i.card_id = c.card_id GROUP BY ALL) AS s) AS r
 WHERE rank <= 1000"""),
 }
+
+
+# Stored forms give what the plain operators give; weeks are spelled out one by one.
+
+WEEKS = [("2001-30", "2001-07-23", "2001-06-29"), ("2001-29", "2001-07-16", "2001-06-22"),
+         ("2001-26", "2001-06-25", "2001-06-01"), ("2000-52", "2000-12-25", "2000-12-01")]
+_WEEK_LIST = ", ".join(f"('{label}', DATE '{monday}', DATE '{since}')" for label, monday, since in WEEKS)
+_cte("asked_week", [], f"SELECT * FROM (VALUES {_WEEK_LIST}) AS w(week, monday, since)")
+_cte("weeks_item", ["item", "asked_week"], """
+  SELECT week, user_id, subject,
+         count(*) FILTER (WHERE correct IN (1, 2) AND question IS NOT NULL) AS week_answered_num,
+         CAST(coalesce(sum(answer_time), 0) AS BIGINT) AS week_time,
+         count(*) FILTER (WHERE correct NOT IN (1, 2)) AS week_undone_num,
+         count(*) FILTER (WHERE correct = 1 AND answer_time IS NOT NULL AND point <> 0) AS week_right_num
+  FROM item JOIN asked_week ON day BETWEEN monday AND monday + 6 GROUP BY ALL""")
+_cte("weeks_point", ["hit", "asked_week"], """
+  SELECT week, user_id, subject, point, sum(is_right) AS right_num, count(*) AS total_num
+  FROM hit JOIN asked_week ON day BETWEEN monday AND monday + 6 GROUP BY ALL""")
+_cte("weeks_score", ["weeks_item", "weeks_point", "rule"], """
+  SELECT i.week, i.user_id, i.subject,
+         round(CASE WHEN min(share) IS NULL
+           THEN CAST(sum(w_right * coalesce(right_num, 0)) AS DOUBLE) / CAST(sum(w_total * coalesce(total_num, 1)) AS DOUBLE)
+           ELSE sum(CAST(share AS DOUBLE) * CAST(coalesce(right_num, 0) AS DOUBLE) / CAST(coalesce(total_num, 1) AS DOUBLE))
+           END * 100, 6) AS week_score
+  FROM weeks_item AS i JOIN rule AS r USING (subject)
+  LEFT JOIN weeks_point AS p ON p.week = i.week AND p.user_id = i.user_id AND p.subject = i.subject AND p.point = r.point
+  GROUP BY ALL""")
+_cte("weeks", ["weeks_item", "weeks_score", "item_stats", "asked_week", "card"], """
+  SELECT week, user_id, subject, week_score, week_answered_num, week_time, week_right_num,
+         round(CAST(week_time AS DOUBLE) / week_answered_num, 6) AS week_speed,
+         round(CAST(week_right_num AS DOUBLE) / week_answered_num, 6) AS week_accuracy, week_undone_num,
+         CASE WHEN t.answered_num < 300 OR CAST(t.answered_time AS DOUBLE) / t.answered_num < 20 THEN 0.0
+              ELSE week_score END AS week_sort_score
+  FROM weeks_item JOIN weeks_score USING (week, user_id, subject) JOIN item_stats AS t USING (user_id, subject)
+  JOIN asked_week USING (week) JOIN (SELECT user_id, max(day) AS last_day FROM card GROUP BY ALL) AS l USING (user_id)
+  WHERE week_answered_num > 0 AND last_day >= since""")
+
+
+def _week_rank(key: str, name: str) -> str:
+    return f"row_number() OVER (PARTITION BY week, subject ORDER BY {key} DESC NULLS LAST, user_id) AS {name}"
+
+
+_WEEK_RANKS = ", ".join(_week_rank(key, f"rank{i or ''}") for i, key in zip(
+    [0, 2, 3, 4, 5], ["week_sort_score", "week_answered_num", "week_speed", "week_accuracy", "week_score"]))
+
+ORACLE |= {
+    "history_point_stats": ORACLE["point_stats"],
+    "history_user_stats": _with(["base", "running"], """
+SELECT user_id, subject, answered_num, answered_time, practice_days, running_right_num AS right_num, undone_num,
+       week_running_right_num AS week_right_num, score
+FROM base JOIN running USING (user_id, subject)"""),
+    "filtered_active_total": ORACLE["active_total"],
+    "cards_of_user": _card_rows("WHERE year(c.day) = 2000 AND c.user_id = 0 AND c.subject = 1", ""),
+    "min_answered_total": ORACLE["active_total"] + " WHERE answered_num >= 200",
+    "backfill_weeks": _with(["weeks"], "SELECT * FROM weeks"),
+    "backfill_ranks": _with(["weeks"], f"""
+SELECT week, user_id, subject, week_score, week_sort_score, week_answered_num, week_speed, week_accuracy, {_WEEK_RANKS}
+FROM weeks"""),
+    "stored_weeks": _with(["weeks"], f"""
+SELECT user_id || '-' || subject AS row_key, CAST(week_answered_num AS VARCHAR) AS answered, week
+FROM weeks WHERE week IN ('{WEEKS[0][0]}', '{WEEKS[1][0]}')"""),
+    "zone_range": ORACLE["rowkey_range"],
+    "store_maintenance": _with(["newest"], """
+SELECT * FROM newest WHERE row_key NOT IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal < 0)"""),
+    "sql_subject_report": _with(["base", "week", "subject_list"], """
+SELECT b.user_id, b.subject, b.score, b.practice_days, w.week_answered_num, w.week_score, l.points
+FROM base AS b LEFT JOIN week AS w ON w.user_id = b.user_id AND w.subject = b.subject
+LEFT JOIN subject_list AS l ON l.subject = b.subject
+WHERE b.score >= 30 AND b.practice_days >= 3"""),
+}

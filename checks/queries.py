@@ -12,15 +12,17 @@ from pyspark.sql import functions as F
 from checks import fixture as fx
 from quizlens.functions import calendar, score_text
 from quizlens.operators import answers as ans
+from quizlens.operators import cell_store
 from quizlens.operators import cells as cl
 from quizlens.operators import knowledge as kn
 from quizlens.operators.materialize import materialize, scratch_folder
 from quizlens.operators.ranking import group_ranks, top_rows
 from quizlens.operators.running import running_right
 from quizlens.plans import base as bs
-from quizlens.plans import nightly, totals, week, wide
+from quizlens.plans import backfill, history, nightly, sql, totals, week, wide
 from quizlens.settings import older_job
 from quizlens.sources import cards as src
+from quizlens.sources import zones
 
 S = fx.SETTINGS
 OLDER = older_job(fx.AS_OF)
@@ -28,6 +30,7 @@ RUNNING = S.with_(running_right=True)
 CUT_DAY = date(2000, 1, 1)             # stored roll-up before, new cards from here on
 CUT_VERSION = 1_705_276_800_000_000    # 2024-01-15, stored cells before, new writes from here on
 LOOKUP_FIELDS = {"click": "double", "view": "bigint", "signup": "bigint", "error": "string"}
+BACKFILL = ["2001-30", "2001-29", "2001-26", "2000-52"]
 BASE_COLUMNS = ["user_id", "subject", "answered_num", "answered_time", "practice_days", "right_num", "undone_num"]
 
 
@@ -316,7 +319,8 @@ def version_retention_short(spark: SparkSession, sf: str) -> DataFrame:
 
 def calendar_features(spark: SparkSession, sf: str) -> DataFrame:
     events = fx.table(spark, sf, "events").select(
-        F.lit("events").alias("source"), F.col("event_id").alias("id"), "ts", F.regexp_extract("props", ": *(.*)[}]$", 1).alias("text"))
+        F.lit("events").alias("source"), F.col("event_id").alias("id"), "ts",
+        F.expr("trim(TRAILING '}' FROM ltrim(substring_index(props, ':', -1)))").alias("text"))
     orders = fx.table(spark, sf, "orders").select(
         F.lit("orders").alias("source"), F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("ts"),
         F.col("o_orderpriority").alias("text"))
@@ -327,6 +331,104 @@ def calendar_features(spark: SparkSession, sf: str) -> DataFrame:
     })
 
 
+# Stored forms
+
+
+def _stored_history(spark: SparkSession, sf: str) -> str:
+    """Cards arriving as files in three runs, late ones among them; every run is repeated, two are put together."""
+    folder = f"{scratch_folder(spark)}/history-{uuid.uuid4().hex}"
+    raw = fx.raw_cards(spark, sf)
+    late = "cardId % 11 = 0"
+    early = f"createTime < '{CUT_DAY:%Y%m%d}'"
+    for i, arriving in enumerate([f"{early} AND NOT {late}", f"NOT {early} AND NOT {late}", late]):
+        raw.where(arriving).write.mode("append").parquet(f"{folder}/cards")
+        for _ in range(2):
+            history.load_files(spark, f"{folder}/cards", f"{folder}/history", card_id="cardId")
+        if i == 1:
+            history.compact(spark, f"{folder}/history")
+    return f"{folder}/history"
+
+
+def history_point_stats(spark: SparkSession, sf: str) -> DataFrame:
+    return ans.point_stats(history.stored_sums(spark, _stored_history(spark, sf)))
+
+
+def history_user_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Figures and the running figure from stored sums and day states alone."""
+    root = _stored_history(spark, sf)
+    base = bs.user_subject_base(history.stored_sums(spark, root), S)
+    return bs.replace_right(base, history.stored_running(spark, root, S.week)).select(*BASE_COLUMNS, "week_right_num", "score")
+
+
+def filtered_active_total(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``active_total``, with a filter of active users in the scan of all cards."""
+    recent = fx.cards(spark, sf, day_from=S.active_since)
+    return _base(spark, sf, recent=recent).select(*BASE_COLUMNS, "score")
+
+
+def cards_of_user(spark: SparkSession, sf: str) -> DataFrame:
+    """Cards of one user and subject within a year."""
+    year = date(2000, 1, 1), date(2000, 12, 31)
+    return src.cards_on_day(fx.cards(spark, sf, *year), *year, user_id=0, subject=1).select(
+        "card_id", "user_id", "subject", *map(_joined, ("question", "correct", "answer_time", "point")))
+
+
+def min_answered_total(spark: SparkSession, sf: str) -> DataFrame:
+    return _base(spark, sf, S.with_(min_answered=200)).select(*BASE_COLUMNS, "score")
+
+
+def _weeks(spark: SparkSession, sf: str) -> DataFrame:
+    return backfill.weeks_rows(_answers(spark, sf), [calendar.moment_of(label) for label in BACKFILL], S)
+
+
+def backfill_weeks(spark: SparkSession, sf: str) -> DataFrame:
+    """Week figures of four weeks, given by label, from one pass."""
+    return _weeks(spark, sf).drop("week_undo_num")
+
+
+def backfill_ranks(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _weeks(spark, sf).select("week", "user_id", "subject", "week_score", "week_sort_score", "week_answered_num",
+                                    "week_speed", "week_accuracy")
+    return backfill.weeks_ranks(materialize(rows, "weeks"), S)
+
+
+def stored_weeks(spark: SparkSession, sf: str) -> DataFrame:
+    """Two weeks written as partitions, one of them first with rows that its second writing replaces; both read back."""
+    path = f"{scratch_folder(spark)}/weeks-{uuid.uuid4().hex}"
+    rows = materialize(_weeks(spark, sf).selectExpr(
+        "concat_ws('-', user_id, subject) AS row_key", "week", "CAST(week_answered_num AS STRING) AS answered"), "weeks")
+    for label, chosen in [(BACKFILL[0], "answered > '2'"), (BACKFILL[1], "true"), (BACKFILL[0], "true")]:
+        wide.write_wide(rows.where((F.col("week") == label) & F.expr(chosen)).drop("week"), path, partition={"week": label})
+    return spark.read.parquet(path)
+
+
+def zone_range(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``rowkey_range``, over a stored table whose zone map tells which files to open."""
+    path = f"{scratch_folder(spark)}/wide-{uuid.uuid4().hex}"
+    rows = cl.newest_rows(fx.cells(spark, sf), "info", dict.fromkeys(LOOKUP_FIELDS | {"purchase": ""}, "string"))
+    wide.write_wide(rows, path)
+    zones.write_zones(spark, path)
+    return zones.scan_range(spark, path, "2", "6", ["click", "purchase"])
+
+
+def store_maintenance(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells in a bucketed store: later writes applied, then the rows of some keys taken out."""
+    name = f"cells_{uuid.uuid4().hex}"
+    cells = fx.cells(spark, sf)
+    cell_store.create_store(cells.where(F.col("version") < CUT_VERSION), name, shards=16, buckets=4,
+                            path=f"{scratch_folder(spark)}/{name}")
+    cell_store.upsert_store(spark, name, cells.where(F.col("version") >= CUT_VERSION))
+    gone = fx.table(spark, sf, "customer").where(F.col("c_acctbal") < 0).select(
+        F.col("c_custkey").cast("string").alias("row_key"))
+    cell_store.delete_from_store(spark, name, gone)
+    return spark.table(name).drop("shard")
+
+
+def sql_subject_report(spark: SparkSession, sf: str) -> DataFrame:
+    """SQL text with named parameters over the named results of a run."""
+    return sql.ask(_snapshot(spark, sf), sql.SUBJECT_REPORT, floor=30.0, days=3, subject=None)
+
+
 def string_count(spark: SparkSession, sf: str) -> DataFrame:
     return ans.row_count(fx.table(spark, sf, "orders"), "o_orderpriority")
 
@@ -343,6 +445,8 @@ ALL = [
     active_user_scores, top_cards,
     rowkey_range, typed_lookup, cell_upsert, key_delete, version_retention, version_retention_short,
     calendar_features, string_count,
+    history_point_stats, history_user_stats, filtered_active_total, cards_of_user, min_answered_total,
+    backfill_weeks, backfill_ranks, stored_weeks, zone_range, store_maintenance, sql_subject_report,
 ]
 
 

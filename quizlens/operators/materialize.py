@@ -15,9 +15,15 @@ _run: ContextVar[str] = ContextVar("run", default="queries")
 def scratch_folder(spark: SparkSession) -> str:
     """``<spark.checkpoint.dir>/quizlens-<application>/<run>``.
 
-    Where the setting is missing, as in tests, a folder in the warehouse stands in, which every executor reaches too.
+    Where the setting is missing, a folder in the warehouse stands in: in a local session, or if the warehouse lies in a store
+    that executors share. A warehouse on the driver's own disk is refused.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+        scheme = root.partition(":")[0] if ":" in root else "file"
+        if scheme == "file" and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return f"{root.rstrip('/')}/quizlens-{spark.sparkContext.applicationId}/{_run.get()}"
 
 

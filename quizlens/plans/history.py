@@ -6,7 +6,7 @@ cards have; a slice whose stamp has changed takes its load's place together with
 cards, cards without a readable day and repeated runs count exactly once, and the sums equal those of all cards.
 
     <root>/sums/load=.../       daily sums per (user, subject, day, point)
-    <root>/scored/load=.../     right answers per scored card, by day      only where cards have an id
+    <root>/scored/load=.../     right answers per scored card, days apart  only where cards have an id
     <root>/running/load=.../    day states of the running figure           likewise
     <root>/ledger/              slice, stamp, load, seq, with_cards
 
@@ -105,8 +105,8 @@ def _write_load(spark: SparkSession, root: str, load: str, sums: DataFrame, scor
     if scored is None:
         return
     target = f"{root}/scored/load={load}"
-    scored.select(*DAY, "card_id", "right_num").repartitionByRange("day", "user_id").write.mode("overwrite").partitionBy(
-        "day").parquet(target)
+    scored.select(*DAY, "card_id", "right_num").repartitionByRange("day", "user_id").sortWithinPartitions("day").write.mode(
+        "overwrite").parquet(target)
     if states is None:
         written = spark.read.schema(scored.select(*DAY, "card_id", "right_num").schema).parquet(target)
         states = day_states(written)
