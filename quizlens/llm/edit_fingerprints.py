@@ -188,18 +188,31 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     return with_next(docs).mapInArrow(compute, schema)
 
 
-def band_keys(fingerprint: str, bands: int = 24, digits: int = 6) -> list[str]:
-    """Keys from digits at random places of the fingerprint's upper octaves, the same places for every document.
-
-    Texts whose lengths lie on two sides of a power of two still share their lower octaves, so bands are drawn from the
-    third and the fourth octave from the end of either.
+@lru_cache(maxsize=256)
+def _band_places(scale: int, bands: int, digits: int) -> np.ndarray:
+    """Samples of each band for walks of 32 * 2^(scale / 2) steps or more, drawn evenly over those steps."""
+    until = OCTAVE * 2 ** (scale / 2)
+    steps = sampled_steps(max(1, scale // 2 + 2))
+    r = np.random.Generator(np.random.PCG64([SEED, scale + 64]))
+    return np.searchsorted(steps, r.random((bands, digits)) * until, "right") - 1
+
+
+def band_keys(fingerprint: str, bands: int = 16, digits: int = 6) -> list[str]:
+    """Keys from digits at random places, the same places for every document with a walk of about that length.
+
+    Places are drawn evenly over the steps of a walk, so octaves count by the weights they have in :func:`likeness`: of two
+    fingerprints of likeness x each place agrees with a chance of about x, whatever part of the texts was edited. Lengths
+    are graded by halves of an octave. Alike walks differ in length by less than that, so a document has the keys of its own
+    grade and of the one below.
     """
-    r, out = np.random.Generator(np.random.PCG64(SEED)), []
-    top = len(fingerprint) // OCTAVE - 1
-    places = r.integers(0, OCTAVE, (bands, digits))
-    for octave in {max(0, top - 2), max(0, top - 3)}:
-        part = fingerprint[octave * OCTAVE : (octave + 1) * OCTAVE]
-        out += [f"{octave}.{n}.{''.join(part[p] for p in row)}" for n, row in enumerate(places)]
+    filled = len(fingerprint.rstrip("-"))
+    if not filled:
+        return []
+    walked = int(sampled_steps(-(-filled // OCTAVE))[filled - 1]) + 1
+    grade, out = int(np.floor(2 * np.log2(walked / OCTAVE))), []
+    for scale in (grade, grade - 1):
+        for n, row in enumerate(_band_places(scale, bands, digits)):
+            out.append(f"{scale}.{n}.{''.join(fingerprint[p] for p in row)}")
     return out
 
 

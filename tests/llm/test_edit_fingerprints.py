@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 
 from quizlens.llm import edit_fingerprints as ef
 from tests.llm.frames import documents, frame, prose
@@ -83,6 +84,39 @@ def test_near_documents_finds_light_edits(spark, many_partitions):
     assert len(found) >= 0.9 * pairs and all(b == a + 1 for a, b in found)
 
 
+def edits_of(r, text, kind, share):
+    n, k = len(text), int(len(text) * share)
+    at = {"head": 0, "tail": n - k}.get(kind, r.randrange(n - k + 1))
+    if kind == "scattered":
+        return "".join(c if (x := r.random()) > share / 15 else "" if x > share / 30 else r.choice("aeiou") + c for c in text)
+    return text[:at] + ("" if kind == "cut" else prose(r, k)[:k]) + text[at + k :]
+
+
+@pytest.mark.parametrize("kind", ["head", "middle", "tail", "cut", "scattered"])
+def test_bands_find_what_all_pairs_find(kind):
+    """Of pairs with a likeness of 0.8 or more at least 0.9 share a key, wherever the edit is and however long the text."""
+    r = random.Random(kind)
+    alike = found = 0
+    for n in (700, 1000, 2000, 4000, 6000):
+        for share in (0.02, 0.05, 0.1, 0.15, 0.2):
+            for _ in range(8):
+                text = prose(r, n)[: n + r.randrange(n // 3)]
+                a, b = ef.fingerprints([ef.characters(t) for t in (text, edits_of(r, text, kind, share))])
+                if a != b and ef.likeness(a, b) >= 0.8:
+                    alike += 1
+                    found += not set(ef.band_keys(a)).isdisjoint(ef.band_keys(b))
+    assert alike >= 20 and found >= 0.9 * alike
+
+
+def test_keys_of_short_and_empty_texts():
+    r = random.Random(9)
+    texts = [prose(r, 200)[:n] for n in (1, 2, 5, 15, 16, 17, 31, 40, 63, 64, 65, 127, 500)]
+    for p in ef.fingerprints([ef.characters(t) for t in texts]):
+        keys = ef.band_keys(p)
+        assert len(keys) == 32 == len(set(keys)) and not any("-" in k.split(".")[2] for k in keys)
+    assert ef.band_keys("-" * 32) == []
+
+
 def changed_digits(r, text, share):
     """The fingerprint with some of its digits drawn anew."""
     return "".join(r.choice("0123456789abcdef") if r.random() < share else c for c in text)
