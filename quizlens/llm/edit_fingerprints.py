@@ -257,7 +257,8 @@ def near_documents(prints: DataFrame, at_least: float = 0.8, block: int = BLOCK)
     """(fingerprint, near, likeness): links that connect all fingerprints that meet in a band and are alike.
 
     Any two fingerprints of a key that are alike are linked, directly or through others. Equal fingerprints are folded
-    first, and keys of one fingerprint are left out before fingerprints are sent to their keys. A key with more than
+    first; keys of one fingerprint, and all but one of the keys that have the same fingerprints (by 128 bits of hashes), are
+    left out before fingerprints are sent to their keys. A key with more than
     ``block`` is dealt in blocks, each pair of blocks being searched in a task of its own, so no pair is left out.
     """
     return _numbered_links(_distinct(prints), at_least, block).select("fingerprint", "near", "likeness")
@@ -273,7 +274,9 @@ def _numbered_links(distinct: DataFrame, at_least: float, block: int) -> DataFra
     keys = F.pandas_udf(lambda s: s.map(band_keys), "array<string>")
     keyed = materialize(distinct.select("id", F.explode(keys("fingerprint")).alias("key")).select(
         "id", F.xxhash64("key").alias("key")), "bands")
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = [F.bit_xor(F.xxhash64("id", F.lit(i))).alias(f"members{i}") for i in (0, 1)]
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *members).where("n > 1")
+    shared = shared.groupBy("n", "members0", "members1").agg(F.min("key").alias("key")).select("key", "n")
     blocks = F.ceil(F.col("n") / block).cast("int")
     met = keyed.join(shared, "key").withColumn("of", blocks).withColumn("mine", F.expr("CAST(pmod(xxhash64(id), of) AS INT)"))
     met = met.select("id", "key", F.explode(F.expr(
