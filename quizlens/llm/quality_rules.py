@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quizlens.llm.tables import set_aside
 from quizlens.operators.materialize import materialize
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -47,6 +48,7 @@ def measure(docs: DataFrame) -> DataFrame:
     Windows are told apart by a 64-bit hash within one document. Helper columns live in one struct, and a column that
     already has a measure's name is replaced.
     """
+    docs, back = set_aside(docs, "_q", "_h", "_s", "_p")
     text = F.coalesce("text", F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(NOT_SPACE))
     first = docs.withColumn("_q", F.struct(F.array_remove(F.split(text, SPACE), "").alias("w"), lines.alias("l")))
@@ -69,7 +71,8 @@ def measure(docs: DataFrame) -> DataFrame:
         "n_repeat_words": F.when(F.col("_p").isNull(), F.lit(0)).otherwise(_covered(F.col("_p"))),
         "n_lines": F.size("_q.l"),
     }
-    return fourth.withColumns({k: v.cast("long") for k, v in measured.items()}).drop("_q", "_h", "_s", "_p")
+    return fourth.withColumns({k: v.cast("long") for k, v in measured.items()}).drop(
+        "_q", "_h", "_s", "_p").withColumnsRenamed(back)
 
 
 def failures(rules: Rules) -> tuple[Column, Column]:
@@ -117,6 +120,7 @@ def judged(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     Documents are measured twice, once for their hosts and once for themselves: that costs less than writing the texts
     in between. Ties at a bound pass. Repeated rows count each. No rows give no rows.
     """
+    docs, back = set_aside(docs, "_host", "_host_fails")
     base, host = failures(rules)
     # The row number keeps filters above the measures; below, each would repeat their whole expression.
     measured = measure(docs).withColumns({"base_failed": base, "_host_fails": host, "_row": F.monotonically_increasing_id()})
@@ -124,10 +128,15 @@ def judged(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     out = measured.drop("host_rate").join(rates, F.coalesce("source", F.lit("")) == F.col("_host"))
     failed = F.col("host_rate") > rules.max_host_rate
     return out.withColumns({"host_failed": failed, "kept": ~F.col("base_failed") & ~failed}).drop(
-        "_host", "_host_fails")
+        "_host", "_host_fails").withColumnsRenamed(back)
 
 
 def document_verdicts(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """doc_id, the measures, ``base_failed``, ``kept``, host and its rate per document.
+
+    Null texts are empty, a null source is the host with the empty name, ties at a bound pass, repeated rows are answered each,
+    no rows give no rows, further columns are not looked at.
+    """
     slim = measure(docs.select(F.col("doc_id").cast("long"), "text", "source")).drop("text")
     base, host = failures(rules)
     rows = materialize(slim.withColumns({"base_failed": base, "_host_fails": host}), "measured")

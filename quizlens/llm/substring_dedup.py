@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quizlens.llm.tables import parallelism
+from quizlens.llm.tables import parallelism, set_aside
 from quizlens.llm.text_words import WordTable, words
 
 WINDOW = 20
@@ -322,4 +322,5 @@ def removal_digests(docs: DataFrame) -> DataFrame:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """All columns of ``docs``, with the repeated words cut from ``text``; null texts stay null."""
-    return _deduplicated(docs, lambda buckets: _texts(buckets, docs.columns), docs.schema)
+    own, back = set_aside(docs, ORDER, PART)
+    return _deduplicated(own, lambda buckets: _texts(buckets, own.columns), own.schema).withColumnsRenamed(back)

@@ -13,6 +13,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def set_aside(df: DataFrame, *helpers: str) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with columns that have a helper's name renamed, and the names that give them back afterwards."""
+    taken, back = {c.lower() for c in (*df.columns, *helpers)}, {}
+    for column in df.columns:
+        if column.lower() in {h.lower() for h in helpers}:
+            name = f"{column}_own"
+            while name.lower() in taken:
+                name += "_"
+            taken.add(name.lower())
+            back[name] = column
+    return df.withColumnsRenamed({column: name for name, column in back.items()}) if back else df, back
+
+
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

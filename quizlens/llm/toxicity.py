@@ -31,6 +31,8 @@ SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 1500, 3000, 20_000
 TRAIN_LINES, TRAIN_TOKENS = 10_000, 64
 FEATURES = 1 << 18
 FOLDS = 5
+#: Toxic documents that share a word where no word is beyond chance.
+FEWEST = 2
 CHANCE = 1e-6
 LIMIT = 30.0
 TOKEN = re.compile(r"[^ \t-\r]+")
@@ -143,7 +145,9 @@ def marginals(model: Model, table: WordTable, texts: list[str | None]) -> tuple[
 def telling_features(texts: list[str], toxic: list[bool]) -> set[str]:
     """Words and beginnings that mark toxic documents: almost never elsewhere, and too often for chance.
 
-    Occurrences count by document, and between the same two neighbours once, so copies of a text do not add up.
+    Occurrences count by document, and between the same two neighbours once, so copies of a text do not add up. Where toxic
+    documents are so few that none is beyond chance, those count that two or more of them share, and at least half as many
+    as share the most common one; such labels are less sure.
     """
     counts, seen = {True: Counter(), False: Counter()}, set()
     for text, label in zip(texts, toxic, strict=True):
@@ -156,8 +160,12 @@ def telling_features(texts: list[str], toxic: list[bool]) -> set[str]:
                     found.update(names(token)[:-1])
         counts[label].update(found)
     share = sum(toxic) / max(1, len(toxic))
-    return {name for name, n in counts[True].items()
-            if share ** n < CHANCE and counts[False][name] * share < 0.02 * n * (1 - share)}
+    rare = {name: n for name, n in counts[True].items() if counts[False][name] * share < 0.02 * n * (1 - share)}
+    sure = {name for name, n in rare.items() if share ** n < CHANCE}
+    if sure:
+        return sure
+    most = max(rare.values(), default=0)
+    return {name for name, n in rare.items() if n >= FEWEST and 2 * n >= most}
 
 
 def _training_lines(texts: list[str], toxic: list[bool], marks: set[str]) -> tuple[list[list[str]], list[list[bool]]]:

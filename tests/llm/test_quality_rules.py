@@ -69,3 +69,17 @@ def test_equals_sql(spark, duck, name):
 def test_no_python_in_the_plan(spark, name):
     plan = contract.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|CartesianProduct", plan)
+
+
+def test_columns_named_like_helpers_stay(spark):
+    from quizlens.llm.tables import set_aside
+
+    rows = [(1, "a b c a b c", "s", 5, 6, 7, 8, 9, 10), (2, None, None, None, None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, _q int, _H int, _s int, _p int, _host int, _host_fails int")
+    measured = qr.measure(df)
+    assert measured.columns[:9] == df.columns
+    judged = qr.judged(df).collect()
+    assert sorted((r.doc_id, r["_q"], r["_H"], r["_host"], r["_host_fails"]) for r in judged) == [(1, 5, 6, 9, 10), (2, None, None, None, None)]
+    assert sorted(map(tuple, measured.select(df.columns).collect()), key=str) == sorted(rows, key=str)
+    renamed, back = set_aside(spark.createDataFrame([(1, 2)], "_q int, _q_own int"), "_q")
+    assert renamed.columns == ["_q_own_", "_q_own"] and renamed.withColumnsRenamed(back).columns == ["_q", "_q_own"]

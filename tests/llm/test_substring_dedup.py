@@ -71,3 +71,17 @@ def test_packed_arrays_come_back():
 
 def test_cut_words():
     assert sd.cut_words("a  b\nc d", np.array([False, True, True, False])) == "a  d"
+
+
+def test_columns_named_like_helpers_stay(spark, many_partitions):
+    rows = [(*r[:2], i, f"x{i}") for i, r in enumerate(documents(3))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _substring_id int, _SUBSTRING_BATCH string").repartition(3)
+    out = sd.without_repeats(df)
+    assert out.schema == df.schema
+    assert sorted((r["_substring_id"], r["_SUBSTRING_BATCH"]) for r in out.collect()) == sorted(r[2:] for r in rows)
+
+
+def test_all_ids_null(spark, many_partitions):
+    rows = [(None, r[1], *r[2:]) for r in documents(4)]
+    got = sd.removal_digests(frame(spark, rows, 7)).collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows)

@@ -92,3 +92,16 @@ def test_training_lines_come_from_all_documents(monkeypatch):
     assert len(lines) == 100 and sum(map(any, tags)) == 50
     numbers = sorted(int(w[5:]) for line in lines for w in map(str, line) if w.startswith("plain"))
     assert numbers[0] < 100 and numbers[-1] > 500
+
+
+def test_few_labels_still_mark_what_toxic_texts_share():
+    """Six toxic texts: no word is beyond chance, yet one they share and others lack marks them."""
+    r = random.Random(8)
+    plain = [f"we saw w{r.randrange(400)} and w{r.randrange(400)} of it w{i}" for i in range(40)]
+    bad = [f"you are a vile{'st' if i % 2 else ''} w{r.randrange(400)} of it q{i}" for i in range(6)]
+    texts, labels = plain + bad, [False] * 40 + [True] * 6
+    marks = tx.telling_features(texts, labels)
+    assert any("vile" in m for m in marks) and not any("saw" in m for m in marks)
+    assert tx.telling_features(plain, [False] * 40) == set()
+    model = tx.fit(texts, labels)
+    assert model.weights.any()
