@@ -14,7 +14,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pandas as pd
@@ -86,32 +86,35 @@ class WordIds:
             self.parts, self.old_parts = {}, self.parts
         met = found.intersection(self.old_words)
         self.words.update(zip(met, map(self.old_words.__getitem__, met), strict=True))
-        cut = {w: self._cut(w) for w in found.difference(met)}
-        new = {p for parts in cut.values() if parts for p in parts}.difference(self.parts)
+        # Words of ASCII letters with signs at most behind them are one part or two, and most new words are.
+        new_words = list(found.difference(met))
+        cores = [w.rstrip(SIGNS) for w in new_words]
+        plain = list(map(bytes.isalpha, cores))
+        letters = b" ".join(compress(cores, plain)).lower().decode().split()
+        signs = [w[len(c):].decode() for w, c, p in zip(new_words, cores, plain, strict=True) if p]
+        cut = {w: self._cut(w) for w, p in zip(new_words, plain, strict=True) if not p}
+        new = {p for parts in cut.values() if parts for p in parts}.union(letters, signs).difference(self.parts, [""])
         met = new.intersection(self.old_parts)
         self.parts.update(zip(met, map(self.old_parts.__getitem__, met), strict=True))
         self._learn_parts(list(new.difference(met)))
+        known = self.parts.__getitem__
+        self.words.update(zip(compress(new_words, plain), [
+            known(a) + known(b) if b else known(a) for a, b in zip(letters, signs, strict=True)], strict=True))
         for word, parts in cut.items():
             self.words[word] = (self.encode(word.decode("utf-8", "surrogatepass")) if parts is None
-                                else b"".join(map(self.parts.__getitem__, parts)))
+                                else b"".join(map(known, parts)))
 
     def ids_of(self, found: list[bytes]) -> list[bytes]:
         """Ids of each of these words. A table that has grown large starts anew."""
         if len(self.words) > TABLE_ENTRIES:
             self.words, self.old_words = {}, self.words
-        ids = list(map(self.words.get, found))
-        new = [i for i, x in enumerate(ids) if x is None]
+        new = set(found).difference(self.words)
         if new:
-            self._learn({found[i] for i in new})
-            for i in new:
-                ids[i] = self.words[found[i]]
-        return ids
+            self._learn(new)
+        return list(map(self.words.__getitem__, found))
 
     def _cut(self, word: bytes) -> list[str] | None:
         """Parts of a word; none where it may hold a special token."""
-        core = word.rstrip(SIGNS)
-        if core.isalpha():      # ASCII letters and signs after them
-            return [core.lower().decode(), word[len(core):].decode()] if len(core) < len(word) else [core.lower().decode()]
         return None if b"<|" in word else parts_of(word.decode("utf-8", "surrogatepass"))
 
 
