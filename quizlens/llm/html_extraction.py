@@ -1,11 +1,13 @@
 """Operator 3: main text of web pages as the maximum-scoring subsequence of words and tags.
 
 A page is a sequence of words, which score positive in running text, and tags, which score negative. The scores are log
-odds counted on labelled pages: those that mark their own text with an article or main element. One linear scan finds
-the contiguous region of the highest sum. Menus, headers, footers, sidebars, notices, adverts, forms and comments are
+odds counted on labelled pages: those that mark their own text with an article or main element. The mark itself is no
+feature. One linear scan finds the contiguous region of the highest sum, which then grows to the element it lies in, so
+tables and lists of the text stay with it. Menus, headers, footers, sidebars, notices, adverts, forms and comments are
 known by element, role or class name; what of them lies inside the region is left out of the text.
 
-Pages are independent of each other; the weights are a small table, fitted on a bounded sample.
+Pages are independent of each other and read in linear time, however deep or broken they are; the weights are a small
+table, fitted on a bounded sample.
 """
 
 from __future__ import annotations
@@ -13,8 +15,10 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,6 +35,9 @@ BLOCK = frozenset(
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 OUTSIDE = frozenset("aside button datalist dialog fieldset footer form head label legend menu nav optgroup option select".split())
 CONTENT = frozenset(["article", "main"])
+RAW = frozenset("iframe noscript script style svg template textarea title".split())
+# Elements that hold blocks of text side by side, and those that hold the page.
+GROUP, PAGE = frozenset("article center div fieldset form header main section".split()), frozenset(["", "html", "body"])
 # Words of a class, id or role that name something other than the text.
 NOT_TEXT = frozenset(
     "ad ads advert adverts advertisement advertising alert aside banner breadcrumb breadcrumbs byline comment comments commentlist complementary consent "
@@ -49,13 +56,9 @@ STRUCTURE = frozenset(
 # A layout that has or lacks something is not that thing.
 LAYOUT_FIRST, LAYOUT_LAST = frozenset("has is with without no not".split()), frozenset("closed off on open opened".split())
 
-TOKENS = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|iframe|svg|math|textarea|object|canvas|audio|video|title)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-z][^\s/>]*)(?P<attrs>[^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>"
-    r"|<(?P<bad_close>/?)(?P<bad>[a-z][^\s/>]*)[^>]*>"
-    r"|<[!?/][^>]*>"
-    r"|(?P<text>[^<]+|<)", re.S | re.I)
+TAG = re.compile(r"<(/?)([a-z][^\s/<>]*+)", re.I)
+ATTRIBUTES = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
+BROKEN = re.compile(r"[^<>]*+>?")
 NAMED = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
@@ -90,104 +93,202 @@ def _excluded(name: str, attrs: str, in_content: bool) -> str:
     return ""
 
 
-def parse(page: str) -> tuple[list[tuple[str, int, str, int]], bool]:
-    """Items of a page and whether it marks its own text, see :func:`_parse`.
+class Tokens:
+    """Tags and texts of a page as (place, tag, closing, attributes, text), tag being "" for a text.
+
+    Comments, declarations and elements of RAW give nothing. A tag ends at the first ``>`` outside quotes; where no such
+    ``>`` follows, a quote was left open, and the tag ends at the next ``<`` or ``>``. A ``<`` that starts no tag is text.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = page.rfind(">")
+        self.quotes: list[int] | None = None
+        self.ends: list[int] = []
+
+    def _end(self, at: int) -> int:
+        """The place after the tag whose attributes start at ``at``, or -1.
+
+        A tag that ends is read over once. After the first that does not, the ends of all are tabled, from the last to the
+        first quote or ``>``, so none is sought twice.
+        """
+        if self.quotes is None:
+            found = ATTRIBUTES.match(self.page, at)
+            if found:
+                return found.end()
+            self.quotes = [m.start() for m in re.finditer("[>\"']", self.page)]
+            outside = double = single = -1
+            self.ends = [-1] * (len(self.quotes) + 1)
+            for i in range(len(self.quotes) - 1, -1, -1):
+                what = self.page[self.quotes[i]]
+                if what == ">":
+                    outside = self.quotes[i] + 1
+                elif what == '"':
+                    outside, double = double, outside
+                else:
+                    outside, single = single, outside
+                self.ends[i] = outside
+        return self.ends[bisect_left(self.quotes, at)]
+
+    def __iter__(self) -> Iterator[tuple[int, str, bool, str, str]]:
+        page, at, size = self.page, 0, len(self.page)
+        while at < size:
+            if page[at] != "<":
+                end = page.find("<", at)
+                end = size if end < 0 else end
+                yield at, "", False, "", page[at:end]
+                at = end
+                continue
+            tag = TAG.match(page, at)
+            if tag:
+                start, closing, name = tag.end(), bool(tag[1]), tag[2].lower()
+                end = self._end(start)
+                if end < 0:
+                    end = BROKEN.match(page, start).end()
+                    if end == size and page[end - 1] != ">":
+                        yield at, "", False, "", "<"
+                        at += 1
+                        continue
+                if name in RAW and not closing and not (name == "svg" and page.startswith("/>", end - 2)):
+                    close = re.compile(rf"</{name}\s*+>", re.I).search(page, end)
+                    at = close.end() if close else size
+                    continue
+                yield at, name, closing, page[start : end - 1] if page[end - 1] == ">" else page[start:end], ""
+                at = end
+            elif page.startswith("<!--", at):
+                end = page.find("-->", at + 4)
+                at = end + 3 if end >= 0 else size
+            elif page[at + 1 : at + 2] in ("!", "?", "/") and at < self.last:
+                at = page.find(">", at) + 1
+            else:
+                yield at, "", False, "", "<"
+                at += 1
+
+
+@dataclass
+class Element:
+    """An element of a page: its parent's number, the items from ``first`` to before ``end``, and what it lies in."""
+
+    name: str
+    parent: int
+    depth: int
+    first: int
+    end: int = -1
+    out: bool = False          # left out of the text
+    content: bool = False      # in marked text
+    link: bool = False
+    gone: bool = False         # left out whatever it holds
+    wrapper: int = -1          # the nearest wrapper around it
+    block: int = -1            # the nearest element of BLOCK, itself included
+
+
+@dataclass
+class Parsed:
+    """Items (kind, words, text, block, element) of a page in order, its elements (the first stands for the page), and those
+    that mark the text.
+
+    A kind says where an item lies: ``=`` marks what is left out, ``+`` the marked text, ``-`` the rest; then the tag,
+    or the element a run of words lies in.
+    """
+
+    items: list[tuple[str, int, str, int, int]] = field(default_factory=list)
+    elements: list[Element] = field(default_factory=list)
+    marks: list[int] = field(default_factory=list)
+
+
+def parse(page: str) -> Parsed:
+    """Items and elements of a page.
 
     Elements left out for their name or as a form are taken in again if they hold an article or main element or, but for
     replies, more than half of the words: they are wrappers of the text.
     """
     kept: frozenset[int] = frozenset()
     while True:
-        items, marked, wrappers = _parse(page, kept)
+        parsed, wrappers = _parse(page, kept)
         if wrappers <= kept:
-            return items, marked
+            return parsed
         kept |= wrappers
 
 
-def _parse(page: str, kept: frozenset[int]) -> tuple[list[tuple[str, int, str, int]], bool, frozenset[int]]:
-    """Items (kind, words, text, block) in page order, and whether the page marks its own text.
-
-    A kind says where an item lies: ``=`` marks what is left out, ``+`` the marked text, ``-`` the rest; then the tag,
-    or the element a run of words lies in. ``kept`` are places of tags that are not left out for a name or as a form; the
-    third result are the places of those that should not be.
-    """
-    items: list[tuple[str, int, str, int]] = []
-    stack: list[tuple[str, bool, bool, bool, bool, int]] = []      # name, excluded, in marked text, in a link, never text, wrapper
+def _parse(page: str, kept: frozenset[int]) -> tuple[Parsed, frozenset[int]]:
+    """``kept`` are places of tags that are not left out for a name or as a form, the second result those of which should not be."""
+    parsed = Parsed(elements=[Element("", -1, 0, 0)])
+    items, elements = parsed.items, parsed.elements
+    stack, opened = [0], {"": [0]}      # numbers of the open elements, in all and by name
     wrappers: list[list] = []      # place, wrapper around it, words, whether it holds marked text, whether it holds replies
-    block, marked, total, never, wrapper = 0, False, 0, False, -1
-    excluded = content = link = False
-    context = "body"
-
-    def set_state() -> None:
-        nonlocal excluded, content, link, context, never, wrapper
-        _, excluded, content, link, never, wrapper = stack[-1] if stack else ("", False, False, False, False, -1)
-        context = "a" if link else next((n for n, *_ in reversed(stack) if n in BLOCK), "body")
-
-    for token in TOKENS.finditer(page):
-        text = token["text"]
-        if text is not None:
+    block, total = 0, 0
+
+    def close_to(number: int) -> None:
+        while True:
+            last = stack.pop()
+            opened[elements[last].name].pop()
+            elements[last].end = len(items)
+            if last == number:
+                return
+
+    for place, name, closing, attrs, text in Tokens(page):
+        here = elements[stack[-1]]
+        if not name:
             words = len(text.split())
-            if words and not never:
+            if words and not here.gone:
                 total += words
-                if wrapper >= 0:
-                    wrappers[wrapper][2] += words
-            if words or text:
-                side = "=" if excluded else "+" if content else "-"
-                items.append((side + context, words, text, block))
-            continue
-        name = token["name"] or token["bad"]
-        if name is None:
+                if here.wrapper >= 0:
+                    wrappers[here.wrapper][2] += words
+            context = "a" if here.link else elements[here.block].name if here.block >= 0 else "body"
+            items.append((("=" if here.out else "+" if here.content else "-") + context, words, text, block, stack[-1]))
             continue
-        name = name.lower()
-        closing = bool(token["close"] or token["bad_close"])
         if name in BLOCK:
             block += 1
+        side = "=" if here.out else "+" if here.content else "-"
         if closing:
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            side = "=" if excluded else "+" if content else "-"
-            if at is not None:
-                del stack[at:]
-                set_state()
-        else:
-            if name in BLOCK and name not in ("html", "body", "head"):
-                for end in ("p", *HEADING) if name != "li" else ("p", "li"):
-                    at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == end), None)
-                    if at is not None and not any(n in BLOCK for n, *_ in stack[at + 1 :]):
-                        del stack[at:]
-                        set_state()
-            if name == "body" and stack and stack[-1][0] == "head":
-                stack.pop()
-                set_state()
-            why, around = _excluded(name, token["attrs"] or "", content), wrapper
-            if why in ("wrapper", "reply"):
-                if token.start() in kept:
-                    why = ""
-                elif not never and name not in VOID:
-                    around = len(wrappers)
-                    wrappers.append([token.start(), wrapper, 0, False, why == "reply"])
-            out, gone = excluded or bool(why), never or why == "always"
-            if name in CONTENT and not gone and wrapper >= 0:
-                wrappers[wrapper][3] = True
-            inside = content or name in CONTENT and not out
-            marked = marked or inside
-            side = "=" if out else "+" if inside else "-"
-            if name == "br":
-                items.append((side + "<br>", 0, " ", block))
-                continue
-            if name not in VOID:
-                stack.append((name, out, inside, link or name == "a", gone, around))
-                set_state()
-        items.append((f"{side}<{name}>", 0, "", block))
+            if opened.get(name):
+                close_to(opened[name][-1])
+            items.append((f"{side}<{name}>", 0, "", block, stack[-1]))
+            continue
+        if name in BLOCK and name not in PAGE and name != "head":
+            while here.block >= 0 and (elements[here.block].name == "p" or elements[here.block].name in (
+                    ("li",) if name == "li" else HEADING)):
+                close_to(here.block)
+                here = elements[stack[-1]]
+        if name == "body" and here.name == "head":
+            close_to(stack[-1])
+            here = elements[stack[-1]]
+        why, around = _excluded(name, attrs, here.content), here.wrapper
+        if why in ("wrapper", "reply"):
+            if place in kept:
+                why = ""
+            elif not here.gone and name not in VOID:
+                around = len(wrappers)
+                wrappers.append([place, here.wrapper, 0, False, why == "reply"])
+        out, gone = here.out or bool(why), here.gone or why == "always"
+        marks = name in CONTENT and not out
+        if name in CONTENT and not gone and here.wrapper >= 0:
+            wrappers[here.wrapper][3] = True
+        side = "=" if out else "+" if here.content or marks else "-"
+        if name == "br":
+            items.append((side + "<br>", 0, " ", block, stack[-1]))
+            continue
+        if name not in VOID:
+            number = len(elements)
+            elements.append(Element(
+                name, stack[-1], here.depth + 1, len(items), -1, out, here.content or marks, here.link or name == "a", gone,
+                around, number if name in BLOCK else here.block))
+            if marks and not here.content:
+                parsed.marks.append(number)
+            stack.append(number)
+            opened.setdefault(name, []).append(number)
+        items.append((f"{side}<{name}>", 0, "", block, stack[-1]))
+    close_to(0)
     for _, outer, words, holds, _ in reversed(wrappers):
         if outer >= 0:
             wrappers[outer][2] += words
             wrappers[outer][3] |= holds
-    return items, marked, frozenset(
+    return parsed, frozenset(
         place for place, _, words, holds, reply in wrappers if holds or not reply and 2 * words > total)
 
 
 class Weights:
-    """Scores by kind. Kinds without the side mark serve pages that do not mark their text."""
+    """Scores by kind, without the side mark: whether a page marks its text is not scored."""
 
     def __init__(self, content: Counter, rest: Counter):
         self.known = {}
@@ -203,28 +304,26 @@ class Weights:
             return max(-MOST, min(-LEAST, odds))
         return max(-MOST, min(MOST, odds))
 
-    def of(self, kind: str, marked: bool) -> float:
-        """Items that are left out hardly count, so the region may go past them; those outside a marked text end it.
+    def of(self, kind: str) -> float:
+        """Items that are left out hardly count, so the region may go past them."""
+        if kind[0] == "=":
+            return -LEAST
+        found = self.known.get(kind[1:])
+        return self._score(kind[1:], 0, 0) if found is None else found
 
-        In marked pages no item of the marked text, and none left out, costs anything: it is neither trimmed nor split.
-        """
-        side, name = kind[0], kind[1:]
-        if side == "=":
-            return 0.0 if marked else -LEAST
-        if marked and side == "-":
-            return -MOST
-        found = self.known.get(name)
-        found = self._score(name, 0, 0) if found is None else found
-        return max(found, 0.0 if name.endswith(">") else LEAST) if marked else found
+    def scores(self, items: list[tuple[str, int, str, int, int]]) -> list[float]:
+        """A score for each tag, and for each run of words as often as it has words."""
+        known = {kind: self.of(kind) for kind in {item[0] for item in items}}
+        return [known[kind] * (1 if kind.endswith(">") else words) for kind, words, *_ in items]
 
 
 def learn(pages: list[str]) -> Weights:
     """Count words and tags inside and outside the marked text of the labelled pages."""
     content, rest = Counter(), Counter()
     for page in pages:
-        items, marked = parse(page)
-        if marked:
-            for kind, words, _, _ in items:
+        parsed = parse(page)
+        if parsed.marks:
+            for kind, words, *_ in parsed.items:
                 if kind[0] != "=" and (words or kind.endswith(">")):
                     (content if kind[0] == "+" else rest)[kind[1:]] += words or 1
     return Weights(content, rest)
@@ -242,20 +341,83 @@ def best_region(scores: list[float]) -> tuple[int, int]:
     return region
 
 
+def _spans(parsed: Parsed, scores: list[float]) -> list[tuple[int, int]]:
+    """The best region of a page, grown to the elements that its text lies in, as spans of items in order.
+
+    If the region lies in marked text, at least in part, all marked elements with a run of positive score are the text;
+    a page whose scores are nowhere positive has all that it marks. Any other region grows by :func:`_grown`.
+    """
+    items, elements = parsed.items, parsed.elements
+    start, end = best_region(scores)
+    text = [i for i in range(start, end) if items[i][1] and items[i][0][0] != "="]
+    marks = [(elements[m].first, elements[m].end) for m in parsed.marks]
+    if not text:
+        return marks
+    if any(items[i][0][0] == "+" for i in text):
+        return [(a, b) for a, b in marks if best_region(scores[a:b])[1]]
+    return _grown(parsed, scores, text[0], text[-1], start, end)
+
+
+def _grown(parsed: Parsed, scores: list[float], first: int, last: int, start: int, end: int) -> list[tuple[int, int]]:
+    """The region (start, end), whose first and last words are the items ``first`` and ``last``, grown.
+
+    It takes the smallest element of GROUP around it, and that one's parent as long as the region's element has most of the
+    words there and most of the others are not in links. The page itself is not taken whole: of the elements and words
+    that lie in it outside the region, those stay that hold words not in links and are no group, or groups of positive sum.
+    """
+    items, elements = parsed.items, parsed.elements
+    words, linked, total = [0], [0], [0.0]
+    for (kind, n, *_), score in zip(items, scores, strict=True):
+        n = 0 if kind[0] == "=" else n
+        words.append(words[-1] + n)
+        linked.append(linked[-1] + (n if kind[1:] == "a" else 0))
+        total.append(total[-1] + score)
+
+    def plain(a: int, b: int) -> int:
+        return words[b] - words[a] - linked[b] + linked[a]
+
+    one, other = items[first][4], items[last][4]
+    while one != other:
+        if elements[one].depth >= elements[other].depth:
+            one = elements[one].parent
+        else:
+            other = elements[other].parent
+    while elements[one].name not in GROUP and elements[one].name not in PAGE:
+        one = elements[one].parent
+    while elements[one].name not in PAGE:
+        element, parent = elements[one], elements[elements[one].parent]
+        own, around = words[element.end] - words[element.first], words[parent.end] - words[parent.first]
+        others = plain(parent.first, parent.end) - plain(element.first, element.end)
+        if parent.name not in GROUP or 2 * own <= around or 2 * others < around - own:
+            return [(element.first, element.end)]
+        one = elements[one].parent
+    page = {i for i, e in enumerate(elements) if e.name in PAGE}
+    spans = [(start, end)]
+    for i, e in enumerate(elements):
+        if i not in page and e.parent in page and not e.out and (
+                e.first < end and start < e.end
+                or plain(e.first, e.end) and (e.name not in GROUP or total[e.end] > total[e.first])):
+            spans.append((e.first, e.end))
+    spans += [(i, i + 1) for i, item in enumerate(items) if item[4] in page and item[1]]
+    merged: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if merged and a <= merged[-1][1]:
+            merged[-1] = merged[-1][0], max(b, merged[-1][1])
+        else:
+            merged.append((a, b))
+    return merged
+
+
 def extract(page: str | None, weights: Weights) -> str:
     """Text of a page: blocks joined by an empty line. Null and empty pages give an empty text."""
     if not page:
         return ""
-    items, marked = parse(page)
-    scores: dict[str, float] = {}
-    for kind, *_ in items:
-        if kind not in scores:
-            scores[kind] = weights.of(kind, marked)
-    start, end = best_region([scores[k] * (w if not k.endswith(">") else 1) for k, w, _, _ in items])
+    parsed = parse(page)
     blocks: dict[int, list[str]] = {}
-    for kind, _, text, block in items[start:end]:
-        if text and kind[0] != "=":
-            blocks.setdefault(block, []).append(text)
+    for start, end in _spans(parsed, weights.scores(parsed.items)):
+        for kind, _, text, block, _ in parsed.items[start:end]:
+            if text and kind[0] != "=":
+                blocks.setdefault(block, []).append(text)
     joined = (" ".join(entities.unescape("".join(texts)).split()) for texts in blocks.values())
     return "\n\n".join(filter(None, joined))
 

@@ -1,3 +1,8 @@
+import random
+import re
+import time
+from collections import Counter
+
 import pytest
 
 from quizlens.llm import html_extraction as hx
@@ -63,8 +68,6 @@ def test_pages_of_known_documents(spark):
     """Pages name their document in the url; the text is its lines, after the heading."""
     got = hx.extract_pages(table(spark, SF_DIR, "pages")).collect()
     texts = {r.doc_id: r.text for r in table(spark, SF_DIR, "documents").collect()}
-    import re
-
     known = [(r.text.split("\n\n", 1)[-1], texts[int(m[1])]) for r in got if (m := re.search(r"/(\d+)", r.url)) and int(m[1]) in texts]
     assert len(known) > 20
     assert all(a == "\n\n".join(filter(None, (" ".join(x.split()) for x in b.split("\n")))) for a, b in known)
@@ -102,6 +105,76 @@ def test_marked_text_is_neither_trimmed_nor_split(weights):
         page = "<body><nav><a href=x>home</a></nav><article>" + "".join(parts) + "</article><footer>the end</footer></body>"
         got = hx.extract(page, weights).split()
         inner = "".join(parts).replace(hidden, "")
-        import re
-
         assert got == re.sub("<[^>]*>", " ", inner).split()
+
+
+@pytest.mark.parametrize("page", [
+    "<i>x" * 100_000, "<div class=comment>" * 20_000 + "x", '<a href="' * 100_000, "<a '\"b" * 50_000, "<p>x" * 100_000,
+    "<ul><li>x" * 50_000, "<!x" * 100_000, "<div>" * 50_000 + "</p>" * 50_000, "<script" * 50_000, "<" + "a" * 300_000,
+    "<article><div class=ad><header>x" * 20_000, "<form><p>x y z" * 30_000])
+def test_deep_and_broken_pages_take_linear_time(weights, page):
+    start = time.monotonic()
+    hx.extract(page, weights)
+    assert time.monotonic() - start < 20
+
+
+def test_tags_end_at_the_first_bracket_outside_quotes():
+    """The table of ends, used after a tag without an end, agrees with reading each tag over."""
+    r = random.Random(3)
+    for _ in range(500):
+        page = "".join(r.choice(["<b ", '"', "'", ">", "x", "<"]) for _ in range(r.randint(1, 25)))
+        tokens, fresh = hx.Tokens(page), [m.end() if (m := hx.ATTRIBUTES.match(page, i)) else -1 for i in range(len(page) + 1)]
+        tokens._end(len(page))      # no tag ends there, so all ends are tabled
+        assert [tokens._end(i) for i in range(len(page) + 1)] == fresh
+
+
+def test_an_open_quote_ends_at_the_next_bracket(weights):
+    assert hx.extract("<article><p>one <a href=\"x>two</a></p><p>three</p></article>", weights) == "one two\n\nthree"
+    assert hx.extract("<article><p>one <a href='x <b>two</b></p><p>3 < 4</p></article>", weights) == "one two\n\n3 < 4"
+
+
+NUMBERS = "<table>" + "".join(f"<tr><td>{i}</td><td>{i + 1}</td></tr>" for i in range(90)) + "</table>"
+LINKS = "<ul>" + "".join(f"<li><a href=r{i}>ref{i}</a></li>" for i in range(80)) + "</ul>"
+RUNNING = "<p>Some words of running text go here for all to read.</p>"
+
+
+@pytest.mark.parametrize("learned", [True, False])
+@pytest.mark.parametrize("wrapped", ["<div id=story>{}</div>", "<div><div>{}</div></div>", "{}"])
+def test_unmarked_text_is_neither_trimmed_nor_split(weights, learned, wrapped):
+    bodies = [RUNNING * 3 + NUMBERS, RUNNING * 3 + NUMBERS + RUNNING, NUMBERS * 5 + RUNNING * 2, "<p>One two</p><p>three</p>"]
+    if wrapped != "{}":      # right in the body a list of links may as well be a menu
+        bodies += [RUNNING * 3 + LINKS, RUNNING * 3 + LINKS + RUNNING]
+    for body in bodies:
+        page = f"<body><nav><a href=x>home</a></nav>{wrapped.format(body)}<footer>the end</footer></body>"
+        assert hx.extract(page, weights if learned else hx.learn([])).split() == re.sub("<[^>]*>", " ", body).split()
+
+
+def test_menus_of_an_unmarked_page_stay_out(weights):
+    page = f"<body><ul><li><a href=a>one</a></li><li><a href=b>two</a></li></ul><div>{RUNNING * 3}</div>{LINKS}</body>"
+    assert hx.extract(page, weights).split() == re.sub("<[^>]*>", " ", RUNNING * 3).split()
+
+
+def test_all_marked_articles_are_kept(weights):
+    between = "<div>ten words that lie between both of the articles here</div>"
+    page = f"<body><article><p>First text of two.</p></article>{between}<article>{RUNNING}</article></body>"
+    assert hx.extract(page, weights) == "First text of two.\n\nSome words of running text go here for all to read."
+
+
+def test_scores_decide_on_marked_pages_too(weights):
+    page = f"<body><article>{RUNNING}</article><section><pre>{'code of a listing ' * 10}</pre></section></body>"
+    assert hx.extract(page, weights) == "Some words of running text go here for all to read."
+    other = hx.Weights(Counter({"pre": 1000}), Counter({"p": 1000, "<p>": 1000}))
+    assert hx.extract(page, other) == ("code of a listing " * 10).strip()
+
+
+def test_pages_without_their_marks_give_the_same_text(spark):
+    pages = [r.html or "" for r in table(spark, SF_DIR, "pages").collect()]
+    learned = hx.learn(pages)
+    bare = [re.sub(r"(?i)<(/?)(article|main)\b", r"<\1div", page) for page in pages]
+    assert [hx.extract(page, learned) for page in bare] == [hx.extract(page, learned) for page in pages]
+
+
+def test_what_browsers_show_is_text(weights):
+    page = ("<article><p>energy <math>E</math> is <object>m</object><svg/><svg><text>c</text></svg><template>no</template></p>"
+            "<svg viewBox='0'/><p>squared</p></article>")
+    assert hx.extract(page, weights) == "energy E is m\n\nsquared"
