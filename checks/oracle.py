@@ -472,6 +472,8 @@ def _running(sql: str) -> str:
 
 
 ORACLE |= {
+    "counted_total_ranks": ORACLE["total_ranks"],
+    "counted_week_ranks": ORACLE["week_ranks"],
     "older_day_total_wide": _of_day(ORACLE["older_total_wide"], "2001-07-25"),
     "running_total_wide": _running(ORACLE["total_wide"]),
     "running_week_wide": _running(ORACLE["week_wide"]),

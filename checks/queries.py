@@ -15,6 +15,7 @@ from quizlens.operators import answers as ans
 from quizlens.operators import cell_store
 from quizlens.operators import cells as cl
 from quizlens.operators import knowledge as kn
+from quizlens.operators.counting import counting_ranks
 from quizlens.operators.materialize import materialize, scratch_folder
 from quizlens.operators.ranking import group_ranks, top_rows
 from quizlens.operators.running import running_right
@@ -209,6 +210,17 @@ def week_ranks(spark: SparkSession, sf: str) -> DataFrame:
     return group_ranks(materialize(rows, "week"), week.week_rank_keys(S))
 
 
+def counted_total_ranks(spark: SparkSession, sf: str) -> DataFrame:
+    base = _kept_base(spark, sf, "score", "sort_score", "practice_days", "answered_time", "answered_num")
+    return counting_ranks(base, totals.total_rank_keys(S))
+
+
+def counted_week_ranks(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _week(spark, sf).select(
+        "user_id", "subject", "week_score", "week_sort_score", "week_answered_num", "week_speed", "week_accuracy")
+    return counting_ranks(materialize(rows, "week"), week.week_rank_keys(S))
+
+
 def total_top(spark: SparkSession, sf: str) -> DataFrame:
     return totals.total_top(_base(spark, sf), S).select("user_id", "subject", "sort_score", "rank")
 
@@ -438,7 +450,7 @@ ALL = [
     point_stats, user_subject_stats, week_stats, legacy_running_correct, merge_point_stats,
     predicted_score, week_predicted_score, active_total, encode_score_string, decode_score_string,
     subject_totals, week_subject_totals, days_histogram, days_pass_count,
-    total_ranks, week_ranks, total_top, week_top,
+    total_ranks, week_ranks, counted_total_ranks, counted_week_ranks, total_top, week_top,
     knowledge_subject, subject_points, subject_points_enrich, user_contact_enrich, total_with_subject_totals,
     total_wide, week_wide, week_top_wide, older_total_wide, older_week_wide, older_week_top_wide,
     contact_total_wide, older_day_total_wide, running_total_wide, running_week_wide, legacy_week_top_wide,

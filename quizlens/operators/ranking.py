@@ -22,7 +22,7 @@ TOP_PARTS = 64
 _WHOLE = ("tinyint", "smallint", "int", "bigint")
 
 
-def _keys(rows: DataFrame, ranks: Mapping[str, Column]) -> Column:
+def rank_keys(rows: DataFrame, ranks: Mapping[str, Column]) -> Column:
     """One entry per rank; whole numbers keep their exact value, everything else is compared as a double."""
     types = dict(rows.select(*[key.alias(name) for name, key in ranks.items()]).dtypes)
     return F.array(*[
@@ -47,7 +47,7 @@ def group_ranks(
              F.col("real").desc_nulls_last(), F.col(tie).asc()]
     # Written out because offsets and rows must see the same partition borders.
     placed = materialize(
-        rows.select(tie, group, F.explode(_keys(rows, ranks)).alias("k")).select(tie, group, "k.*")
+        rows.select(tie, group, F.explode(rank_keys(rows, ranks)).alias("k")).select(tie, group, "k.*")
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_id", F.monotonically_increasing_id())
