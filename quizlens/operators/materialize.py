@@ -27,11 +27,11 @@ def scratch_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/quizlens-{spark.sparkContext.applicationId}/{_run.get()}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` as parquet and read it back: cut lineage, columnar, safe when executors are lost."""
     spark = df.sparkSession
     path = f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
