@@ -18,6 +18,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +31,9 @@ PERIOD = 4096       # steps after which the random bits come round
 GROUP_CHARS = 4_000_000
 #: Fingerprints of a key that are searched in one task; more are searched by pairs of blocks.
 BLOCK = 2048
+#: Keys of a grade and digits of a key. A digit of unlike fingerprints agrees one time in eight or so, so a key meets its first
+#: chance partner among some quarter of a million fingerprints of one grade.
+BANDS, KEY_DIGITS = 16, 6
 DIGITS = np.frombuffer(b"0123456789abcdef", np.uint8)
 END = ord("-")
 
@@ -110,22 +114,28 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - third] + following[:third]
 
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """doc_id, text and ``following``, the text of the next document by descending id, after the last the first.
+def with_next(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """doc_id and the text of each document in order, the next by descending id after each, after the last the first.
 
     Documents are dealt by ranges of ids and sorted in their ranges; the first document of each range also goes to the
-    range before it, one row per range. Null ids come last, equal ids by descending text, and a single document
-    follows itself.
+    range before it, one row per range, marked ``extra``. Null ids come last, equal ids by descending text, and a single
+    document follows itself. ``body`` holds the text in UTF-8; where no id occurs twice, so that no texts are sorted, it is
+    compressed, as the second result says.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     ranges = 4 * parallelism(docs.sparkSession)
     cuts = rows.agg(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], 20 * ranges)).first()[0]
     borders = np.unique(np.array(cuts or [], np.int64))[::-1]      # one number per range
+    squeezed = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
 
     def range_of(ids: pd.Series) -> pd.Series:
         known = ids.fillna(np.iinfo(np.int64).min).astype("int64").to_numpy()
         return pd.Series((len(borders) - np.searchsorted(borders[::-1], known, "right")).astype(np.int32))
 
+    def squeeze(texts: pd.Series) -> pd.Series:
+        compress = zstandard.ZstdCompressor(level=1).compress
+        return texts.map(lambda text: compress(text.encode("utf-8", "surrogatepass")))
+
     dealt = rows.withColumn("part", F.pandas_udf(range_of, "int")("doc_id"))
     firsts = dealt.groupBy("part").agg(F.max("doc_id").alias("doc_id"))
     around = Window.orderBy("part")      # one row per range
@@ -135,15 +145,18 @@ def with_next(docs: DataFrame) -> DataFrame:
     extra = dealt.join(head, "part").where(F.col("doc_id").eqNullSafe(F.col("head")))
     extra = extra.groupBy("to").agg(F.max("text").alias("text")).select(
         F.lit(None).cast("long").alias("doc_id"), "text", F.col("to").alias("part"), F.lit(True).alias("extra"))
-    return dealt.withColumn("extra", F.lit(False)).unionByName(extra).repartition("part").sortWithinPartitions(
-        "part", "extra", F.col("doc_id").desc_nulls_last(), F.col("text").desc())
+    body = F.pandas_udf(squeeze, "binary")("text") if squeezed else F.col("text").cast("binary")
+    every = dealt.withColumn("extra", F.lit(False)).unionByName(extra).withColumn("body", body).drop("text")
+    return every.repartition("part").sortWithinPartitions(
+        "part", "extra", F.col("doc_id").desc_nulls_last(), F.col("body").desc()), squeezed
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, str, str]]:
-    previous = None
+def _pairs(batches: Iterator[pa.RecordBatch], squeezed: bool) -> Iterator[tuple[int | None, str, str]]:
+    previous, expand = None, zstandard.ZstdDecompressor().decompress
     for batch in batches:
-        for doc_id, text, extra in zip(batch["doc_id"].to_pylist(), batch["text"], batch["extra"].to_pylist(), strict=True):
-            text = text.as_py()
+        for doc_id, body, extra in zip(batch["doc_id"].to_pylist(), batch["body"], batch["extra"].to_pylist(), strict=True):
+            body = body.as_py()
+            text = (expand(body) if squeezed else body).decode("utf-8", "surrogatepass")
             if previous:
                 yield *previous, text
             previous = None if extra else (doc_id, text)
@@ -170,8 +183,10 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, " \
              "near_edited double, near_next double"
 
+    ordered, squeezed = with_next(docs)
+
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
-        for group in _grouped(_pairs(batches)):
+        for group in _grouped(_pairs(batches, squeezed)):
             ids, texts, following = zip(*group, strict=True)
             changed = [edited(a, b) for a, b in zip(texts, following, strict=True)]
             # A group's next documents are its own but for the ends of its ranges.
@@ -185,7 +200,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
                 pa.array(map(likeness, own, new), pa.float64()), pa.array(map(likeness, own, next_), pa.float64()),
             ], names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
-    return with_next(docs).mapInArrow(compute, schema)
+    return ordered.mapInArrow(compute, schema)
 
 
 @lru_cache(maxsize=256)
@@ -197,7 +212,7 @@ def _band_places(scale: int, bands: int, digits: int) -> np.ndarray:
     return np.searchsorted(steps, r.random((bands, digits)) * until, "right") - 1
 
 
-def band_keys(fingerprint: str, bands: int = 16, digits: int = 6) -> list[str]:
+def band_keys(fingerprint: str, bands: int = BANDS, digits: int = KEY_DIGITS) -> list[str]:
     """Keys from digits at random places, the same places for every document with a walk of about that length.
 
     Places are drawn evenly over the steps of a walk, so octaves count by the weights they have in :func:`likeness`: of two
@@ -205,15 +220,26 @@ def band_keys(fingerprint: str, bands: int = 16, digits: int = 6) -> list[str]:
     are graded by halves of an octave. Alike walks differ in length by less than that, so a document has the keys of its own
     grade and of the one below.
     """
+    return [f"{scale}.{n}.{''.join(fingerprint[p] for p in row)}"
+            for scale in _grades(fingerprint) for n, row in enumerate(_band_places(scale, bands, digits))]
+
+
+def _grades(fingerprint: str) -> tuple[int, ...]:
     filled = len(fingerprint.rstrip("-"))
     if not filled:
-        return []
+        return ()
     walked = int(sampled_steps(-(-filled // OCTAVE))[filled - 1]) + 1
-    grade, out = int(np.floor(2 * np.log2(walked / OCTAVE))), []
-    for scale in (grade, grade - 1):
-        for n, row in enumerate(_band_places(scale, bands, digits)):
-            out.append(f"{scale}.{n}.{''.join(fingerprint[p] for p in row)}")
-    return out
+    grade = int(np.floor(2 * np.log2(walked / OCTAVE)))
+    return grade, grade - 1
+
+
+def key_numbers(fingerprint: str) -> np.ndarray:
+    """:func:`band_keys`, each key as one whole number."""
+    row = np.frombuffer(fingerprint.encode(), np.uint8).astype(np.int64)
+    values = np.where(row >= ord("a"), row - ord("a") + 10, row - ord("0"))
+    return np.concatenate([np.empty(0, np.int64), *[
+        ((scale + 64) * BANDS + np.arange(BANDS) << 4 * KEY_DIGITS)
+        | values[_band_places(scale, BANDS, KEY_DIGITS)] @ (1 << 4 * np.arange(KEY_DIGITS)) for scale in _grades(fingerprint)]])
 
 
 def _alike(rows: np.ndarray, row: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -261,65 +287,69 @@ def near_documents(prints: DataFrame, at_least: float = 0.8, block: int = BLOCK)
     left out before fingerprints are sent to their keys. A key with more than
     ``block`` is dealt in blocks, each pair of blocks being searched in a task of its own, so no pair is left out.
     """
-    return _numbered_links(_distinct(prints), at_least, block).select("fingerprint", "near", "likeness")
+    distinct = materialize(prints.select("fingerprint").where("fingerprint IS NOT NULL").distinct().withColumn(
+        "id", F.monotonically_increasing_id()), "fingerprints", "zstd")
+    one, other = (distinct.select(F.col("id").alias(i), F.col("fingerprint").alias(f"{i}_print")) for i in "uv")
+    return links(distinct, at_least, block).join(one, "u").join(other, "v").select(
+        F.greatest("u_print", "v_print").alias("fingerprint"), F.least("u_print", "v_print").alias("near"), "likeness")
 
 
-def _distinct(prints: DataFrame) -> DataFrame:
-    return materialize(prints.select("fingerprint").where("fingerprint IS NOT NULL").distinct().withColumn(
-        "id", F.monotonically_increasing_id()), "fingerprints")
+def links(distinct: DataFrame, at_least: float, block: int = BLOCK) -> DataFrame:
+    """u, v, likeness for rows (fingerprint, id) of distinct fingerprints, a written table, see :func:`near_documents`.
 
-
-def _numbered_links(distinct: DataFrame, at_least: float, block: int) -> DataFrame:
-    """u, v, fingerprint, near, likeness for rows (fingerprint, id) of distinct fingerprints."""
-    keys = F.pandas_udf(lambda s: s.map(band_keys), "array<string>")
-    keyed = materialize(distinct.select("id", F.explode(keys("fingerprint")).alias("key")).select(
-        "id", F.xxhash64("key").alias("key")), "bands")
+    Keys are counted first and made a second time for those that met, which takes less room than to write them all.
+    Fingerprints travel to their keys as bytes of two digits.
+    """
+    numbers = F.pandas_udf(lambda s: s.map(key_numbers), "array<long>")
+    keyed = distinct.select("id", F.explode(numbers("fingerprint")).alias("key"))
+    twice = materialize(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "keys", "zstd")
+    met = materialize(keyed.join(twice, "key").select("id", "key", "n"), "met", "zstd")
     members = [F.bit_xor(F.xxhash64("id", F.lit(i))).alias(f"members{i}") for i in (0, 1)]
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *members).where("n > 1")
-    shared = shared.groupBy("n", "members0", "members1").agg(F.min("key").alias("key")).select("key", "n")
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    met = keyed.join(shared, "key").withColumn("of", blocks).withColumn("mine", F.expr("CAST(pmod(xxhash64(id), of) AS INT)"))
+    chosen = met.groupBy("key", "n").agg(*members).groupBy("n", "members0", "members1").agg(F.min("key").alias("key"))
+    met = met.join(chosen.select("key"), "key").withColumn("of", F.ceil(F.col("n") / block).cast("int")).withColumn(
+        "mine", F.expr("CAST(pmod(xxhash64(id), of) AS INT)"))
     met = met.select("id", "key", F.explode(F.expr(
         "IF(of = 1, array(struct(0 AS a, 0 AS b)), transform(filter(sequence(0, of - 1), x -> x <> mine), "
         "x -> struct(least(x, mine) AS a, greatest(x, mine) AS b)))")).alias("pair")).select("id", "key", "pair.*")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, members = None, []
+        group, ids, texts = None, [], []
 
         def found() -> Iterator[pa.RecordBatch]:
-            if len(members) > 1:
-                ids, texts = zip(*members, strict=True)
-                links = [(ids[i], ids[j], texts[i], texts[j], x) if texts[j] < texts[i] else (ids[j], ids[i], texts[j], texts[i], x)
-                         for i, j, x in _forest(texts, at_least)]
-                if links:
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*links, strict=True)],
-                                                     names=["u", "v", "fingerprint", "near", "likeness"])
+            linked = [(ids[i], ids[j], x) for i, j, x in _forest(texts, at_least)] if len(ids) > 1 else []
+            if linked:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*linked, strict=True)], names=["u", "v", "likeness"])
 
         for batch in batches:
-            for *of, id_, text in zip(*(batch[c].to_pylist() for c in ("key", "a", "b", "id", "fingerprint")), strict=True):
+            for *of, id_, filled, packed in zip(
+                    *(batch[c].to_pylist() for c in ("key", "a", "b", "id", "filled", "packed")), strict=True):
                 if of != group:
                     yield from found()
-                    group, members = of, []
-                members.append((id_, text))
+                    group, ids, texts = of, [], []
+                ids.append(id_)
+                texts.append(packed.hex()[:filled])
         yield from found()
 
-    dealt = met.join(distinct, "id").repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "fingerprint")
-    return dealt.mapInArrow(search, "u long, v long, fingerprint string, near string, likeness double").distinct()
+    digits = F.rtrim("fingerprint", F.lit("-"))
+    packed = distinct.select("id", F.length(digits).alias("filled"), F.unhex(
+        F.concat(digits, F.when(F.length(digits) % 2 == 1, "0").otherwise(""))).alias("packed"))
+    dealt = met.join(packed, "id").repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "packed", "filled")
+    return dealt.mapInArrow(search, "u long, v long, likeness double").distinct()
 
 
 def document_classes(docs: DataFrame, at_least: float = 0.8) -> DataFrame:
     """The columns of :func:`fingerprint_documents` and ``near_class``, the smallest id of the document's class.
 
     A class are the documents connected by equal fingerprints and by the links of :func:`near_documents`. Null ids count
-    only where a class has no other; its near_class is null then.
+    only where a class has no other; its near_class is null then. Only classes of two documents or more are joined to rows.
     """
-    rows = materialize(fingerprint_documents(docs), "edit-fingerprints")
-    distinct = _distinct(rows)
-    member = components(_numbered_links(distinct, at_least, BLOCK).select("u", "v"))
-    firsts = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
-    known = materialize(distinct.join(firsts, "fingerprint").join(
-        member, F.col("id") == F.col("node"), "left").select(
-        "fingerprint", "first", F.coalesce("root", "id").alias("root")), "classes")
-    least = known.groupBy("root").agg(F.min("first").alias("near_class"))
-    named = known.join(least, "root").select("fingerprint", "near_class")
-    return rows.join(named, "fingerprint").select(*rows.columns, "near_class")
+    rows = materialize(fingerprint_documents(docs), "edit-fingerprints", "zstd")
+    distinct = materialize(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
+                           .withColumn("id", F.monotonically_increasing_id()), "fingerprints", "zstd")
+    member = components(links(distinct.select("fingerprint", "id"), at_least).select("u", "v"))
+    known = materialize(distinct.join(member, F.col("id") == F.col("node"), "left").where(
+        "n > 1 OR node IS NOT NULL").select("fingerprint", "first", F.coalesce("root", "id").alias("root")), "classes", "zstd")
+    least = known.groupBy("root").agg(F.min("first").alias("least"))
+    named = materialize(known.join(least, "root").select("fingerprint", F.lit(True).alias("shared"), "least"), "named", "zstd")
+    return rows.join(named, "fingerprint", "left").select(
+        *rows.columns, F.when(F.col("shared"), F.col("least")).otherwise(F.col("doc_id")).alias("near_class"))

@@ -180,3 +180,27 @@ def test_query_names_the_class_of_every_document(spark, many_partitions):
     assert all(g.near_class == least[root[g.fingerprint]] for g in got)
     assert len(set(least.values())) < len(prints)
     assert ef.document_classes(frame(spark, [])).count() == 0
+
+
+def test_key_numbers_are_the_keys_of_the_search():
+    r = random.Random(10)
+    texts = ["", *[prose(r, 300)[:n] for n in (1, 2, 17, 64, 127, 500, 900, 1500)]]
+    prints = ef.fingerprints([ef.characters(t) for t in texts])
+    known = {}
+    for p in prints:
+        keys, numbers = ef.band_keys(p), ef.key_numbers(p).tolist()
+        assert len(keys) == len(numbers) == len(set(numbers)) == (2 * ef.BANDS if p.strip("-") else 0)
+        for key, number in zip(keys, numbers, strict=True):
+            assert known.setdefault(key, number) == number
+    assert len(set(known.values())) == len(known)
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_texts_travel_whole(spark, many_partitions, repeated):
+    """Compressed where ids are unique, as they are where some occur twice."""
+    rows = [(i, t, None, None, None, None, None) for i, t in enumerate(["", "é🙂" * 9, "x" * 100_000, "a\0b", None, "end"])]
+    rows += [(3, "again", None, None, None, None, None)] * repeated
+    ordered, squeezed = ef.with_next(frame(spark, rows))
+    assert squeezed is not repeated
+    got = {(r.doc_id, r.n_chars) for r in ef.fingerprint_documents(frame(spark, rows)).collect()}
+    assert got == {(r[0], len(r[1] or "")) for r in rows}
