@@ -31,9 +31,8 @@ PERIOD = 4096       # steps after which the random bits come round
 GROUP_CHARS = 4_000_000
 #: Fingerprints of a key that are searched in one task; more are searched by pairs of blocks.
 BLOCK = 2048
-#: Keys of a grade and digits of a key. A digit of unlike fingerprints agrees one time in eight or so, so a key meets its first
-#: chance partner among some quarter of a million fingerprints of one grade.
-BANDS, KEY_DIGITS = 16, 6
+#: Keys of a grade and digits of a key, for up to sixteen million fingerprints; see :func:`key_shape`.
+BANDS, KEY_DIGITS = 22, 8
 DIGITS = np.frombuffer(b"0123456789abcdef", np.uint8)
 END = ord("-")
 
@@ -212,6 +211,19 @@ def _band_places(scale: int, bands: int, digits: int) -> np.ndarray:
     return np.searchsorted(steps, r.random((bands, digits)) * until, "right") - 1
 
 
+def key_shape(fingerprints: int) -> tuple[int, int]:
+    """Keys of a grade and digits of a key for so many fingerprints.
+
+    A digit of unlike fingerprints agrees one time in eight or so: with a digit more for every factor of eight, a key
+    meets about as many chance partners in a large corpus as in a small one. The number of keys follows the digits, so
+    that a pair of likeness 0.8 shares a key with a chance of 0.98 at every size. Twelve digits are what a whole number holds.
+    """
+    digits = KEY_DIGITS
+    while digits < 12 and 8**digits < fingerprints:
+        digits += 1
+    return int(np.ceil(np.log(0.02) / np.log(1 - 0.8**digits))), digits
+
+
 def band_keys(fingerprint: str, bands: int = BANDS, digits: int = KEY_DIGITS) -> list[str]:
     """Keys from digits at random places, the same places for every document with a walk of about that length.
 
@@ -233,13 +245,13 @@ def _grades(fingerprint: str) -> tuple[int, ...]:
     return grade, grade - 1
 
 
-def key_numbers(fingerprint: str) -> np.ndarray:
+def key_numbers(fingerprint: str, bands: int = BANDS, digits: int = KEY_DIGITS) -> np.ndarray:
     """:func:`band_keys`, each key as one whole number."""
     row = np.frombuffer(fingerprint.encode(), np.uint8).astype(np.int64)
     values = np.where(row >= ord("a"), row - ord("a") + 10, row - ord("0"))
     return np.concatenate([np.empty(0, np.int64), *[
-        ((scale + 64) * BANDS + np.arange(BANDS) << 4 * KEY_DIGITS)
-        | values[_band_places(scale, BANDS, KEY_DIGITS)] @ (1 << 4 * np.arange(KEY_DIGITS)) for scale in _grades(fingerprint)]])
+        ((scale + 64) * bands + np.arange(bands) << 4 * digits)
+        | values[_band_places(scale, bands, digits)] @ (1 << 4 * np.arange(digits)) for scale in _grades(fingerprint)]])
 
 
 def _alike(rows: np.ndarray, row: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -300,7 +312,8 @@ def links(distinct: DataFrame, at_least: float, block: int = BLOCK) -> DataFrame
     Keys are counted first and made a second time for those that met, which takes less room than to write them all.
     Fingerprints travel to their keys as bytes of two digits.
     """
-    numbers = F.pandas_udf(lambda s: s.map(key_numbers), "array<long>")
+    bands, digits = key_shape(distinct.count())
+    numbers = F.pandas_udf(lambda s: s.map(lambda x: key_numbers(x, bands, digits)), "array<long>")
     keyed = distinct.select("id", F.explode(numbers("fingerprint")).alias("key"))
     twice = materialize(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "keys", "zstd")
     met = materialize(keyed.join(twice, "key").select("id", "key", "n"), "met", "zstd")
@@ -330,9 +343,9 @@ def links(distinct: DataFrame, at_least: float, block: int = BLOCK) -> DataFrame
                 texts.append(packed.hex()[:filled])
         yield from found()
 
-    digits = F.rtrim("fingerprint", F.lit("-"))
-    packed = distinct.select("id", F.length(digits).alias("filled"), F.unhex(
-        F.concat(digits, F.when(F.length(digits) % 2 == 1, "0").otherwise(""))).alias("packed"))
+    text = F.rtrim("fingerprint", F.lit("-"))
+    packed = distinct.select("id", F.length(text).alias("filled"), F.unhex(
+        F.concat(text, F.when(F.length(text) % 2 == 1, "0").otherwise(""))).alias("packed"))
     dealt = met.join(packed, "id").repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "packed", "filled")
     return dealt.mapInArrow(search, "u long, v long, likeness double").distinct()
 

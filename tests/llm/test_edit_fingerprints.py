@@ -113,7 +113,7 @@ def test_keys_of_short_and_empty_texts():
     texts = [prose(r, 200)[:n] for n in (1, 2, 5, 15, 16, 17, 31, 40, 63, 64, 65, 127, 500)]
     for p in ef.fingerprints([ef.characters(t) for t in texts]):
         keys = ef.band_keys(p)
-        assert len(keys) == 32 == len(set(keys)) and not any("-" in k.split(".")[2] for k in keys)
+        assert len(keys) == 2 * ef.BANDS == len(set(keys)) and not any("-" in k.split(".")[2] for k in keys)
     assert ef.band_keys("-" * 32) == []
 
 
@@ -195,6 +195,16 @@ def test_key_numbers_are_the_keys_of_the_search():
     assert len(set(known.values())) == len(known)
 
 
+def test_keys_grow_with_the_corpus():
+    """A digit more for every factor of eight, and as many keys as keep the chance of a pair of likeness 0.8."""
+    assert ef.key_shape(0) == ef.key_shape(8**8) == (ef.BANDS, ef.KEY_DIGITS)
+    assert ef.key_shape(8**8 + 1)[1] == 9 and ef.key_shape(10**18)[1] == 12
+    for bands, digits in map(ef.key_shape, (1, 10**8, 10**9, 10**12)):
+        assert 0.98 <= 1 - (1 - 0.8**digits) ** bands < 0.985
+        widest = ef.key_numbers("f" * 32 * 40, bands, digits)
+        assert len(set(widest.tolist())) == 2 * bands and widest.min() > 0
+
+
 @pytest.mark.parametrize("repeated", [False, True])
 def test_texts_travel_whole(spark, many_partitions, repeated):
     """Compressed where ids are unique, as they are where some occur twice."""
