@@ -135,17 +135,19 @@ def with_next(docs: DataFrame) -> tuple[DataFrame, bool]:
         compress = zstandard.ZstdCompressor(level=1).compress
         return texts.map(lambda text: compress(text.encode("utf-8", "surrogatepass")))
 
-    dealt = rows.withColumn("part", F.pandas_udf(range_of, "int")("doc_id"))
-    firsts = dealt.groupBy("part").agg(F.max("doc_id").alias("doc_id"))
+    part = F.pandas_udf(range_of, "int")("doc_id")
+    body = F.pandas_udf(squeeze, "binary")("text") if squeezed else F.col("text").cast("binary")
+    firsts = rows.groupBy(part.alias("part")).agg(F.max("doc_id").alias("doc_id"))
     around = Window.orderBy("part")      # one row per range
     firsts = firsts.select("part", "doc_id", F.coalesce(
         F.lag("part").over(around), F.max("part").over(Window.partitionBy())).alias("to"))
-    head = F.broadcast(firsts.withColumnRenamed("doc_id", "head"))      # as many rows as ranges
-    extra = dealt.join(head, "part").where(F.col("doc_id").eqNullSafe(F.col("head")))
+    head = F.broadcast(firsts.select(F.col("doc_id").alias("head"), "to"))      # as many rows as ranges
+    extra = rows.join(head, F.col("doc_id").eqNullSafe(F.col("head")))
     extra = extra.groupBy("to").agg(F.max("text").alias("text")).select(
-        F.lit(None).cast("long").alias("doc_id"), "text", F.col("to").alias("part"), F.lit(True).alias("extra"))
-    body = F.pandas_udf(squeeze, "binary")("text") if squeezed else F.col("text").cast("binary")
-    every = dealt.withColumn("extra", F.lit(False)).unionByName(extra).withColumn("body", body).drop("text")
+        F.lit(None).cast("long").alias("doc_id"), F.col("to").alias("part"), F.lit(True).alias("extra"), body.alias("body"))
+    # Both functions side by side take one Python worker a task, one after the other would take two.
+    own = rows.select("doc_id", part.alias("part"), F.lit(False).alias("extra"), body.alias("body"))
+    every = own.unionByName(extra)
     return every.repartition("part").sortWithinPartitions(
         "part", "extra", F.col("doc_id").desc_nulls_last(), F.col("body").desc()), squeezed
 
