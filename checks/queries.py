@@ -353,7 +353,7 @@ def _stored_history(spark: SparkSession, sf: str) -> str:
     late = "cardId % 11 = 0"
     early = f"createTime < '{CUT_DAY:%Y%m%d}'"
     for i, arriving in enumerate([f"{early} AND NOT {late}", f"NOT {early} AND NOT {late}", late]):
-        raw.where(arriving).write.mode("append").parquet(f"{folder}/cards")
+        raw.where(arriving).write.mode("append").parquet(f"{folder}/cards", compression="zstd")
         for _ in range(2):
             history.load_files(spark, f"{folder}/cards", f"{folder}/history", card_id="cardId")
         if i == 1:

@@ -44,6 +44,14 @@ def explode_answers(cards: DataFrame) -> DataFrame:
     )
 
 
+def narrowed(cards: DataFrame) -> DataFrame:
+    """Cards with the same answers in less room, for a shuffle: a question is only there or not, and ``correct`` 1, 2 or 0."""
+    answered = ", ".join(map(str, ANSWERED))
+    return cards.withColumns({
+        "question": F.expr("transform(question, q -> IF(q IS NULL, NULL, 1Y))"),
+        "correct": F.expr(f"transform(correct, c -> IF(c IS NULL OR c IN ({answered}), CAST(c AS TINYINT), 0Y))")})
+
+
 def daily_rollup(answers: DataFrame) -> DataFrame:
     """Sums per (user, subject, day, point). Partial sums in the map stage absorb hot users."""
     return answers.groupBy(*ROLLUP_KEYS).agg(*[F.sum(m).alias(m) for m in MEASURES])

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quizlens.operators.answers import MEASURES, ROLLUP_KEYS
+from quizlens.operators.bloom import key_filter, might_hold
 from quizlens.operators.materialize import materialize
 
 POINT = ("user_id", "subject", "point")
@@ -25,8 +27,8 @@ WIDE = "decimal(38,0)"
 
 
 def scored_cards(answers: DataFrame) -> DataFrame:
-    """Right answers per (user, subject, point, day, card), of answers that count for point statistics."""
-    return answers.where(F.col("point").isNotNull()).groupBy(*DAY, "card_id").agg(F.sum("right_num").alias("right_num"))
+    """Right answers per (user, subject, point, day, card), of answers that count for point statistics; not added up yet."""
+    return answers.where(F.col("point").isNotNull()).select(*DAY, "card_id", "right_num")
 
 
 def _carried(n: Column, s: Column, q: Column, order: Window) -> Column:
@@ -39,6 +41,36 @@ def _earlier(keys: tuple[str, ...], *order: str) -> Window:
     return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
 
 
+def daily_rollup_with_states(answers: DataFrame) -> DataFrame:
+    """The sums of ``daily_rollup`` and, on rows with a point, the day state of their cards: n, q, first_card, last_card and
+    loose as in :func:`day_states`; s is right_num.
+
+    No shuffle where ``answers`` lie by (user, subject, day): cards are put together, counted from the last one back and
+    summed up in their places.
+    """
+    cards = (
+        answers.withColumn("card_id", F.when(F.col("point").isNotNull(), F.col("card_id")))
+        .groupBy(*ROLLUP_KEYS, "card_id").agg(*[F.sum(m).alias(m) for m in MEASURES])
+    )
+    latest = Window.partitionBy(*ROLLUP_KEYS).orderBy(F.col("card_id").desc())
+    on_point = F.col("point").isNotNull()
+    weighted = F.sum(F.col("right_num").cast("decimal(19,0)") * F.col("from_last").cast("decimal(19,0)")).cast(WIDE)
+    return cards.withColumn("from_last", F.row_number().over(latest)).groupBy(*ROLLUP_KEYS).agg(
+        *[F.sum(m).alias(m) for m in MEASURES],
+        F.count(F.when(on_point, 1)).alias("n"), weighted.alias("q"), F.min("card_id").alias("first_card"),
+        F.max("card_id").alias("last_card"), F.max(on_point & F.col("card_id").isNull()).alias("loose"))
+
+
+def rows_of(rows: DataFrame, keys: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """Rows with one of the written, distinct ``keys``, nulls compared like values. A filter in the scan goes before the join,
+    so that only what it lets through is shuffled."""
+    mark = F.xxhash64(*columns)
+    passed = rows.withColumn("_mark", mark).where(
+        might_hold(key_filter(keys.select(mark.alias("_mark")), "_mark"), "_mark")).drop("_mark")
+    right = keys.select(*[F.col(c).alias(f"_{c}") for c in columns])
+    return passed.join(right, [passed[c].eqNullSafe(right[f"_{c}"]) for c in columns], "left_semi")
+
+
 def day_states(scored: DataFrame) -> DataFrame:
     """One row per (user, subject, point, day) of ``scored``, whose rows are one per card.
 
@@ -69,44 +101,72 @@ def _merged(stretches: DataFrame, *keys: str) -> DataFrame:
         F.min("first_card").alias("first_card"), F.max("last_card").alias("last_card"), F.max("loose").alias("loose"))
 
 
-def merge_loads(states: DataFrame, scored: Callable[[list[date | None]], DataFrame]) -> DataFrame:
-    """Day states of several loads (with a column ``load``) as one row per day.
-
-    ``scored`` gives the scored cards of some days; it is asked only for days that have cards in no clear order. At most
-    one number per day of the calendar comes to the driver.
-    """
-    loads = Window.partitionBy(*DAY).orderBy("first_card", "last_card", "load")
+def _placed_loads(states: DataFrame) -> DataFrame:
+    """Day states of several loads, each carried behind the earlier ones of its day; ``tangled`` marks days that have cards in
+    no clear order."""
+    loads = Window.partitionBy(*DAY).orderBy("first_card", "last_card")
     before = loads.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*DAY)
     tangled = F.col("first_card") <= F.max("last_card").over(before)
-    known = materialize(
+    return (
         states.withColumns({"q": _carried(F.col("n"), F.col("s"), F.col("q"), before), "tangled": F.coalesce(tangled, F.lit(False)),
                             "loads": F.count(F.lit(1)).over(whole)})
-        .withColumn("tangled", F.max(F.col("tangled") | (F.col("loose") & (F.col("loads") > 1))).over(whole)), "day-states")
+        .withColumn("tangled", F.max(F.col("tangled") | (F.col("loose") & (F.col("loads") > 1))).over(whole)))
+
+
+def merge_loads(states: DataFrame, scored: Callable[[list[date | None]], DataFrame]) -> DataFrame:
+    """Day states of several loads as one row per day.
+
+    ``scored`` gives the scored cards of some days; it is asked only for days that have cards in no clear order. At most
+    one number per day of the calendar comes to the driver.
+    """
+    known = materialize(_placed_loads(states), "day-states", "zstd")
     clear = _merged(known.where(~F.col("tangled")), *DAY)
-    again = known.where("tangled").select(*DAY).distinct()
+    again = materialize(known.where("tangled").select(*DAY).distinct(), "tangled-days")
     days = [r.day for r in again.select("day").distinct().collect()]
     if not days:
         return clear
-    right = again.select(*[F.col(c).alias(f"_{c}") for c in DAY])
-    asked = scored(days)
-    same = [asked[c].eqNullSafe(right[f"_{c}"]) for c in DAY]
-    cards = asked.join(right, same, "left_semi").groupBy(*DAY, "card_id").agg(F.sum("right_num").alias("right_num"))
+    cards = rows_of(scored(days), again, DAY).groupBy(*DAY, "card_id").agg(F.sum("right_num").alias("right_num"))
     return clear.unionByName(day_states(cards))
 
 
-def running_from_states(states: DataFrame, everyone: DataFrame, week: tuple[date, date]) -> DataFrame:
-    """The figure of ``running_right`` for every (user, subject) of ``everyone``, from one row per day.
+def point_folds(states: DataFrame, week: tuple[date, date]) -> DataFrame:
+    """What each (user, subject, point) adds to the figure of ``running_right``: lifetime, in_week, and tangled, whether it has
+    a day whose loads are in no clear order, so that it has to be folded anew from what :func:`merge_loads` gives.
 
-    A group of the fold is one point of one user: at most as many rows as it has days.
+    One shuffle by point for the merging of loads and for the fold; a group is one point of one user, at most as many rows
+    as it has days and loads.
     """
-    in_week = F.col("day").between(*map(F.lit, week))
-
-    def folded(rows: DataFrame, name: str) -> DataFrame:
-        carried = _carried(F.col("n"), F.col("s"), F.col("q"), _earlier(POINT, "day"))
-        return rows.select(*POINT, carried.alias("q")).groupBy("user_id", "subject").agg(F.sum("q").alias(name))
-
-    found = folded(states, "lifetime").join(folded(states.where(in_week), "in_week"), ["user_id", "subject"], "left")
+    in_week = F.coalesce(F.col("day").between(*map(F.lit, week)), F.lit(False))
+    # Most days have one card: its q is s and its last card the first, which is not sent twice.
+    sent = states.select(
+        *DAY, "n", "s", F.nullif("q", F.col("s").cast(WIDE)).alias("q"), "first_card",
+        F.nullif("last_card", "first_card").alias("last_card"), "loose").repartition(*POINT)
+    placed = _placed_loads(sent.withColumns({
+        "q": F.coalesce("q", F.col("s").cast(WIDE)), "last_card": F.coalesce("last_card", "first_card")}))
+    days = placed.groupBy(*DAY).agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").cast(WIDE).alias("q"),
+                                    F.max("tangled").alias("tangled"))
+    order = _earlier(POINT, "day")
+    weekly = [F.when(in_week, F.col(c)) for c in ("n", "s", "q")]
+    return days.select(
+        *POINT, _carried(F.col("n"), F.col("s"), F.col("q"), order).alias("lifetime"),
+        _carried(*weekly, order).alias("in_week"), "tangled",
+    ).groupBy(*POINT).agg(F.sum("lifetime").cast(WIDE).alias("lifetime"), F.sum("in_week").cast(WIDE).alias("in_week"),
+                          F.max("tangled").alias("tangled"))
+
+
+def running_of_loads(states: DataFrame, scored: Callable[[list[date | None]], DataFrame], everyone: DataFrame,
+                     week: tuple[date, date]) -> DataFrame:
+    """The figure of ``running_right`` for every (user, subject) of ``everyone``, from the day states of several loads.
+
+    Points whose loads are in clear order are folded at once; only the others are merged from their scored cards first.
+    """
+    points = materialize(point_folds(states, week), "points", "zstd")
+    tangled = points.where("tangled")
+    found = points.where(~F.col("tangled"))
+    if not tangled.isEmpty():
+        found = found.unionByName(point_folds(merge_loads(rows_of(states, tangled, POINT), scored), week))
+    found = found.groupBy("user_id", "subject").agg(F.sum("lifetime").alias("lifetime"), F.sum("in_week").alias("in_week"))
     return everyone.select("user_id", "subject").distinct().join(found, ["user_id", "subject"], "left").select(
         "user_id", "subject",
         F.coalesce("lifetime", F.lit(0)).cast("bigint").alias("running_right_num"),

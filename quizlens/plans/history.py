@@ -5,11 +5,14 @@ length and time of change) and the load that holds it. A slice in the ledger is
 cards have; a slice whose stamp has changed takes its load's place together with the other slices of that load. So late
 cards, cards without a readable day and repeated runs count exactly once, and the sums equal those of all cards.
 
-    <root>/sums/load=.../       daily sums per (user, subject, day, point)
-    <root>/scored/load=.../     right answers per scored card, days apart  only where cards have an id
-    <root>/running/load=.../    day states of the running figure           likewise
+    <root>/sums/load=.../       daily sums per (user, subject, day, point); where cards have an id, with the day
+                                states of the running figure: right_num is their s, no last_card means the first
+    <root>/scored/load=.../     right answers of scored cards, by day, not added up; only where cards have an id
     <root>/ledger/              slice, stamp, load, seq, with_cards
 
+Cards are shuffled once, whole, by user, subject and day, and everything stored is made where they lie. The largest group of
+that shuffle is one user's one day in one subject; cards without a readable day are one day.
+
 A load is written before its ledger rows are; a folder that no ledger row names is not read. The name of a load follows from
 its slices, so a run that is repeated after a failure writes the same folder. There must be one writer at a time.
 """
@@ -18,18 +21,19 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quizlens.operators.answers import MEASURES, ROLLUP_KEYS, daily_rollup, explode_answers, merge_rollups
+from quizlens.operators.answers import MEASURES, ROLLUP_KEYS, daily_rollup, explode_answers, merge_rollups, narrowed
 from quizlens.operators.materialize import materialize
-from quizlens.operators.prefix import DAY, day_states, merge_loads, running_from_states, scored_cards
+from quizlens.operators.prefix import DAY, daily_rollup_with_states, merge_loads, running_of_loads, scored_cards
 from quizlens.sources.cards import normalise_cards
 
 LEDGER = "slice string, stamp string, load string, seq bigint, with_cards boolean"
 DAYS = "user_id bigint, subject int, point int, day date"
 SCORED = f"{DAYS}, card_id CARD, right_num bigint, load string"
-RUNNING = f"{DAYS}, n bigint, s bigint, q decimal(38,0), first_card CARD, last_card CARD, loose boolean, load string"
+STATE = ("n", "q", "first_card", "last_card", "loose")
+STATES = "n bigint, q decimal(38,0), first_card CARD, last_card CARD, loose boolean"
 SUMS = f"user_id bigint, subject int, day date, point int, {', '.join(f'{m} bigint' for m in MEASURES)}, load string"
 
 
@@ -59,12 +63,29 @@ def current_loads(spark: SparkSession, root: str) -> dict[str, bool]:
 
 
 def _read(spark: SparkSession, root: str, part: str, loads: list[str]) -> DataFrame:
-    """The rows of some loads; others are pruned as partitions."""
-    schema = SUMS
-    if part != "sums":
-        card = spark.read.parquet(f"{root}/running/load={loads[0]}").schema["first_card"].dataType.simpleString()
-        schema = (SCORED if part == "scored" else RUNNING).replace("CARD", card)
-    return spark.read.schema(schema).parquet(f"{root}/{part}").where(F.col("load").isin(loads))
+    """The rows of some loads, others are pruned as partitions: ``sums``, ``scored``, ``running`` (day states) or ``both``, sums
+    with day states."""
+
+    def of(folder: str, schema: str, chosen: list[str]) -> DataFrame:
+        return spark.read.schema(schema).parquet(f"{root}/{folder}").where(F.col("load").isin(chosen))
+
+    if part == "sums":
+        return of("sums", SUMS, loads)
+    card = spark.read.parquet(f"{root}/scored/load={loads[0]}").schema["card_id"].dataType.simpleString()
+    if part == "scored":
+        return of("scored", SCORED.replace("CARD", card), loads)
+    both, states = f"{STATES}, {SUMS}".replace("CARD", card), STATES.replace("CARD", card)
+    if part == "both":
+        return of("sums", both, loads).withColumn("last_card", F.coalesce("last_card", "first_card"))
+    apart = _apart(spark, root, loads)
+    rows = _read(spark, root, "both", loads).where(F.col("point").isNotNull() & ~F.col("load").isin(apart)).select(
+        *DAY, F.col("right_num").alias("s"), *STATE)
+    return rows.unionByName(of("running", f"{DAYS}, s bigint, {states}, load string", apart).drop("load")) if apart else rows
+
+
+def _apart(spark: SparkSession, root: str, loads: list[str]) -> list[str]:
+    """Loads of the earlier layout, whose day states lie in a folder of their own."""
+    return [load for load in loads if exists(spark, f"{root}/running/load={load}")]
 
 
 def stored_sums(spark: SparkSession, root: str) -> DataFrame:
@@ -85,33 +106,24 @@ def stored_running(spark: SparkSession, root: str, week: tuple[date, date]) -> D
     if not loads:
         none = F.lit(0).cast("bigint")
         return everyone.select("user_id", "subject").withColumns({"running_right_num": none, "week_running_right_num": none})
-    return running_from_states(_merged_states(spark, root, list(loads)), everyone, week)
+    loads = list(loads)
+    return running_of_loads(
+        _read(spark, root, "running", loads), lambda days: _read(spark, root, "scored", loads).where(_among(days)), everyone, week)
 
 
-def _merged_states(spark: SparkSession, root: str, loads: list[str]) -> DataFrame:
-    def of_days(days: list[date | None]) -> DataFrame:
-        readable = [F.lit(d) for d in days if d is not None]
-        rows = _read(spark, root, "scored", loads)
-        return rows.where((F.col("day").isin(readable) if readable else F.lit(False))
-                          | (F.col("day").isNull() if None in days else F.lit(False)))
+def _among(days: list[date | None]) -> Column:
+    readable = [F.lit(d) for d in days if d is not None]
+    return F.when(F.col("day").isNull(), F.lit(None in days)).otherwise(F.col("day").isin(readable))
 
-    return merge_loads(_read(spark, root, "running", loads), of_days)
 
-
-def _write_load(spark: SparkSession, root: str, load: str, sums: DataFrame, scored: DataFrame | None,
-                states: DataFrame | None = None) -> None:
-    columns = [*ROLLUP_KEYS, *MEASURES]
-    sums.select(columns).write.mode("overwrite").parquet(f"{root}/sums/load={load}")
-    if scored is None:
-        return
-    target = f"{root}/scored/load={load}"
-    scored.select(*DAY, "card_id", "right_num").repartitionByRange("day", "user_id").sortWithinPartitions("day").write.mode(
-        "overwrite").parquet(target)
-    if states is None:
-        written = spark.read.schema(scored.select(*DAY, "card_id", "right_num").schema).parquet(target)
-        states = day_states(written)
-    states.select(*DAY, "n", "s", "q", "first_card", "last_card", "loose").write.mode("overwrite").parquet(
-        f"{root}/running/load={load}")
+def _write_load(root: str, load: str, sums: DataFrame, scored: DataFrame | None) -> None:
+    state = [] if scored is None else [
+        F.nullif("last_card", "first_card").alias("last_card") if c == "last_card" else c for c in STATE]
+    sums.select(*ROLLUP_KEYS, *MEASURES, *state).sortWithinPartitions("user_id", "subject", "day", "point").write.mode(
+        "overwrite").parquet(f"{root}/sums/load={load}", compression="zstd")
+    if scored is not None:
+        scored.select(*DAY, "card_id", "right_num").sortWithinPartitions("day", "user_id").write.mode("overwrite").parquet(
+            f"{root}/scored/load={load}", compression="zstd")
 
 
 def _enter(slices: DataFrame, root: str, load: str, with_cards: bool) -> None:
@@ -145,9 +157,12 @@ def add_slices(cards: DataFrame, slices: DataFrame, root: str) -> str | None:
     if left:
         raise ValueError(f"loaded together with slices to replace: {', '.join(r.slice for r in left)}")
     load = _name(slices)
-    answers = explode_answers(cards)
     with_cards = "card_id" in cards.columns
-    _write_load(spark, root, load, daily_rollup(answers), scored_cards(answers) if with_cards else None)
+    if with_cards:
+        sums = daily_rollup_with_states(explode_answers(narrowed(cards).repartition("user_id", "subject", "day")))
+        _write_load(root, load, sums, scored_cards(explode_answers(cards)))
+    else:
+        _write_load(root, load, daily_rollup(explode_answers(cards)), None)
     _enter(slices, root, load, with_cards)
     return load
 
@@ -186,17 +201,30 @@ def load_files(spark: SparkSession, source: str, root: str, *, card_id: str | No
 
 
 def compact(spark: SparkSession, root: str) -> str | None:
-    """Put all loads into one. Sums are added up, days become one state each; the ledger gets a new entry per slice."""
+    """Put all loads into one. Sums are added up, days become one state each; the ledger gets a new entry per slice.
+
+    Only rows of days that several loads have are shuffled and merged, the others are taken over. At most one row per day of
+    the calendar comes to the driver.
+    """
     loads = current_loads(spark, root)
     if len(loads) < 2:
         return None
     slices = materialize(ledger(spark, root).select("slice", "stamp"), "slices")
     load, with_cards = _name(slices, "all"), all(loads.values())
-    scored = states = None
+    names = list(loads)
+    stored = _read(spark, root, "both" if with_cards else "sums", names)
+    days = stored.select("day", "load").distinct().groupBy("day").agg(F.count(F.lit(1)).alias("loads"))
+    shared = _among([r.day for r in days.where("loads > 1").collect()])
+    if with_cards and _apart(spark, root, names):
+        shared = F.lit(True)
+    sums, scored = merge_rollups(stored.where(shared)), None
     if with_cards:
-        scored = _read(spark, root, "scored", list(loads)).groupBy(*DAY, "card_id").agg(F.sum("right_num").alias("right_num"))
-        states = _merged_states(spark, root, list(loads))
-    _write_load(spark, root, load, merge_rollups(stored_sums(spark, root)), scored, states)
+        scored = _read(spark, root, "scored", names)
+        merged = merge_loads(_read(spark, root, "running", names).where(shared), lambda days: scored.where(_among(days)))
+        merged = merged.select(*[F.col(c).alias(f"_{c}") for c in DAY], *STATE)
+        sums = sums.join(merged, [sums[c].eqNullSafe(merged[f"_{c}"]) for c in DAY], "left")
+    columns = [*ROLLUP_KEYS, *MEASURES, *(STATE if with_cards else [])]
+    _write_load(root, load, stored.where(~shared).select(columns).unionByName(sums.select(columns)), scored)
     _enter(slices, root, load, with_cards)
     return load
 

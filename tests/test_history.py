@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import fixture as fx
-from quizlens.operators.answers import explode_answers, point_stats
+from quizlens.operators import prefix
+from quizlens.operators.answers import (
+    MEASURES, ROLLUP_KEYS, daily_rollup, explode_answers, narrowed, point_stats)
 from quizlens.operators.running import running_right
 from quizlens.plans import history, nightly
 from quizlens.plans.base import base_from_cards, user_subject_base
@@ -201,3 +203,64 @@ def test_small_and_empty_filters(spark):
     assert rows.where(might_hold(key_filter(few.limit(0), "k", 64), "k", 64)).count() == 0
     exact = rows.where(might_hold(key_filter(few, "k"), "k"))
     assert 100 <= exact.count() < 105 and exact.where("k IS NULL").count() == 1
+
+
+def load_in_turn(spark, root, *parts):
+    for i, rows in enumerate(parts):
+        cards = normalise_cards(spark.createDataFrame(rows, model.CARD_FIELDS), card_id="cardId")
+        history.add_slices(cards, spark.createDataFrame([(f"s{i}", "1")], "slice string, stamp string"), root)
+
+
+def exchanges(df):
+    df.collect()
+    return str(df._jdf.queryExecution().executedPlan()).split("== Initial Plan ==")[0].count("Exchange")
+
+
+def test_a_load_and_a_fold_shuffle_once(spark, many_partitions):
+    rows = awkward_cards(21)
+    cards = normalise_cards(spark.createDataFrame(rows, model.CARD_FIELDS), card_id="cardId")
+    answers = explode_answers(cards)
+    sums = prefix.daily_rollup_with_states(explode_answers(narrowed(cards).repartition("user_id", "subject", "day")))
+    assert exchanges(sums) == 1
+    assert sorted(map(str, sums.select(*ROLLUP_KEYS, *MEASURES).collect())) == sorted(
+        map(str, daily_rollup(answers).select(*ROLLUP_KEYS, *MEASURES).collect()))
+    scored = prefix.scored_cards(answers).groupBy(*prefix.DAY, "card_id").agg(F.sum("right_num").alias("right_num"))
+    states = sums.where("point IS NOT NULL").withColumnRenamed("right_num", "s")
+    columns = [*prefix.DAY, "n", "s", "q", "first_card", "last_card", "loose"]
+    assert sorted(map(str, states.select(columns).collect())) == sorted(
+        map(str, prefix.day_states(scored).select(columns).collect()))
+    assert exchanges(prefix.point_folds(states.localCheckpoint(), SETTINGS.week)) == 1
+
+
+def test_compacting_loads_of_different_days_merges_nothing(spark, tmp_path, monkeypatch):
+    """Only the days that both loads have are merged, the day of unreadable cards among them."""
+    rows = awkward_cards(22)
+    early, late = ([c for c in rows if c[3] and c[3][:3] == "200" and (c[3] < "20010720") == first] for first in (True, False))
+    merged = []
+    merge = history.merge_loads
+    monkeypatch.setattr(history, "merge_loads", lambda states, scored: merged.append(states.count()) or merge(states, scored))
+    load_in_turn(spark, f"{tmp_path}/apart", early, late)
+    assert history.compact(spark, f"{tmp_path}/apart") and merged == [0]
+    same_as_full(spark, f"{tmp_path}/apart", early + late)
+    bad = [(*c[:3], "bad", *c[4:]) for c in rows[:30]]
+    load_in_turn(spark, f"{tmp_path}/bad", early + bad, late + bad)
+    assert history.compact(spark, f"{tmp_path}/bad") and merged[1] > 0
+    same_as_full(spark, f"{tmp_path}/bad", early + late + bad + bad)
+
+
+def test_loads_of_the_earlier_layout_are_read(spark, tmp_path):
+    """Day states in a folder of their own, as earlier runs stored them."""
+    root, rows, more = f"{tmp_path}/history", awkward_cards(23, 80), awkward_cards(24, 60)
+    load_in_turn(spark, root, rows)
+    load, = history.current_loads(spark, root)
+    states = history._read(spark, root, "running", [load])
+    states.write.parquet(f"{root}/running/load={load}")
+    sums = history.stored_sums(spark, root)
+    sums.write.parquet(f"{tmp_path}/sums")
+    spark.read.parquet(f"{tmp_path}/sums").write.mode("overwrite").parquet(f"{root}/sums/load={load}")
+    same_as_full(spark, root, rows)
+    cards = normalise_cards(spark.createDataFrame(more, model.CARD_FIELDS), card_id="cardId")
+    history.add_slices(cards, spark.createDataFrame([("more", "1")], "slice string, stamp string"), root)
+    same_as_full(spark, root, rows + more)
+    assert history.compact(spark, root)
+    same_as_full(spark, root, rows + more)
