@@ -2,17 +2,28 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: 64-bit blocks of a filter: 2 MB, room for 1.7 million keys at ten bits a key. More keys make it let more through.
 BLOCKS = 1 << 18
 BITS_SET = 4
+PATTERNS = 1 << 10
+
+
+def _patterns() -> str:
+    """Bits of a block, as SQL. A key takes one of these patterns, so its hash is worked out once for all its bits: an
+    optimizer puts the key's own expression wherever the hash stands, and a scan whose code grows too long is not compiled."""
+    chosen = random.Random(BITS_SET)
+    masks = (sum(1 << bit for bit in chosen.sample(range(64), BITS_SET)) for _ in range(PATTERNS))
+    return f"array({', '.join(f'{mask - (mask >> 63 << 64)}L' for mask in masks)})"
 
 
 def _place(key: str) -> tuple[str, str]:
     """Block and bits of a key, as SQL; a null key has a place like any other."""
-    bits = " | ".join(f"shiftleft(1L, CAST(shiftright(xxhash64(`{key}`), {6 * i}) & 63L AS INT))" for i in range(BITS_SET))
+    bits = f"get({_patterns()}, CAST(xxhash64(`{key}`) & {PATTERNS - 1}L AS INT))"
     return f"CAST(shiftrightunsigned(xxhash64(`{key}`), 32) % {{blocks}} AS INT)", bits
 
 
@@ -32,5 +43,4 @@ def might_hold(made: DataFrame, key: str, blocks: int = BLOCKS) -> Column:
     a constant to the scan that applies it."""
     block, bits = _place(key)
     held = F.get(made.scalar(), F.expr(block.format(blocks=blocks)))
-    wanted = F.expr(bits)
-    return held.bitwiseAND(wanted) == wanted
+    return held.bitwiseOR(F.expr(f"~{bits}")) == -1

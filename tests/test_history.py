@@ -195,6 +195,16 @@ def test_filter_of_active_users_goes_before_the_first_sum(spark):
     assert users.count() == first_shuffle(passed) < first_shuffle(cards)
 
 
+def test_filter_works_out_its_key_twice(spark):
+    """A key's expression stands in the scan as often as its hash does; nine times made the scan's code too long to compile."""
+    from quizlens.operators.bloom import key_filter, might_hold
+    rows = spark.range(1000).selectExpr("id * 3 AS k")
+    passed = rows.where(might_hold(key_filter(rows.where("k % 2 = 0"), "k"), "k"))
+    condition = next(line for line in passed._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter (" in line)
+    assert condition.count("xxhash64") == 2
+    assert 500 <= passed.count() < 505
+
+
 def test_small_and_empty_filters(spark):
     from quizlens.operators.bloom import key_filter, might_hold
     rows = spark.range(1000).selectExpr("IF(id = 0, NULL, id) AS k")
