@@ -8,58 +8,55 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-WIDE = "decimal(38,0)"
-
 
 def running_right(answers: DataFrame, week: tuple[date, date]) -> DataFrame:
     """Per (user, subject) with a card: the sum, over cards in (day, card_id) order, of the right answers so far.
 
     Cards without a readable day come first, cards that share a day and an id count as one, and a (user, subject)
-    without scored answers gets 0. Products are decimals of 38 digits, the result is a long.
+    without scored answers gets 0. The figure is a long.
+    """
+    everyone = answers.select("user_id", "subject").distinct()
+    return everyone.join(running_of_scored(answers, week), ["user_id", "subject"], "left").select(
+        "user_id", "subject",
+        F.coalesce("running_right_num", F.lit(0)).cast("bigint").alias("running_right_num"),
+        F.coalesce("week_running_right_num", F.lit(0)).cast("bigint").alias("week_running_right_num"))
+
 
-    Sorted by range, so a hot point spreads over partitions. With n cards in a slice, c_j right answers on
-    the j-th and S right answers in earlier slices, a slice adds sum(c_j * (n - j + 1)) + n * S, which needs
-    only sums per slice. Slices of a group are then combined in order; there is one per partition it touches.
+def running_of_scored(answers: DataFrame, week: tuple[date, date]) -> DataFrame:
+    """The figures of :func:`running_right`, only for (user, subject) with scored answers.
+
+    The answers of a point are cut into years, so a hot point spreads over partitions, and sent once. With n cards in a year
+    and c_j right answers on the j-th, a year adds sum(c_j * (n - j + 1)) + n * S, where S are the right answers of earlier
+    years; n - j + 1 is the place counted from the last card, which the answers of one card share. So a year needs sums only,
+    and years are then combined in order. No such sum exceeds the figure itself, as no answer counts less than nothing.
     """
     group = ["user_id", "subject", "point"]
-    cards = (
-        answers.where(F.col("point").isNotNull())
-        .groupBy(*group, "day", "card_id")
-        .agg(F.sum("right_num").alias("c"))
-    )
-    order = [*group, "day", "card_id"]
+    stretch = [*group, "year"]
+    in_week = F.coalesce(F.col("day").between(*map(F.lit, week)), F.lit(False))
+    from_last = Window.partitionBy(*stretch).orderBy(F.col("day").desc(), F.col("card_id").desc())
     placed = (
-        cards.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_id", F.monotonically_increasing_id())
-        .select(*group, "c", F.coalesce(F.col("day").between(*map(F.lit, week)), F.lit(False)).alias("in_week"),
-                F.shiftright("_id", 33).alias("part"),
-                F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("place"))
+        answers.where(F.col("point").isNotNull())
+        .select(*group, F.year("day").alias("year"), "day", "card_id", "right_num")
+        .repartition(*stretch)
+        .withColumn("place", F.dense_rank().over(from_last).cast("bigint"))
+        .select(*stretch, "right_num", "place", F.when(in_week, F.col("right_num")).alias("week_right_num"),
+                F.when(in_week, F.col("place")).alias("week_place"))
     )
-
-    def sums(prefix: str, used):
-        c, place = F.when(used, F.col("c")), F.when(used, F.col("place"))
-        product = F.sum(c.cast("decimal(19,0)") * place.cast("decimal(19,0)")).cast(WIDE)
-        return [F.count(place).cast(WIDE).alias(f"{prefix}n"),
-                F.coalesce(F.sum(c), F.lit(0)).cast("decimal(19,0)").alias(f"{prefix}s"),
-                F.coalesce(product, F.lit(0)).cast(WIDE).alias(f"{prefix}q"),
-                F.coalesce(F.min(place), F.lit(0)).alias(f"{prefix}first")]
-
-    slices = placed.groupBy(*group, "part").agg(*sums("", F.lit(True)), *sums("w_", F.col("in_week")))
-    earlier = Window.partitionBy(*group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-
-    def running(prefix: str):
-        n, s, q, first = (F.col(prefix + name) for name in ("n", "s", "q", "first"))
-        count = n.cast("decimal(18,0)")
-        inside = (count + first.cast("decimal(18,0)")) * s - q
-        return inside.cast(WIDE) + (count * F.coalesce(F.sum(s).over(earlier), F.lit(0)).cast("decimal(19,0)")).cast(WIDE)
-
-    found = (
-        slices.select("user_id", "subject", running("").alias("all"), running("w_").alias("week"))
+    # The week's cards lie together; those after them are taken off their places.
+    after = F.coalesce(F.min("week_place") - 1, F.lit(0))
+    week_s = F.coalesce(F.sum("week_right_num"), F.lit(0))
+    years = placed.groupBy(*stretch).agg(
+        F.max("place").alias("n"), F.sum("right_num").alias("s"), F.sum(F.col("right_num") * F.col("place")).alias("q"),
+        (F.coalesce(F.max("week_place"), F.lit(0)) - after).alias("week_n"), week_s.alias("week_s"),
+        (F.coalesce(F.sum(F.col("week_right_num") * F.col("week_place")), F.lit(0)) - week_s * after).alias("week_q"))
+    earlier = Window.partitionBy(*group).orderBy("year").rowsBetween(Window.unboundedPreceding, -1)
+
+    def carried(prefix: str):
+        n, s, q = (F.col(prefix + name) for name in ("n", "s", "q"))
+        return q + n * F.coalesce(F.sum(s).over(earlier), F.lit(0))
+
+    return (
+        years.repartition("user_id", "subject")
+        .select("user_id", "subject", carried("").alias("all"), carried("week_").alias("week"))
         .groupBy("user_id", "subject")
-        .agg(F.sum("all").alias("all"), F.sum("week").alias("week"))
-    )
-    return answers.select("user_id", "subject").distinct().join(found, ["user_id", "subject"], "left").select(
-        "user_id", "subject",
-        F.coalesce("all", F.lit(0)).cast("bigint").alias("running_right_num"),
-        F.coalesce("week", F.lit(0)).cast("bigint").alias("week_running_right_num"))
+        .agg(F.sum("all").alias("running_right_num"), F.sum("week").alias("week_running_right_num")))

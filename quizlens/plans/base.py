@@ -10,7 +10,7 @@ from quizlens.functions.rules import WEIGHTED_POINTS, full_denominator, rule_tab
 from quizlens.functions.score_text import point_text
 from quizlens.operators.answers import explode_answers
 from quizlens.operators.bloom import key_filter, might_hold
-from quizlens.operators.running import running_right
+from quizlens.operators.running import running_of_scored
 from quizlens.settings import Settings
 
 SCORE_DECIMALS = 6  # sums of doubles depend on order; ranks need a value that does not
@@ -137,11 +137,11 @@ def base_from_cards(cards: DataFrame, settings: Settings, *, recent: DataFrame |
 
 
 def with_running_right(base: DataFrame, answers: DataFrame, settings: Settings) -> DataFrame:
-    return replace_right(base, running_right(answers, settings.week))
+    return replace_right(base, running_of_scored(answers, settings.week))
 
 
 def replace_right(base: DataFrame, running: DataFrame) -> DataFrame:
-    """Right answers, of the week too, by the running figure of each (user, subject)."""
+    """Right answers, of the week too, by the running figure of each (user, subject), 0 where there is none."""
     return base.join(running, ["user_id", "subject"], "left").select(*[
         F.coalesce(f"running_{c}" if c == "right_num" else "week_running_right_num", F.lit(0)).alias(c)
         if c in ("right_num", "week_right_num") else c for c in base.columns])

@@ -1,16 +1,18 @@
 import random
+from collections import defaultdict
 from datetime import date, timedelta
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from checks.fixture import SETTINGS
+from checks.fixture import SETTINGS, cards as fixture_cards
 from quizlens.operators.answers import daily_rollup, explode_answers, merge_rollups, point_stats
-from quizlens.operators.running import running_right
+from quizlens.operators.running import running_of_scored, running_right
 from quizlens.plans.base import base_from_cards, user_subject_base
 from quizlens.sources.cards import between_days, cards_on_day, normalise_cards, read_cards
 from tests import model
+from tests.conftest import SF_DIR
 
 EVERYONE = SETTINGS.with_(active_days=None)
 POINTS = [0, 392, 435, 482, 642, 754, 999]
@@ -145,3 +147,33 @@ def test_running_right_is_complete_and_wide(spark, many_partitions):
     got = {r.user_id: tuple(r)[2:] for r in running_right(
         spark.createDataFrame(rows, fields), (date(2001, 7, 23), date(2001, 7, 29))).collect()}
     assert got == {1: (2 + 5 + 5, 3 + 3), 2: (0, 0), 3: (3 * 2**40, 3 * 2**40)}
+
+
+def test_running_right_over_years(spark, many_partitions):
+    """A week over the turn of a year, cards that share a day and an id, unreadable days and cards without an id."""
+    chance = random.Random(5)
+    days = [None, *(date(2001, 12, 28) + timedelta(days=i) for i in range(12)), date(1999, 5, 1), date(2000, 2, 29), date(2003, 1, 1)]
+    rows = [(user, 1, point, chance.choice(days), chance.choice([None, *range(6)]), chance.randint(0, 3))
+            for user in (1, 2, None) for point in (5, 6) for _ in range(150)]
+    week = date(2001, 12, 31), date(2002, 1, 6)
+    want = defaultdict(lambda: [0, 0])
+    for user, point in {(r[0], r[2]) for r in rows}:
+        cards = defaultdict(int)
+        for r in rows:
+            if (r[0], r[2]) == (user, point):
+                cards[r[3], r[4]] += r[5]
+        sums = [0, 0]
+        for day, card in sorted(cards, key=lambda c: (c[0] or date.min, -1 if c[1] is None else c[1])):
+            for i, counts in enumerate([True, day is not None and week[0] <= day <= week[1]]):
+                sums[i] += cards[day, card] * counts
+                want[user][i] += sums[i] * counts
+    fields = "user_id bigint, subject int, point int, day date, card_id bigint, right_num bigint"
+    found = running_of_scored(spark.createDataFrame(rows, fields), week).collect()
+    assert {r.user_id: [r.running_right_num, r.week_running_right_num] for r in found} == want
+
+
+def test_running_plan(spark):
+    """The running figure reads the cards once more than the base does, and sends the scored answers once, with no sample."""
+    base = base_from_cards(fixture_cards(spark, SF_DIR), SETTINGS.with_(running_right=True))
+    plan = base._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and "rangepartitioning" not in plan
