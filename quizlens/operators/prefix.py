@@ -43,22 +43,34 @@ def _earlier(keys: tuple[str, ...], *order: str) -> Window:
 
 def daily_rollup_with_states(answers: DataFrame) -> DataFrame:
     """The sums of ``daily_rollup`` and, on rows with a point, the day state of their cards: n, q, first_card, last_card and
-    loose as in :func:`day_states`; s is right_num.
+    loose as in :func:`day_states`; s is right_num. ``answers`` are as ``explode_answers`` makes them, one row each.
 
-    No shuffle where ``answers`` lie by (user, subject, day): cards are put together, counted from the last one back and
-    summed up in their places.
+    No shuffle where ``answers`` lie by (user, subject, day): they are sorted once, by point and card, counted card by card from
+    the last one back and summed up. A measure is 0, 1 or the seconds, so the sort carries the seconds and a bit for each.
     """
-    cards = (
-        answers.withColumn("card_id", F.when(F.col("point").isNotNull(), F.col("card_id")))
-        .groupBy(*ROLLUP_KEYS, "card_id").agg(*[F.sum(m).alias(m) for m in MEASURES])
-    )
+    bits = ["right_num", "total_num", "answered_num", "undone_num", "card_num", "answered_time <> 0"]
+    packed = " + ".join(f"CAST({bit} AS INT) * {1 << i}" for i, bit in enumerate(bits))
+    rows = answers.select(
+        *ROLLUP_KEYS, F.when(F.col("point").isNotNull(), F.col("card_id")).alias("card_id"),
+        F.col("all_time").alias("seconds"), F.expr(packed).alias("bits"))
     latest = Window.partitionBy(*ROLLUP_KEYS).orderBy(F.col("card_id").desc())
+
+    def has(bit: str) -> Column:
+        return F.col("bits").bitwiseAND(1 << bits.index(bit)) != 0
+
+    def seconds(bit: str) -> Column:
+        return F.sum(F.when(has(bit), F.col("seconds")).otherwise(0))
+
+    sums = {m: F.sum(has(m).cast("bigint")) for m in MEASURES if m in bits} | {
+        "time_sum": seconds("total_num"), "answered_time": seconds("answered_time <> 0"), "all_time": F.sum("seconds")}
     on_point = F.col("point").isNotNull()
-    weighted = F.sum(F.col("right_num").cast("decimal(19,0)") * F.col("from_last").cast("decimal(19,0)")).cast(WIDE)
-    return cards.withColumn("from_last", F.row_number().over(latest)).groupBy(*ROLLUP_KEYS).agg(
-        *[F.sum(m).alias(m) for m in MEASURES],
-        F.count(F.when(on_point, 1)).alias("n"), weighted.alias("q"), F.min("card_id").alias("first_card"),
-        F.max("card_id").alias("last_card"), F.max(on_point & F.col("card_id").isNull()).alias("loose"))
+    return (
+        rows.withColumn("from_last", F.dense_rank().over(latest).cast("bigint")).groupBy(*ROLLUP_KEYS)
+        .agg(*[sums[m].alias(m) for m in MEASURES],
+             F.max("from_last").alias("n"), F.sum(F.when(has("right_num"), F.col("from_last")).otherwise(0)).alias("q"),
+             F.min("card_id").alias("first_card"), F.max("card_id").alias("last_card"),
+             F.max(on_point & F.col("card_id").isNull()).alias("loose"))
+        .withColumns({"n": F.when(on_point, F.col("n")).otherwise(0), "q": F.col("q").cast(WIDE)}))
 
 
 def rows_of(rows: DataFrame, keys: DataFrame, columns: tuple[str, ...]) -> DataFrame:
@@ -103,14 +115,15 @@ def _merged(stretches: DataFrame, *keys: str) -> DataFrame:
 
 def _placed_loads(states: DataFrame) -> DataFrame:
     """Day states of several loads, each carried behind the earlier ones of its day; ``tangled`` marks days that have cards in
-    no clear order."""
+    no clear order. A state of one card may have no q, which is its s."""
     loads = Window.partitionBy(*DAY).orderBy("first_card", "last_card")
     before = loads.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*DAY)
     tangled = F.col("first_card") <= F.max("last_card").over(before)
     return (
-        states.withColumns({"q": _carried(F.col("n"), F.col("s"), F.col("q"), before), "tangled": F.coalesce(tangled, F.lit(False)),
-                            "loads": F.count(F.lit(1)).over(whole)})
+        states.withColumn("q", F.coalesce("q", F.col("s").cast(WIDE)))
+        .withColumns({"q": _carried(F.col("n"), F.col("s"), F.col("q"), before), "tangled": F.coalesce(tangled, F.lit(False)),
+                      "loads": F.count(F.lit(1)).over(whole)})
         .withColumn("tangled", F.max(F.col("tangled") | (F.col("loose") & (F.col("loads") > 1))).over(whole)))
 
 
@@ -134,25 +147,28 @@ def point_folds(states: DataFrame, week: tuple[date, date]) -> DataFrame:
     """What each (user, subject, point) adds to the figure of ``running_right``: lifetime, in_week, and tangled, whether it has
     a day whose loads are in no clear order, so that it has to be folded anew from what :func:`merge_loads` gives.
 
-    One shuffle by point for the merging of loads and for the fold; a group is one point of one user, at most as many rows
-    as it has days and loads.
+    One shuffle by point and one sort for the merging of loads and for the fold; a group is one point of one user, at most as
+    many rows as it has days and loads. Loads of a day are in clear order where each one is behind the one before it.
+    No product exceeds the figure itself, as no answer counts less than nothing.
     """
     in_week = F.coalesce(F.col("day").between(*map(F.lit, week)), F.lit(False))
     # Most days have one card: its q is s and its last card the first, which is not sent twice.
     sent = states.select(
-        *DAY, "n", "s", F.nullif("q", F.col("s").cast(WIDE)).alias("q"), "first_card",
+        *DAY, "n", "s", F.when(F.col("n") != 1, F.col("q").cast("bigint")).alias("q"), "first_card",
         F.nullif("last_card", "first_card").alias("last_card"), "loose").repartition(*POINT)
-    placed = _placed_loads(sent.withColumns({
-        "q": F.coalesce("q", F.col("s").cast(WIDE)), "last_card": F.coalesce("last_card", "first_card")}))
-    days = placed.groupBy(*DAY).agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").cast(WIDE).alias("q"),
-                                    F.max("tangled").alias("tangled"))
-    order = _earlier(POINT, "day")
-    weekly = [F.when(in_week, F.col(c)) for c in ("n", "s", "q")]
-    return days.select(
-        *POINT, _carried(F.col("n"), F.col("s"), F.col("q"), order).alias("lifetime"),
-        _carried(*weekly, order).alias("in_week"), "tangled",
-    ).groupBy(*POINT).agg(F.sum("lifetime").cast(WIDE).alias("lifetime"), F.sum("in_week").cast(WIDE).alias("in_week"),
-                          F.max("tangled").alias("tangled"))
+    order = Window.partitionBy(*POINT).orderBy("day", "first_card")
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    weekly = F.when(in_week, F.col("s"))
+    same_day = F.lag("n").over(order).isNotNull() & F.lag("day").over(order).eqNullSafe(F.col("day"))
+    tangled = F.lag("loose").over(order) | F.col("loose") | (F.col("first_card") <= F.lag("last_card").over(order))
+    placed = sent.withColumns({"q": F.coalesce("q", "s"), "last_card": F.coalesce("last_card", "first_card")}).select(
+        *POINT, "n", "q", in_week.alias("counts"), (same_day & F.coalesce(tangled, F.lit(False))).alias("tangled"),
+        F.coalesce(F.sum("s").over(earlier), F.lit(0)).alias("before"),
+        F.coalesce(F.sum(weekly).over(earlier), F.lit(0)).alias("week_before"))
+    return placed.groupBy(*POINT).agg(
+        F.sum(F.col("q") + F.col("n") * F.col("before")).alias("lifetime"),
+        F.sum(F.when(F.col("counts"), F.col("q") + F.col("n") * F.col("week_before"))).alias("in_week"),
+        F.max("tangled").alias("tangled"))
 
 
 def running_of_loads(states: DataFrame, scored: Callable[[list[date | None]], DataFrame], everyone: DataFrame,

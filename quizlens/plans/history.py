@@ -6,7 +6,8 @@ cards have; a slice whose stamp has changed takes its load's place together with
 cards, cards without a readable day and repeated runs count exactly once, and the sums equal those of all cards.
 
     <root>/sums/load=.../       daily sums per (user, subject, day, point); where cards have an id, with the day
-                                states of the running figure: right_num is their s, no last_card means the first
+                                states of the running figure: right_num is their s, no last_card means the first,
+                                no q of one card means s
     <root>/scored/load=.../     right answers of scored cards, by day, not added up; only where cards have an id
     <root>/ledger/              slice, stamp, load, seq, with_cards
 
@@ -64,7 +65,7 @@ def current_loads(spark: SparkSession, root: str) -> dict[str, bool]:
 
 def _read(spark: SparkSession, root: str, part: str, loads: list[str]) -> DataFrame:
     """The rows of some loads, others are pruned as partitions: ``sums``, ``scored``, ``running`` (day states) or ``both``, sums
-    with day states."""
+    with day states. A state of one card may have no q, which is its s."""
 
     def of(folder: str, schema: str, chosen: list[str]) -> DataFrame:
         return spark.read.schema(schema).parquet(f"{root}/{folder}").where(F.col("load").isin(chosen))
@@ -117,12 +118,12 @@ def _among(days: list[date | None]) -> Column:
 
 
 def _write_load(root: str, load: str, sums: DataFrame, scored: DataFrame | None) -> None:
-    state = [] if scored is None else [
-        F.nullif("last_card", "first_card").alias("last_card") if c == "last_card" else c for c in STATE]
-    sums.select(*ROLLUP_KEYS, *MEASURES, *state).sortWithinPartitions("user_id", "subject", "day", "point").write.mode(
-        "overwrite").parquet(f"{root}/sums/load={load}", compression="zstd")
+    """Rows are written as they come; those that lie by user, subject, day and point take the least room."""
+    short = {"q": F.when(F.col("n") != 1, F.col("q")), "last_card": F.nullif("last_card", "first_card")}
+    state = [] if scored is None else [short[c].alias(c) if c in short else c for c in STATE]
+    sums.select(*ROLLUP_KEYS, *MEASURES, *state).write.mode("overwrite").parquet(f"{root}/sums/load={load}", compression="zstd")
     if scored is not None:
-        scored.select(*DAY, "card_id", "right_num").sortWithinPartitions("day", "user_id").write.mode("overwrite").parquet(
+        scored.select(*DAY, "card_id", "right_num").write.mode("overwrite").parquet(
             f"{root}/scored/load={load}", compression="zstd")
 
 
@@ -160,9 +161,9 @@ def add_slices(cards: DataFrame, slices: DataFrame, root: str) -> str | None:
     with_cards = "card_id" in cards.columns
     if with_cards:
         sums = daily_rollup_with_states(explode_answers(narrowed(cards).repartition("user_id", "subject", "day")))
-        _write_load(root, load, sums, scored_cards(explode_answers(cards)))
+        _write_load(root, load, sums, scored_cards(explode_answers(cards)).sortWithinPartitions("day"))
     else:
-        _write_load(root, load, daily_rollup(explode_answers(cards)), None)
+        _write_load(root, load, daily_rollup(explode_answers(cards)).sortWithinPartitions(*ROLLUP_KEYS), None)
     _enter(slices, root, load, with_cards)
     return load
 
@@ -224,7 +225,8 @@ def compact(spark: SparkSession, root: str) -> str | None:
         merged = merged.select(*[F.col(c).alias(f"_{c}") for c in DAY], *STATE)
         sums = sums.join(merged, [sums[c].eqNullSafe(merged[f"_{c}"]) for c in DAY], "left")
     columns = [*ROLLUP_KEYS, *MEASURES, *(STATE if with_cards else [])]
-    _write_load(root, load, stored.where(~shared).select(columns).unionByName(sums.select(columns)), scored)
+    sums = sums.select(columns).sortWithinPartitions(*ROLLUP_KEYS)
+    _write_load(root, load, stored.where(~shared).select(columns).unionByName(sums), scored)
     _enter(slices, root, load, with_cards)
     return load
 

@@ -274,3 +274,42 @@ def test_loads_of_the_earlier_layout_are_read(spark, tmp_path):
     same_as_full(spark, root, rows + more)
     assert history.compact(spark, root)
     same_as_full(spark, root, rows + more)
+
+
+def test_a_load_and_a_fold_sort_once(spark):
+    """The load's roll-up and the fold of day states: one sort and one window each, answers summed up once (partial and final)."""
+    cards = normalise_cards(spark.createDataFrame(awkward_cards(25, 40), model.CARD_FIELDS), card_id="cardId")
+    sums = prefix.daily_rollup_with_states(explode_answers(narrowed(cards).repartition("user_id", "subject", "day")))
+    states = sums.where("point IS NOT NULL").withColumnRenamed("right_num", "s").localCheckpoint()
+
+    def steps(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return [plan.count(step) for step in ("Sort [", "Window [", "Aggregate(")]
+
+    assert steps(sums) == steps(prefix.point_folds(states, SETTINGS.week)) == [1, 1, 2]
+    # A state of one card may come without q, which is its s.
+    short = states.withColumn("q", F.when(F.col("n") != 1, F.col("q")))
+    assert short.where("q IS NULL AND s > 0").count() > 0
+    fold = lambda rows: sorted(map(str, prefix.point_folds(rows, SETTINGS.week).collect()))
+    assert fold(short) == fold(states) != []
+
+
+def test_folds_tell_loads_in_clear_order(spark):
+    """Days of two loads: one behind the other, interleaved, touching, with a card without an id, and the unreadable day."""
+    day, n = date(2001, 7, 24), [0]
+
+    def state(point, first, last, day=day, loose=False):
+        n[0] += 1
+        return 1, 1, point, day, 2, n[0], None if first == last else 2 * n[0], first, last, loose
+
+    pairs = {1: [(1, 2), (3, 4)], 2: [(1, 3), (2, 4)], 3: [(1, 2), (2, 3)], 4: [(1, 4), (2, 3)]}
+    rows = [state(point, *cards) for point, loads in pairs.items() for cards in loads]
+    rows += [state(5, 1, 2), state(5, 3, 4, loose=True), state(6, 1, 2, loose=True), state(6, 3, 4, date(2001, 7, 25))]
+    rows += [state(7, 1, 3, None), state(7, 2, 4, None), state(8, 1, 3, None), state(8, 2, 4)]
+    schema = "user_id long, subject int, point int, day date, n long, s long, q long, first_card long, last_card long, loose boolean"
+    found = {r.point: r for r in prefix.point_folds(spark.createDataFrame(rows, schema), SETTINGS.week).collect()}
+    assert {p for p, r in found.items() if r.tangled} == {2, 3, 4, 5, 7}
+    # s is 1, 2 and q twice that: 2 + 4 + the later load's two cards times the earlier load's 1.
+    assert (found[1].lifetime, found[1].in_week) == (8, 8)
+    early, late = rows[-2][5], rows[-1][5]
+    assert (found[8].lifetime, found[8].in_week) == (2 * early + 2 * late + 2 * early, 2 * late)
